@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from docquery.functions.text import SPACE_CLASS, let, lines, strip
+from docquery.functions.text import let, strip, unix_lines
 from docquery.settings import DEFAULTS
 
 # Separators from the coarsest to the finest; what is still too
@@ -12,100 +12,72 @@ from docquery.settings import DEFAULTS
 SEPARATORS = ["\n\n", "\n", ". ", " "]
 INTRO_TITLE = "(intro)"
 PLAIN_TITLE = "(document)"
-HEADING = rf"(?U)^#{{1,6}}{SPACE_CLASS}"
 
-_NO_SECTIONS = "cast(array() as array<struct<title: string, body: string>>)"
-_NO_TEXT = "cast(array() as array<string>)"
+# One to six "#" at a line start and a blank on the same line. `d` makes "\n" the
+# only line end, `m` lets "^" match after it, `U` makes blanks Unicode-aware.
+_HEADING_START = r"#{1,6}[[^\S\n]\x1f]"
 
+_NO_SECTIONS = "cast(array() as array<struct<title: string, body: string>>)"
 
 def markdown_sections(text: Column) -> Column:
     """`ARRAY<STRUCT<title, body>>`: one entry per heading, plus the text before the first."""
 
-    def cut(rows: Column) -> Column:
-        heads = F.filter(
-            F.sequence(F.lit(0), F.size(rows) - 1),
-            lambda i: F.get(rows, i).rlike(HEADING),
-        )
-        starts = F.when(F.get(heads, F.lit(0)) == 0, heads).otherwise(
-            F.concat(F.array(F.lit(0)), heads)
+    def section(piece: Column) -> Column:
+        named = F.regexp_extract(piece, "(?d)^#{1,6}(.*)", 1)
+        title = F.when(piece.rlike(f"(?dU)^{_HEADING_START}"), strip(named))
+        return F.struct(
+            F.coalesce(title, F.lit(INTRO_TITLE)).alias("title"), strip(piece).alias("body")
         )
-        return let(starts, lambda s: F.transform(s, lambda at, k: section(rows, s, at, k)))
 
-    def section(rows: Column, starts: Column, at: Column, k: Column) -> Column:
-        first = F.get(rows, at)
-        until = F.coalesce(F.get(starts, k + 1), F.size(rows))
-        title = F.when(
-            first.rlike(HEADING), strip(F.regexp_replace(first, "^#{1,6}", ""))
-        ).otherwise(F.lit(INTRO_TITLE))
-        body = strip(F.array_join(F.slice(rows, at + 1, until - at), "\n"))
-        return F.struct(title.alias("title"), body.alias("body"))
-
-    return F.filter(let(lines(text), cut), lambda s: s["body"] != "")
+    pieces = F.split(unix_lines(text), f"(?dmU)^(?={_HEADING_START})", -1)
+    return F.filter(F.transform(pieces, section), lambda s: s["body"] != "")
 
 
 def recursive_split(text: Column, size: int) -> Column:
     """Pieces of at most `size` characters, cut at the coarsest separator that fits.
 
     Works level by level: each separator is applied to the pieces that are still
-    too long, so the plan has one fixed-depth expression instead of recursion.
+    too long. Within a level the packing is one regex scan: the longest run of at
+    most `size` characters that ends at a separator, or else everything up to the
+    next one. That keeps the work in compiled matching instead of a fold.
     """
     pieces = F.array(text)
     for separator in SEPARATORS:
-        pieces = _refine(pieces, size, lambda x, sep=separator: _pack(x, sep, size))
-    return _refine(pieces, size, lambda x: _cut(x, size))
-
-
-def _refine(pieces: Column, size: int, cutter) -> Column:
-    return F.flatten(
-        F.transform(pieces, lambda x: F.when(F.length(x) <= size, F.array(x)).otherwise(cutter(x)))
+        pieces = _refine(
+            pieces, size, separator, lambda x, sep=separator: _packed(x, sep, size)
+        )
+    return _refine(
+        pieces, size, "", lambda x: F.regexp_extract_all(x, F.lit(f"(?s)(.{{1,{size}}})"), F.lit(1))
     )
 
 
-def _cut(text: Column, size: int) -> Column:
-    last = F.floor((F.length(text) - 1) / size).cast("int")
-    return F.transform(
-        F.sequence(F.lit(0), last), lambda i: F.substring(text, i * size + 1, F.lit(size))
-    )
+def _refine(pieces: Column, size: int, separator: str, cutter) -> Column:
+    def keep(x: Column) -> Column:
+        fits = F.length(x) <= size
+        return fits | ~x.contains(separator) if separator else fits
 
-
-def _pack(text: Column, separator: str, size: int) -> Column:
-    """Greedy packing of the parts between separators; a part that is too long stays alone."""
-    gap = len(separator)
-    parts = F.transform(
-        F.split(text, separator.replace(".", r"\."), -1),
-        lambda p: F.struct(p.alias("text"), F.length(p).alias("width")),
+    return F.flatten(
+        F.transform(pieces, lambda x: F.when(keep(x), F.array(x)).otherwise(cutter(x)))
     )
 
-    def state(done: Column, open_: Column, width: Column) -> Column:
-        return F.struct(done.alias("done"), open_.alias("open"), width.alias("width"))
 
-    def push(done: Column, *texts: Column) -> Column:
-        return F.concat(done, F.array(*texts))
-
-    def step(acc: Column, part: Column) -> Column:
-        nothing = F.lit("")
-        fresh = (
-            F.when(part["width"] <= size, state(acc["done"], part["text"], part["width"]))
-            .otherwise(state(push(acc["done"], part["text"]), nothing, F.lit(0)))
-        )
-        joined = acc["width"] + gap + part["width"]
-        return (
-            F.when(acc["width"] == 0, fresh)
-            .when(
-                joined <= size,
-                state(acc["done"], F.concat(acc["open"], F.lit(separator), part["text"]), joined),
-            )
-            .when(
-                part["width"] > size,
-                state(push(acc["done"], acc["open"], part["text"]), nothing, F.lit(0)),
-            )
-            .otherwise(state(push(acc["done"], acc["open"]), part["text"], part["width"]))
-        )
+def _packed(text: Column, separator: str, size: int) -> Column:
+    """Runs of separated parts; separators at the start of a run are dropped."""
+    sep = separator.replace(".", r"\.")
+    if separator != "\n\n":
+        return _runs(text, sep, sep, size)
+    # Blank lines pair up from the left in a longer run of newlines, so a run may
+    # only end where an even number of newlines comes before.
+    paired = rf"(?<=(?:\A|[^\n])(?:\n\n){{0,{size}}}){sep}"
+    return F.when(text.contains("\n\n\n"), _runs(text, sep, paired, size)).otherwise(
+        _runs(text, sep, sep, size)
+    )
 
-    def finish(acc: Column) -> Column:
-        return F.when(acc["width"] == 0, acc["done"]).otherwise(push(acc["done"], acc["open"]))
 
-    return F.aggregate(parts, state(F.expr(_NO_TEXT), F.lit(""), F.lit(0)), step, finish)
+def _runs(text: Column, sep: str, end: str, size: int) -> Column:
+    run = rf"(?s)(?:{sep})*+(?:(.{{1,{size}}}|.{{{size + 1},}}?)(?:{end}|\z)|\z)"
+    found = F.regexp_extract_all(text, F.lit(run), F.lit(1))
+    return F.filter(found, lambda x: x != "")
 
 
 def add_overlap(chunks: Column, overlap: int) -> Column:
@@ -123,6 +95,10 @@ def add_overlap(chunks: Column, overlap: int) -> Column:
     )
 
 
+def section_id(body: Column) -> Column:
+    return F.sha2(body, 256)
+
+
 def _clean_pieces(text: Column, size: int) -> Column:
     return F.filter(F.transform(recursive_split(text, size), strip), lambda x: x != "")
 
@@ -140,39 +116,37 @@ def parent_child_chunks(
     overlap: int = DEFAULTS.chunk_overlap,
     with_parent: bool = True,
 ) -> Column:
-    """`ARRAY<STRUCT<section_no, child, title[, parent]>>`.
+    """`ARRAY<STRUCT<parent_id, child, title[, parent]>>`.
 
-    `section_no` is -1 for text without sections, whose chunks are their own
-    parents. With `with_parent=False` the section text is left out, so that a
-    long section is not repeated for each of its children (see the index).
+    `parent_id` is the hash of the section text, and null for text without
+    sections, whose chunks are their own parents. With `with_parent=False` the
+    section text itself is left out, so that a long section is not repeated for
+    each of its children (see the index).
     """
     child_size = child_size or DEFAULTS.child_size
 
-    def unit(section_no: Column, child: Column, parent: Column, title: Column) -> Column:
-        fields = [
-            section_no.cast("int").alias("section_no"),
-            child.alias("child"),
-            title.alias("title"),
-        ]
+    def unit(parent_id: Column, child: Column, parent: Column, title: Column) -> Column:
+        fields = [parent_id.alias("parent_id"), child.alias("child"), title.alias("title")]
         return F.struct(*fields, *([parent.alias("parent")] if with_parent else []))
 
     def plain() -> Column:
         return F.transform(
             plain_chunks(text, size, overlap),
-            lambda c: unit(F.lit(-1), c, c, F.lit(PLAIN_TITLE)),
+            lambda c: unit(F.lit(None).cast("string"), c, c, F.lit(PLAIN_TITLE)),
         )
 
-    def structured(sections: Column) -> Column:
-        return F.flatten(
-            F.transform(
-                sections,
-                lambda s, n: F.transform(
-                    _clean_pieces(s["body"], child_size),
-                    lambda c: unit(n, c, s["body"], s["title"]),
-                ),
-            )
+    def children(section: Column) -> Column:
+        return let(
+            section_id(section["body"]),
+            lambda known: F.transform(
+                _clean_pieces(section["body"], child_size),
+                lambda c: unit(known, c, section["body"], section["title"]),
+            ),
         )
 
+    def structured(sections: Column) -> Column:
+        return F.flatten(F.transform(sections, children))
+
     # Text without a "#" has no heading: skip the line scan for it.
     sections = F.when(text.contains("#"), markdown_sections(text)).otherwise(F.expr(_NO_SECTIONS))
     return let(

@@ -6,14 +6,13 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters a Unicode-aware strip removes, the line breaks a
-# Unicode-aware line split honours, and whitespace as a regex class.
+# The characters a Unicode-aware strip removes, and the line
+# breaks other than a newline that a Unicode-aware line split honours.
 WHITESPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0       "
     "         　"
 )
-LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]"
-SPACE_CLASS = r"[\s\x1c-\x1f]"
+OTHER_LINE_BREAK = r"\r\n|[\r\x0b\x0c\x1c-\x1e\x85  ]"
 
 # A word for lexical scoring and hashing: a run of letters and digits.
 WORD = r"[\p{L}\p{N}]+"
@@ -28,8 +27,9 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
-def lines(text: Column) -> Column:
-    return F.split(text, LINE_BREAK, -1)
+def unix_lines(text: Column) -> Column:
+    """Every kind of line break as a plain newline."""
+    return F.regexp_replace(text, OTHER_LINE_BREAK, "\n")
 
 
 def words(text: Column) -> Column:

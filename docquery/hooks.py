@@ -8,7 +8,6 @@ UDF inside `when` would be evaluated for every row).
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -32,29 +31,30 @@ class Hook:
 
 
 def hashed_terms(dim: int = DEFAULTS.embed_dim) -> Hook:
-    """Unit vectors of hashed words weighted `1 + ln(count)`; expects the word array."""
+    """Unit vectors of hashed words weighted `1 + ln(count)`."""
+
+    def slot(term: str) -> int:
+        return int(hashlib.md5(term.encode("utf-8")).hexdigest()[:8], 16) % dim
+
+    def vectors(terms: pd.Series) -> list[np.ndarray]:
+        """One count matrix for a block of rows; each distinct word is hashed once."""
+        sizes = np.array([len(t) for t in terms], dtype=np.int64)
+        codes, distinct = pd.factorize(np.concatenate([*terms, np.empty(0, dtype=object)]))
+        slots = np.fromiter((slot(t) for t in distinct), dtype=np.int64, count=len(distinct))
+        rows = np.repeat(np.arange(len(sizes)), sizes)
+        counts = np.bincount(rows * dim + slots[codes], minlength=len(sizes) * dim)
+        weights = np.where(counts > 0, 1.0 + np.log(np.maximum(counts, 1)), 0.0)
+        weights = weights.reshape(len(sizes), dim)
+        norms = np.sqrt((weights * weights).sum(axis=1, keepdims=True))
+        return list((weights / np.where(norms > 0, norms, 1.0)).astype(np.float32))
 
     @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def embed(batches: "pd.Series") -> "pd.Series":
-        slots: dict[str, int] = {}
-
-        def vector(terms) -> np.ndarray | None:
-            if terms is None:
-                return None
-            found = np.empty(len(terms), dtype=np.int64)
-            for i, term in enumerate(terms):
-                slot = slots.get(term)
-                if slot is None:
-                    digest = hashlib.md5(term.encode("utf-8")).hexdigest()
-                    slot = slots[term] = int(digest[:8], 16) % dim
-                found[i] = slot
-            counts = np.bincount(found, minlength=dim).astype(np.float64)
-            hit = counts > 0
-            counts[hit] = 1.0 + np.log(counts[hit])
-            norm = math.sqrt(float(counts @ counts))
-            return (counts / norm if norm else counts).astype(np.float32)
-
-        return batches.map(vector)
+    def embed(terms: pd.Series) -> pd.Series:
+        block = max(1, (8 << 20) // (8 * dim))
+        out: list[np.ndarray] = []
+        for at in range(0, len(terms), block):
+            out.extend(vectors(terms.iloc[at : at + block]))
+        return pd.Series(out, index=terms.index, dtype=object)
 
     return Hook(lambda text: embed(words(text)))
 
