@@ -67,11 +67,12 @@ def median_per_group(rows: DataFrame, group: str, value: str) -> DataFrame:
     brackets = (
         present.groupBy("g")
         .agg(F.percentile_approx("v", edges, F.lit(int(10 / _BRACKET))).alias("e"), F.count("*").alias("n"))
-        .select("g", "n", F.get("e", F.lit(0)).alias("lo"), F.get("e", F.lit(1)).alias("hi"))
-    )
-    placed = present.join(brackets, present["g"].eqNullSafe(brackets["g"])).select(
-        present["g"], "v", "n", "lo", "hi"
+        .select(
+            F.col("g").alias("bracket_of"), "n",
+            F.get("e", F.lit(0)).alias("lo"), F.get("e", F.lit(1)).alias("hi"),
+        )
     )
+    placed = present.join(brackets, F.col("g").eqNullSafe(F.col("bracket_of")))
     # The values inside the bracket, plus one row per group for all that lies below it.
     slot = F.when(F.col("v") >= F.col("lo"), F.col("v"))
     counted = (

@@ -8,7 +8,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_IS_REQUEST = F.col("kind") == "request"
+
+def _is_request() -> Column:
+    return F.col("kind") == "request"
 
 
 def latest_requests(events: DataFrame) -> DataFrame:
@@ -18,7 +20,7 @@ def latest_requests(events: DataFrame) -> DataFrame:
     reaches the reducer as one row per task.
     """
     return (
-        events.filter(_IS_REQUEST)
+        events.filter(_is_request())
         .groupBy("request_id")
         .agg(F.max("at").alias("requested_at"))
         .withColumn("created_at", F.col("requested_at.ts"))
@@ -36,7 +38,7 @@ def resolve(events: DataFrame) -> DataFrame:
     aggregates and a join, so no task sorts the whole history of one request.
     """
     latest = latest_requests(events)
-    decisions = events.filter(~_IS_REQUEST)
+    decisions = events.filter(~_is_request())
     first = (
         decisions.join(latest.select("request_id", "requested_at"), "request_id")
         .filter(F.col("at") > F.col("requested_at"))

@@ -19,7 +19,7 @@ STATEMENTS = [
     "SELECT 1; DROP TABLE orders",
     "DELETE FROM orders WHERE o_orderkey = 1",
     "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey < 10",
-    "SELECT c_name, o_totalprice FROM customer, orders",
+    "SELECT c_name, c_acctbal FROM customer",
     "SELECT n_name FROM nation ORDER BY n_name LIMIT 5",
     "SELECT c_mktsegment, count(*) AS n FROM customer GROUP BY c_mktsegment ORDER BY c_mktsegment;",
     "``` ```",
