@@ -12,7 +12,8 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,30 +32,37 @@ class Hook:
 
 
 def hashed_terms(dim: int = DEFAULTS.embed_dim) -> Hook:
-    """Unit vectors of hashed words weighted `1 + ln(count)`."""
-
-    def slot(term: str) -> int:
-        return int(hashlib.md5(term.encode("utf-8")).hexdigest()[:8], 16) % dim
-
-    def vectors(terms: pd.Series) -> list[np.ndarray]:
-        """One count matrix for a block of rows; each distinct word is hashed once."""
-        sizes = np.array([len(t) for t in terms], dtype=np.int64)
-        codes, distinct = pd.factorize(np.concatenate([*terms, np.empty(0, dtype=object)]))
-        slots = np.fromiter((slot(t) for t in distinct), dtype=np.int64, count=len(distinct))
-        rows = np.repeat(np.arange(len(sizes)), sizes)
-        counts = np.bincount(rows * dim + slots[codes], minlength=len(sizes) * dim)
+    """Unit vectors of hashed words weighted `1 + ln(count)`.
+
+    Works on whole Arrow batches: each distinct word of a batch is hashed once, and
+    the counts of a block of rows are one flat histogram.
+    """
+    block = max(1, (8 << 20) // (8 * dim))
+
+    def slots(distinct: pa.Array) -> np.ndarray:
+        digests = (hashlib.md5(t.encode("utf-8")).hexdigest() for t in distinct.to_pylist())
+        return np.fromiter((int(d[:8], 16) % dim for d in digests), np.int64, len(distinct))
+
+    def unit_counts(rows: np.ndarray, found: np.ndarray, n: int) -> np.ndarray:
+        counts = np.bincount(rows * dim + found, minlength=n * dim).reshape(n, dim)
         weights = np.where(counts > 0, 1.0 + np.log(np.maximum(counts, 1)), 0.0)
-        weights = weights.reshape(len(sizes), dim)
         norms = np.sqrt((weights * weights).sum(axis=1, keepdims=True))
-        return list((weights / np.where(norms > 0, norms, 1.0)).astype(np.float32))
-
-    @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def embed(terms: pd.Series) -> pd.Series:
-        block = max(1, (8 << 20) // (8 * dim))
-        out: list[np.ndarray] = []
-        for at in range(0, len(terms), block):
-            out.extend(vectors(terms.iloc[at : at + block]))
-        return pd.Series(out, index=terms.index, dtype=object)
+        return (weights / np.where(norms > 0, norms, 1.0)).astype(np.float32)
+
+    @F.arrow_udf(T.ArrayType(T.FloatType()))
+    def embed(terms: pa.Array) -> pa.Array:
+        sizes = pc.fill_null(pc.list_value_length(terms), 0).to_numpy(zero_copy_only=False)
+        words_ = pc.dictionary_encode(pc.list_flatten(terms))
+        found = slots(words_.dictionary)[words_.indices.to_numpy(zero_copy_only=False)]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        parts = []
+        for at in range(0, len(sizes), block):
+            some = sizes[at : at + block]
+            rows = np.repeat(np.arange(len(some)), some)
+            parts.append(unit_counts(rows, found[ends[at] : ends[at + len(some)]], len(some)))
+        flat = np.concatenate(parts).ravel() if parts else np.empty(0, np.float32)
+        offsets = np.arange(0, (len(sizes) + 1) * dim, dim, dtype=np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
     return Hook(lambda text: embed(words(text)))
 

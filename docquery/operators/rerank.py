@@ -71,7 +71,7 @@ def word_score(weights: Column, child: Column, mean_len: Column) -> Column:
         seen = F.array_sort(F.array_intersect(F.map_keys(weights), tokens))
 
         def gain(term: Column) -> Column:
-            tf = F.size(F.filter(tokens, lambda t: t == term)).cast("double")
+            tf = (F.size(tokens) - F.size(F.array_remove(tokens, term))).cast("double")
             return weights[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length))
 
         total = F.aggregate(seen, F.lit(0.0), lambda acc, t: acc + gain(t))

@@ -5,6 +5,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,10 +15,13 @@ from docquery.settings import DEFAULTS, Settings
 _MERGE_WAYS = 32
 
 
-def _unit(vectors: pd.Series, dim: int) -> np.ndarray:
-    matrix = np.zeros((len(vectors), dim))
-    for i, v in enumerate(vectors):
-        matrix[i] = v
+def _matrix(vectors: pa.Array, dim: int) -> np.ndarray:
+    """Unit rows from a list column, without a Python object per vector."""
+    sizes = pc.list_value_length(vectors)
+    if not pc.all(pc.equal(pc.fill_null(sizes, -1), dim)).as_py():
+        raise ValueError(f"a vector does not have {dim} dimensions")
+    flat = pc.list_flatten(vectors).to_numpy(zero_copy_only=False)
+    matrix = flat.astype(np.float64).reshape(len(vectors), dim)
     norms = np.linalg.norm(matrix, axis=1, keepdims=True)
     return matrix / np.where(norms > 0, norms, 1.0)
 
@@ -24,22 +29,21 @@ def _unit(vectors: pd.Series, dim: int) -> np.ndarray:
 class _Best:
     """Running best `k` candidates per query: at most `k` rows each, ties kept by id."""
 
-    def __init__(self, query_ids: list, queries: np.ndarray, k: int):
-        self.ids = pd.Series(query_ids, dtype=object)
+    def __init__(self, query_ids: pa.Array, queries: np.ndarray, k: int):
+        self.ids = query_ids
         self.queries = queries
         self.k = k
         self.floor = np.full(len(query_ids), -np.inf)
         self.kept: pd.DataFrame | None = None
 
-    def add(self, chunk_ids: pd.Series, vectors: np.ndarray) -> None:
+    def add(self, chunk_ids: pa.Array, vectors: np.ndarray) -> None:
         scores = np.round(self.queries @ vectors.T, 6)
         floor = self.floor
         if scores.shape[1] >= self.k:
             floor = np.maximum(floor, np.partition(scores, -self.k, axis=1)[:, -self.k])
         q, c = np.nonzero(scores >= floor[:, None])
-        found = pd.DataFrame(
-            {"q": q, "chunk_id": chunk_ids.to_numpy()[c], "score": scores[q, c]}
-        )
+        ids = chunk_ids.take(pa.array(c)).to_numpy(zero_copy_only=False)
+        found = pd.DataFrame({"q": q, "chunk_id": ids, "score": scores[q, c]})
         if self.kept is not None:
             found = pd.concat([self.kept, found], ignore_index=True)
         found = found.sort_values(["q", "score", "chunk_id"], ascending=[True, False, True])
@@ -48,15 +52,17 @@ class _Best:
         full = found[place == self.k - 1]
         self.floor[full["q"].to_numpy()] = full["score"].to_numpy()
 
-    def rows(self) -> pd.DataFrame:
-        if self.kept is None:
-            return pd.DataFrame({"question_id": [], "chunk_id": [], "score": []})
-        return pd.DataFrame(
-            {
-                "question_id": self.ids.iloc[self.kept["q"]].to_numpy(),
-                "chunk_id": self.kept["chunk_id"].to_numpy(),
-                "score": self.kept["score"].to_numpy(),
-            }
+    def rows(self, chunk_type: pa.DataType) -> pa.RecordBatch:
+        kept = self.kept
+        if kept is None:
+            kept = pd.DataFrame({"q": np.empty(0, dtype=int), "chunk_id": [], "score": []})
+        return pa.RecordBatch.from_arrays(
+            [
+                self.ids.take(pa.array(kept["q"].to_numpy(), pa.int64())),
+                pa.array(kept["chunk_id"].tolist(), chunk_type),
+                pa.array(kept["score"].to_numpy(dtype=float)),
+            ],
+            names=["question_id", "chunk_id", "score"],
         )
 
 
@@ -83,32 +89,36 @@ def vector_top_k(
     )
     dim = settings.embed_dim
     fitting = max(1, settings.broadcast_bytes // (8 * dim))
-    head = queries.limit(fitting + 1).toPandas()
-    if len(head) <= fitting:
+    head = queries.limit(fitting + 1).toArrow().combine_chunks()
+    if head.num_rows <= fitting:
         partial = _stream_past(corpus, head, k, dim, out)
     else:
         partial = _grid(corpus, queries, k, dim, settings.block_bytes, out)
     return _merge(partial, k)
 
 
-def _stream_past(corpus: DataFrame, queries: pd.DataFrame, k: int, dim: int, out: str) -> DataFrame:
-    if queries.empty:
-        return corpus.sparkSession.createDataFrame([], out)
-    sent = corpus.sparkSession.sparkContext.broadcast(
-        (queries["question_id"].tolist(), _unit(queries["embedding"], dim))
-    )
+def _stream_past(corpus: DataFrame, queries: pa.Table, k: int, dim: int, out: str) -> DataFrame:
+    spark = corpus.sparkSession
+    if queries.num_rows == 0:
+        return spark.createDataFrame([], out)
+    ids = pa.concat_arrays(queries.column("question_id").chunks)
+    vectors = pa.concat_arrays(queries.column("embedding").chunks)
+    sent = spark.sparkContext.broadcast((ids, _matrix(vectors, dim)))
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, matrix = sent.value
         best = _Best(ids, matrix, k)
         step = max(256, (16 << 20) // (8 * max(len(ids), dim)))
+        chunk_type = None
         for batch in batches:
-            for at in range(0, len(batch), step):
-                part = batch.iloc[at : at + step]
-                best.add(part["chunk_id"], _unit(part["embedding"], dim))
-        yield best.rows()
+            chunk_type = batch.schema.field("chunk_id").type
+            for at in range(0, batch.num_rows, step):
+                part = batch.slice(at, step)
+                best.add(part.column("chunk_id"), _matrix(part.column("embedding"), dim))
+        if chunk_type is not None:
+            yield best.rows(chunk_type)
 
-    return corpus.mapInPandas(scan, out)
+    return corpus.mapInArrow(scan, out)
 
 
 def _grid(
@@ -128,14 +138,21 @@ def _grid(
     left = corpus.select("*", cell("row", "chunk_id", rows), every("col", cols))
     right = queries.select("*", cell("col", "question_id", cols), every("row", rows))
 
-    def meet(c: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
-        best = _Best(q["question_id"].tolist(), _unit(q["embedding"], dim), k)
-        if len(c) and len(q):
-            best.add(c["chunk_id"], _unit(c["embedding"], dim))
-        return best.rows()
+    def meet(c: pa.Table, q: pa.Table) -> pa.Table:
+        chunk_type = c.schema.field("chunk_id").type
+        c, q = c.combine_chunks(), q.combine_chunks()
+
+        def whole(table: pa.Table, name: str) -> pa.Array:
+            kind = table.schema.field(name).type
+            return pa.concat_arrays([*table.column(name).chunks, pa.array([], kind)])
+
+        best = _Best(whole(q, "question_id"), _matrix(whole(q, "embedding"), dim), k)
+        if c.num_rows and q.num_rows:
+            best.add(whole(c, "chunk_id"), _matrix(whole(c, "embedding"), dim))
+        return pa.Table.from_batches([best.rows(chunk_type)])
 
     return (
-        left.groupBy("row", "col").cogroup(right.groupBy("row", "col")).applyInPandas(meet, out)
+        left.groupBy("row", "col").cogroup(right.groupBy("row", "col")).applyInArrow(meet, out)
     )
 
 

@@ -11,7 +11,7 @@ from docquery.functions import sqlscreen
 from docquery.hooks import Hook
 from docquery.operators.gating import decide
 from docquery.settings import DEFAULTS, Settings
-from docquery.shared import fresh_path
+from docquery.shared import fresh_path, materialize
 
 # How many statements share one write; any number of statements is processed.
 _PER_WRITE = 8
@@ -126,14 +126,20 @@ def structured_branch(log: DataFrame, settings: Settings = DEFAULTS) -> DataFram
     """Answer rows for a log `(request_id, question, raw_sql)`.
 
     Validated statements without risk flags run, risky ones freeze until somebody
-    decides, and failures answer with their reason. Each distinct statement runs
-    once, however often it occurs in the log.
+    decides, and failures answer with their reason. Each distinct statement is
+    audited and run once, however often it occurs in the log; the outcome is a
+    stored table, so its true size decides how it is joined back.
     """
-    rows = with_risk(validate(log), settings)
-    risky = F.col("valid") & F.col("risky") if settings.approval_enabled else F.lit(False)
-    rows = rows.withColumn("frozen", risky)
-    results = execute_distinct(rows.filter(F.col("valid") & ~F.col("frozen")), settings)
-    return _answers(rows, results)
+    log = log.withColumn("raw_sql", F.coalesce("raw_sql", F.lit("")))
+    audited = materialize(
+        with_risk(validate(log.select("raw_sql").distinct()), settings).withColumn(
+            "frozen", F.col("valid") & F.col("risky") & F.lit(settings.approval_enabled)
+        ),
+        "audited",
+    )
+    results = execute_distinct(audited.filter(F.col("valid") & ~F.col("frozen")), settings)
+    outcomes = _outcomes(audited, results)
+    return log.join(outcomes, "raw_sql").drop("raw_sql")
 
 
 def resume_decided(
@@ -166,7 +172,8 @@ def _renamed(results: DataFrame) -> DataFrame:
     return results.withColumnRenamed("error", "result_error")
 
 
-def _answers(rows: DataFrame, results: DataFrame) -> DataFrame:
+def _outcomes(audited: DataFrame, results: DataFrame) -> DataFrame:
+    """What each audited statement answers with."""
     invalid = F.concat(F.lit("could not generate a safe query: "), F.col("error"))
     error = F.when(~F.col("valid"), invalid).otherwise(F.col("result_error"))
     text = (
@@ -174,8 +181,8 @@ def _answers(rows: DataFrame, results: DataFrame) -> DataFrame:
         .when(error.isNotNull(), refusal(error))
         .otherwise(F.col("rows_json"))
     )
-    return rows.join(_renamed(results), "sql", "left").select(
-        "request_id", "question", "sql",
+    return audited.join(_renamed(results), "sql", "left").select(
+        "raw_sql", "sql",
         text.alias("text"),
         F.when(F.col("frozen"), 0).otherwise(F.coalesce("row_count", F.lit(0))).alias("row_count"),
         F.when(F.col("frozen"), "frozen").otherwise("executed").alias("status"),

@@ -89,8 +89,7 @@ def answer_batch(
         .withColumn("route", F.lit("documents"))
     )
     log = routed.filter(F.col("route") == "structured").select(
-        F.col("question_id").alias("request_id"), "question",
-        F.coalesce("raw_sql", F.lit("")).alias("raw_sql"),
+        F.col("question_id").alias("request_id"), "question", "raw_sql"
     )
     from_tables = (
         structured_branch(log, settings)

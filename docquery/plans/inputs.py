@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docquery.shared import spread
 from docquery.sources.tables import table
 
 TURNS_PER_PART = 20
@@ -67,8 +68,14 @@ def transcripts(spark: SparkSession, folder: str) -> DataFrame:
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     """`(source, text)` of the document table."""
-    rows = table(spark, folder, "documents")
-    return rows.select(F.col("doc_id").cast("string").alias("source"), "text")
+    return document_rows(spark, folder).select(
+        F.col("doc_id").cast("string").alias("source"), "text"
+    )
+
+
+def document_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """`(doc_id, text)`, spread over the cores for text work."""
+    return spread(table(spark, folder, "documents").select("doc_id", "text"))
 
 
 def benchmark_questions(spark: SparkSession, folder: str) -> DataFrame:
@@ -79,7 +86,7 @@ def benchmark_questions(spark: SparkSession, folder: str) -> DataFrame:
 
 def statement_log(spark: SparkSession, folder: str) -> DataFrame:
     """`(event_id, question, raw_sql)`."""
-    return table(spark, folder, "events").select(
+    return spread(table(spark, folder, "events").select("event_id")).select(
         "event_id",
         _cycle(F.col("event_id"), QUESTIONS).alias("question"),
         _cycle(F.col("event_id"), STATEMENTS).alias("raw_sql"),

@@ -550,13 +550,13 @@ def detect_injection(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def detect_toxicity(spark: SparkSession, folder: str) -> DataFrame:
-    found = firewall.detect_toxicity(table(spark, folder, "documents"))
+    found = firewall.detect_toxicity(inputs.document_rows(spark, folder))
     return found.select("doc_id", F.array_join("toxicity", "; ").alias("toxicity"))
 
 
 @query
 def mask_pii(spark: SparkSession, folder: str) -> DataFrame:
-    found = firewall.mask_pii(table(spark, folder, "documents").select("doc_id", "text"))
+    found = firewall.mask_pii(inputs.document_rows(spark, folder))
     return found.select("doc_id", "text", F.array_join("pii_found", ",").alias("pii_found"))
 
 
@@ -582,7 +582,7 @@ def input_firewall(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def output_firewall(spark: SparkSession, folder: str) -> DataFrame:
-    found = firewall.output_firewall(table(spark, folder, "documents").select("doc_id", "text"))
+    found = firewall.output_firewall(inputs.document_rows(spark, folder))
     return found.select(
         "doc_id", "text", "pii_masked", "toxic", F.array_join("findings", "; ").alias("findings")
     )

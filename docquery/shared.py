@@ -1,11 +1,13 @@
-"""Shared-folder tables: how a plan is cut and how a size is checked before a broadcast."""
+"""Shared-folder tables: how a plan is cut so that work is not repeated."""
 from __future__ import annotations
 
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+
+_TASKS_PER_CORE = 3
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -39,8 +41,11 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Hint a broadcast only after counting; beyond the limit the planner shuffles as usual."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core for costly row-local work when the input has fewer partitions than cores.
+
+    A scan of a large table has far more partitions than cores and passes unchanged,
+    without a shuffle; a few small files would otherwise leave most cores idle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(_TASKS_PER_CORE * cores) if df.rdd.getNumPartitions() < cores else df
