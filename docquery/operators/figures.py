@@ -49,7 +49,8 @@ def first_rows(rows: DataFrame, n: int, *order: Column) -> DataFrame:
     return rows.orderBy(*order).limit(n)
 
 
-_BRACKET = 0.001
+# Share of a group's rows left on either side of its middle.
+_BRACKET = 0.0001
 
 
 def median_per_group(rows: DataFrame, group: str, value: str) -> DataFrame:

@@ -34,6 +34,7 @@ class _Best:
         self.queries = queries
         self.k = k
         self.floor = np.full(len(query_ids), -np.inf)
+        self.floor_id: np.ndarray | None = None
         self.kept: pd.DataFrame | None = None
 
     def add(self, chunk_ids: pa.Array, vectors: np.ndarray) -> None:
@@ -44,13 +45,18 @@ class _Best:
         q, c = np.nonzero(scores >= floor[:, None])
         ids = chunk_ids.take(pa.array(c)).to_numpy(zero_copy_only=False)
         found = pd.DataFrame({"q": q, "chunk_id": ids, "score": scores[q, c]})
+        if self.floor_id is not None:
+            # Many copies may tie with a query's last place: only a smaller id displaces it.
+            found = found[(found["score"] > self.floor[q]) | (ids < self.floor_id[q])]
         if self.kept is not None:
             found = pd.concat([self.kept, found], ignore_index=True)
         found = found.sort_values(["q", "score", "chunk_id"], ascending=[True, False, True])
         place = found.groupby("q").cumcount()
         self.kept = found[place < self.k]
-        full = found[place == self.k - 1]
-        self.floor[full["q"].to_numpy()] = full["score"].to_numpy()
+        last = found[place == self.k - 1]
+        self.floor[last["q"].to_numpy()] = last["score"].to_numpy()
+        if len(last) == len(self.floor):
+            self.floor_id = last["chunk_id"].to_numpy()
 
     def rows(self, chunk_type: pa.DataType) -> pa.RecordBatch:
         kept = self.kept

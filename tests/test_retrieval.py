@@ -42,6 +42,22 @@ def test_top_k_equals_brute_force(spark, settings):
     assert {(r.question_id, r.chunk_id, r.cosine_rank) for r in got} == want
 
 
+def test_top_k_among_copies(spark):
+    """A third of all rows are copies that tie at the top, spread over many Arrow batches."""
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=DIM)
+    rows = [(f"{i:05d}", list(map(float, base if i % 3 == 0 else rng.normal(size=DIM)))) for i in range(3000)]
+    rows = [rows[i] for i in rng.permutation(len(rows))]
+    corpus = spark.createDataFrame(rows, "chunk_id string, embedding array<float>").repartition(3)
+    asked = spark.createDataFrame([(1, list(map(float, base)))], "question_id int, embedding array<float>")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        got = vector_top_k(corpus, asked, 5, SMALL).orderBy("cosine_rank").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert [r.chunk_id for r in got] == ["00000", "00003", "00006", "00009", "00012"]
+
+
 def test_top_k_edges(spark):
     _, c = vectors(spark, 3, "chunk_id", 1)
     _, q = vectors(spark, 2, "question_id", 2)
