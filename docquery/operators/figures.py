@@ -4,6 +4,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docquery.shared import hot_keys, join_around_hot, materialize
+
 
 def count_filtered(rows: DataFrame, condition: Column) -> DataFrame:
     return rows.filter(condition).agg(F.count("*").alias("n"))
@@ -53,7 +55,9 @@ def first_rows(rows: DataFrame, n: int, *order: Column) -> DataFrame:
 _BRACKET = 0.0001
 
 
-def median_per_group(rows: DataFrame, group: str, value: str) -> DataFrame:
+def median_per_group(
+    rows: DataFrame, group: str, value: str, hot_rows: int | None = None
+) -> DataFrame:
     """Exact median of each group, without gathering a group in one task.
 
     A quantile sketch, merged from all tasks, brackets the middle of each group;
@@ -61,30 +65,28 @@ def median_per_group(rows: DataFrame, group: str, value: str) -> DataFrame:
     bracket are only counted. The few rows inside it are counted per value and
     ranked, which gives the middle value or the mean of the two middle ones.
     """
-    present = rows.select(F.col(group).alias("g"), F.col(value).cast("double").alias("v")).filter(
-        F.col("v").isNotNull()
-    )
+    # A struct as the key, so that the group of nulls joins like any other.
+    present = rows.select(
+        F.struct(F.col(group).alias("of")).alias("g"), F.col(value).cast("double").alias("v")
+    ).filter(F.col("v").isNotNull())
     edges = F.array(F.lit(0.5 - _BRACKET), F.lit(0.5 + _BRACKET))
-    brackets = (
+    sketch = F.percentile_approx("v", edges, F.lit(int(10 / _BRACKET)))
+    brackets = materialize(
         present.groupBy("g")
-        .agg(F.percentile_approx("v", edges, F.lit(int(10 / _BRACKET))).alias("e"), F.count("*").alias("n"))
-        .select(
-            F.col("g").alias("bracket_of"), "n",
-            F.get("e", F.lit(0)).alias("lo"), F.get("e", F.lit(1)).alias("hi"),
-        )
+        .agg(sketch.alias("e"), F.count("*").alias("n"))
+        .select("g", "n", F.get("e", F.lit(0)).alias("lo"), F.get("e", F.lit(1)).alias("hi")),
+        "brackets",
     )
-    placed = present.join(brackets, F.col("g").eqNullSafe(F.col("bracket_of")))
+    placed = join_around_hot(present, brackets, "g", hot_keys(brackets, "g", hot_rows))
     # The values inside the bracket, plus one row per group for all that lies below it.
     slot = F.when(F.col("v") >= F.col("lo"), F.col("v"))
     counted = (
         placed.filter(F.col("v") <= F.col("hi"))
         .select("g", "n", slot.alias("slot"))
         .groupBy("g", "slot")
-        .agg(F.count("*").alias("here"), F.first("n").alias("n"))
-    )
-    upto = F.sum("here").over(
-        Window.partitionBy("g").orderBy(F.col("slot").asc_nulls_first())
+        .agg(F.count("*").alias("here"), F.max("n").alias("n"))
     )
+    upto = F.sum("here").over(Window.partitionBy("g").orderBy(F.col("slot").asc_nulls_first()))
     ranked = counted.withColumn("upto", upto)
     low_rank, high_rank = F.floor((F.col("n") + 1) / 2), F.floor((F.col("n") + 2) / 2)
 
@@ -95,4 +97,6 @@ def median_per_group(rows: DataFrame, group: str, value: str) -> DataFrame:
         F.max(F.when(holds(low_rank), F.col("slot"))).alias("a"),
         F.max(F.when(holds(high_rank), F.col("slot"))).alias("b"),
     )
-    return middle.select(F.col("g").alias(group), ((F.col("a") + F.col("b")) / 2).alias("median_value"))
+    return middle.select(
+        F.col("g.of").alias(group), ((F.col("a") + F.col("b")) / 2).alias("median_value")
+    )

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docquery.shared import hot_keys, join_around_hot, materialize
+
 
 def _is_request() -> Column:
     return F.col("kind") == "request"
@@ -31,21 +33,30 @@ def status_of(kind: Column) -> Column:
     return F.when(kind == "approve", "approved").when(kind == "deny", "denied").otherwise("pending")
 
 
-def resolve(events: DataFrame) -> DataFrame:
-    """`(request_id, status, created_at)`: the first decision after the latest request, else pending.
-
-    Decisions on unknown requests, and all but the first, have no effect. Two
-    aggregates and a join, so no task sorts the whole history of one request.
-    """
-    latest = latest_requests(events)
-    decisions = events.filter(~_is_request())
-    first = (
-        decisions.join(latest.select("request_id", "requested_at"), "request_id")
+def first_decisions(
+    decisions: DataFrame, latest: DataFrame, hot_rows: int | None = None
+) -> DataFrame:
+    """`(request_id, kind)` of the first decision after the latest request of each id."""
+    counts = decisions.groupBy("request_id").agg(F.count("*").alias("n"))
+    hot = hot_keys(counts, "request_id", hot_rows)
+    since = latest.select("request_id", "requested_at")
+    return (
+        join_around_hot(decisions, since, "request_id", hot)
         .filter(F.col("at") > F.col("requested_at"))
         .groupBy("request_id")
         .agg(F.min(F.struct("at", "kind")).alias("decided"))
         .select("request_id", F.col("decided.kind").alias("kind"))
     )
+
+
+def resolve(events: DataFrame, hot_rows: int | None = None) -> DataFrame:
+    """`(request_id, status, created_at)`: the first decision after the latest request, else pending.
+
+    Decisions on unknown requests, and all but the first, have no effect. Aggregates
+    and a join around hot ids, so no task goes through the whole history of one request.
+    """
+    latest = materialize(latest_requests(events), "requests")
+    first = first_decisions(events.filter(~_is_request()), latest, hot_rows)
     return latest.join(first, "request_id", "left").select(
         "request_id", status_of(F.col("kind")).alias("status"), "created_at"
     )

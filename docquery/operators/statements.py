@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docquery.functions import sqlscreen
+from docquery.functions.text import let
 from docquery.hooks import Hook
 from docquery.operators.gating import decide
 from docquery.settings import DEFAULTS, Settings
@@ -31,12 +32,19 @@ def route_questions(rows: DataFrame, classifier: Hook, column: str = "question")
 
 
 def validate(rows: DataFrame, column: str = "raw_sql") -> DataFrame:
-    """Add `sql` (cleaned, null when refused), `valid` and `error` (first rule broken)."""
-    rows = rows.withColumn("_clean", sqlscreen.cleaned_sql(F.col(column)))
-    rows = rows.withColumn("error", sqlscreen.validation_error(F.col("_clean")))
-    return rows.withColumns(
-        {"valid": F.col("error").isNull(), "sql": F.when(F.col("error").isNull(), F.col("_clean"))}
-    ).drop("_clean")
+    """Add `sql` (cleaned, null when refused), `valid` and `error` (first rule broken).
+
+    The rules share one cleaned text, so a filter on `valid` that is pushed below
+    this step cleans each statement once more, not once per rule.
+    """
+    audit = let(
+        sqlscreen.cleaned_sql(F.coalesce(column, F.lit(""))),
+        lambda sql: F.struct(sql.alias("sql"), sqlscreen.validation_error(sql).alias("error")),
+    )
+    error = F.col("_audit.error")
+    return rows.withColumn("_audit", audit).withColumns(
+        {"error": error, "valid": error.isNull(), "sql": F.when(error.isNull(), F.col("_audit.sql"))}
+    ).drop("_audit")
 
 
 def with_risk(rows: DataFrame, settings: Settings = DEFAULTS, column: str = "sql") -> DataFrame:

@@ -56,20 +56,18 @@ def answer_batch(
     take the statement branch or the document branch, and every answer is masked.
     `raw_sql` is the statement a model wrote for the question, if any.
     """
-    screened = input_firewall(
-        questions, "question", settings, hooks.injection_judge, hooks.toxicity_judge
+    screened = materialize(
+        input_firewall(
+            questions, "question", settings, hooks.injection_judge, hooks.toxicity_judge
+        ),
+        "screened",
     )
-    allowed = screened.filter("allowed")
+    refused = screened.filter(~F.col("allowed")).withColumn("route", F.lit("documents"))
+    routed = screened.filter("allowed")
     if settings.sql_enabled:
-        routed = route_questions(allowed, hooks.classifier)
+        routed = route_questions(routed, hooks.classifier)
     else:
-        routed = allowed.withColumn("route", F.lit("documents"))
-    blocked = screened.filter(~F.col("allowed"))
-    routed = materialize(
-        routed.unionByName(blocked.withColumn("route", F.lit("documents"))), "routed"
-    )
-    refused = routed.filter(~F.col("allowed"))
-    routed = routed.filter("allowed")
+        routed = routed.withColumn("route", F.lit("documents"))
 
     nothing = {
         "hits": F.expr(NO_HITS),

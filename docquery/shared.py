@@ -5,6 +5,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 _TASKS_PER_CORE = 3
@@ -49,3 +50,32 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(_TASKS_PER_CORE * cores) if df.rdd.getNumPartitions() < cores else df
+
+
+# A key is hot above this many rows; the second figure bounds how many keys can be
+# hot, and with it what is broadcast, however large the table.
+HOT_ROWS = 1_000_000
+MOST_HOT_KEYS = 100_000
+
+
+def hot_keys(counts: DataFrame, key: str, hot_rows: int | None = None) -> DataFrame:
+    """The stored `(key)` rows of `counts(key, n)` that make up too much of their table for one task."""
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).head()["n"]
+    above = max(hot_rows, total // MOST_HOT_KEYS)
+    return materialize(counts.filter(F.col("n") > above).select(key), "hot")
+
+
+def join_around_hot(rows: DataFrame, table: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """Inner join of `rows` with `table`, which has one row per key, without gathering a hot key.
+
+    An aggregate on the join key afterwards would keep the join from being rebalanced
+    at run time. So the rows of hot keys are joined where they lie, against the few
+    table rows they need, and only the others are shuffled.
+    """
+    if hot.head() is None:
+        return rows.join(table, key)
+    few = F.broadcast(hot)
+    for_hot = F.broadcast(table.join(few, key, "left_semi"))
+    cold = rows.join(few, key, "left_anti").join(table, key)
+    return rows.join(for_hot, key).unionByName(cold)

@@ -5,32 +5,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from docquery.operators.ledger import latest_requests, status_of
-
-SUMMARY = "request_id {key}, has_request boolean, created_at {ts}, kind string, batch bigint"
+from docquery.operators.ledger import first_decisions, latest_requests, status_of
+from docquery.shared import materialize
 
 
 def batch_summary(events: DataFrame) -> DataFrame:
     """One row per request id of a batch: `(request_id, has_request, created_at, kind)`.
 
     `kind` is the first decision that counts: after the batch's last request, or the
-    batch's first one if it holds no request for that id. Aggregates and a join, so
-    one busy id never has to sit in one task.
+    batch's first one if it holds no request for that id. Aggregates and a join around
+    hot ids, so one busy id never has to sit in one task.
     """
-    latest = latest_requests(events)
+    latest = materialize(latest_requests(events), "requests")
     decisions = events.filter(F.col("kind") != "request")
-    first = (
-        decisions.join(latest.select("request_id", "requested_at"), "request_id", "left")
-        .filter(F.col("requested_at").isNull() | (F.col("at") > F.col("requested_at")))
-        .groupBy("request_id")
-        .agg(F.min(F.struct("at", "kind")).alias("decided"))
-        .select("request_id", F.col("decided.kind").alias("kind"))
+    first_of_all = (
+        decisions.groupBy("request_id")
+        .agg(F.min(F.struct("at", "kind")).alias("d"))
+        .select("request_id", F.col("d.kind").alias("first_kind"))
     )
-    return latest.join(first, "request_id", "full").select(
-        "request_id",
-        F.col("requested_at").isNotNull().alias("has_request"),
-        "created_at",
-        "kind",
+    after_request = first_decisions(decisions, latest)
+    has_request = F.col("requested_at").isNotNull()
+    return (
+        latest.join(first_of_all, "request_id", "full")
+        .join(after_request, "request_id", "left")
+        .select(
+            "request_id",
+            has_request.alias("has_request"),
+            "created_at",
+            F.when(has_request, F.col("kind")).otherwise(F.col("first_kind")).alias("kind"),
+        )
     )
 
 

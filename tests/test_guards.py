@@ -49,7 +49,7 @@ def test_toxicity(rows):
 
 
 def test_masking(rows):
-    text = ("Contact Ava at ava.chen@acme.com or 415-555-0132. "
+    text = ("Contact Ava at ava@example.com or 415-555-0132. "
             "SSN 123-45-6789, card 4111 1111 1111 1111, host 192.168.1.10.")
     row = mask_pii(rows(text)).head()
     assert row.pii_found == ["EMAIL", "SSN", "CREDIT_CARD", "IP", "PHONE"]
@@ -86,6 +86,6 @@ def test_input_firewall(rows):
 
 
 def test_output_firewall(rows):
-    masked, toxic = output_firewall(rows("You can reach HR at hr@acme.com.", "that plan is stupid")).collect()
+    masked, toxic = output_firewall(rows("You can reach HR at hr@example.com.", "that plan is stupid")).collect()
     assert "[EMAIL]" in masked.text and masked.pii_masked and masked.findings == ["masked EMAIL"]
     assert toxic.toxic and toxic.text == "that plan is stupid"

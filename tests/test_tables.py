@@ -23,8 +23,9 @@ def test_median_against_brute_force(spark):
         if v is not None:
             groups.setdefault(g, []).append(v)
     frame = spark.createDataFrame(rows, "g string, v double").repartition(6)
-    got = {r.g: r.median_value for r in figures.median_per_group(frame, "g", "v").collect()}
-    assert got == {g: statistics.median(v) for g, v in groups.items()}
+    for hot_rows in (None, 100, 0):
+        got = {r.g: r.median_value for r in figures.median_per_group(frame, "g", "v", hot_rows).collect()}
+        assert got == {g: statistics.median(v) for g, v in groups.items()}
 
 
 def test_extremes_break_ties_by_key(spark):
@@ -61,8 +62,10 @@ def events(spark, rows):
 @pytest.mark.parametrize("seed", range(4))
 def test_ledger_is_the_ordered_fold(spark, seed):
     rows = approval_rows(seed, 60)
-    got = {r.request_id: (r.status, r.created_at) for r in ledger.resolve(events(spark, rows)).collect()}
-    assert got == fold(sorted(rows, key=lambda r: (r[1], r[2])))
+    for hot_rows in (None, 3):
+        state = ledger.resolve(events(spark, rows), hot_rows).collect()
+        got = {r.request_id: (r.status, r.created_at) for r in state}
+        assert got == fold(sorted(rows, key=lambda r: (r[1], r[2])))
 
 
 def test_ledger_listing_and_lookup(spark):
