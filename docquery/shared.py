@@ -52,8 +52,8 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(_TASKS_PER_CORE * cores) if df.rdd.getNumPartitions() < cores else df
 
 
-# A key is hot above this many rows; the second figure bounds how many keys can be
-# hot, and with it what is broadcast, however large the table.
+# A key is hot above this many rows, and at most so many keys may count as hot: that
+# bounds what is broadcast, however large the table.
 HOT_ROWS = 1_000_000
 MOST_HOT_KEYS = 100_000
 
@@ -61,9 +61,11 @@ MOST_HOT_KEYS = 100_000
 def hot_keys(counts: DataFrame, key: str, hot_rows: int | None = None) -> DataFrame:
     """The stored `(key)` rows of `counts(key, n)` that make up too much of their table for one task."""
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).head()["n"]
-    above = max(hot_rows, total // MOST_HOT_KEYS)
-    return materialize(counts.filter(F.col("n") > above).select(key), "hot")
+    hot = materialize(counts.filter(F.col("n") > hot_rows).select(key, "n"), "hot")
+    while hot.limit(MOST_HOT_KEYS + 1).count() > MOST_HOT_KEYS:
+        hot_rows = 10 * max(hot_rows, 1)
+        hot = hot.filter(F.col("n") > hot_rows)
+    return hot.select(key)
 
 
 def join_around_hot(rows: DataFrame, table: DataFrame, key: str, hot: DataFrame) -> DataFrame:
