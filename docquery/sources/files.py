@@ -4,8 +4,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docquery.hooks import Hook
+
 # The suffixes a document folder may hold. Only the text formats are
-# read here; the two binary ones need a parser the caller provides as a column hook.
+# read here; the two binary ones need a parser hook (see read_documents).
 SUPPORTED = [".pdf", ".md", ".txt", ".xlsx"]
 TEXT_SUFFIXES = [".md", ".txt"]
 
@@ -22,13 +24,17 @@ def _suffix(path: Column) -> Column:
     return F.lower(F.regexp_extract(_file_name(path), r".(\.[^./]+)\z", 1))
 
 
-def _files(spark: SparkSession, root: str):
-    return (
+def _files(spark: SparkSession, root: str, suffixes: list[str] | None = None) -> DataFrame:
+    """Files below `root`; a suffix filter is a path glob, so no other file is opened."""
+    reader = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("ignoreCorruptFiles", True)
         .option("ignoreMissingFiles", True)
     )
+    if suffixes:
+        reader = reader.option("pathGlobFilter", "*{" + ",".join(_any_case(x) for x in suffixes) + "}")
+    return reader.load(root)
 
 
 def decoded(content: Column) -> Column:
@@ -40,20 +46,37 @@ def decoded(content: Column) -> Column:
 def read_text_documents(spark: SparkSession, root: str) -> DataFrame:
     """`(source, text)` of the text files below `root`; `source` is the file name.
 
-    The suffix filter is a path glob, so no other file is opened. Unreadable files
-    are skipped and empty ones give no row.
+    Unreadable files are skipped and empty ones give no row.
     """
-    glob = "*{" + ",".join(_any_case(s) for s in TEXT_SUFFIXES) + "}"
-    found = _files(spark, root).option("pathGlobFilter", glob).load(root)
-    documents = found.select(_file_name(F.col("path")).alias("source"), decoded(F.col("content")).alias("text"))
-    return documents.filter(F.col("text") != "")
+    return _documents(_files(spark, root, TEXT_SUFFIXES), decoded(F.col("content")))
+
+
+def read_documents(spark: SparkSession, root: str, parsers: dict[str, Hook]) -> DataFrame:
+    """Text files, and those of other suffixes through their parser hook `content -> text`.
+
+    Each parser gets its own scan, so it only ever sees files of its suffix.
+    """
+    found = read_text_documents(spark, root)
+    for suffix, parser in parsers.items():
+        if suffix not in SUPPORTED:
+            raise ValueError(f"Unsupported file type: {suffix}")
+        found = found.unionByName(
+            _documents(_files(spark, root, [suffix]), parser(F.col("content")))
+        )
+    return found
+
+
+def _documents(found: DataFrame, text: Column) -> DataFrame:
+    return found.select(_file_name(F.col("path")).alias("source"), text.alias("text")).filter(
+        F.col("text") != ""
+    )
 
 
 def rejected_files(spark: SparkSession, root: str) -> DataFrame:
     """`(path, reason)` of files with an unsupported suffix; contents are not read."""
     suffix = _suffix(F.col("path"))
     return (
-        _files(spark, root).load(root)
+        _files(spark, root)
         .filter(~suffix.isin(SUPPORTED))
         .select("path", F.concat(F.lit("Unsupported file type: "), suffix).alias("reason"))
     )

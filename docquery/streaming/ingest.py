@@ -18,7 +18,11 @@ def start_ingest(
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        write_index(batch, path, embedder, settings, run=f"batch-{batch_id}")
+        batch.persist()
+        try:
+            write_index(batch, path, embedder, settings, run=f"batch-{batch_id}")
+        finally:
+            batch.unpersist()
 
     return (
         documents.writeStream.foreachBatch(store)

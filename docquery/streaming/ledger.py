@@ -46,7 +46,12 @@ def start_ledger(events: DataFrame, path: str, checkpoint: str) -> StreamingQuer
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch_summary(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        # Read several times below; a source such as a queue should be read once.
+        batch.persist()
+        try:
+            batch_summary(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        finally:
+            batch.unpersist()
 
     return (
         events.writeStream.foreachBatch(store)

@@ -1,19 +1,26 @@
+import pytest
 from pyspark.sql import functions as F
 
+from docquery.hooks import Hook
 from docquery.sources import files
 from docquery.sources.tables import rows_to_text
 
 
 def test_text_folder(spark, tmp_path):
     (tmp_path / "sub").mkdir()
-    (tmp_path / "doc.md").write_text("# Title\n\nsome body text")
+    (tmp_path / "my doc%20.md").write_text("# Title\n\nsome body text")
     (tmp_path / "sub" / "b.TXT").write_bytes(b"plain \xff content\r\nhere")
     (tmp_path / "empty.txt").write_text("")
     (tmp_path / "archive.zip").write_bytes(b"x")
     (tmp_path / "no_suffix").write_text("x")
     (tmp_path / "report.pdf").write_bytes(b"x")
     got = {r.source: r.text for r in files.read_text_documents(spark, str(tmp_path)).collect()}
-    assert got == {"doc.md": "# Title\n\nsome body text", "b.TXT": "plain  content\nhere"}
+    assert got == {"my doc%20.md": "# Title\n\nsome body text", "b.TXT": "plain  content\nhere"}
+    parser = Hook(lambda content: F.concat(F.lit("parsed "), content.cast("string")))
+    more = {r.source: r.text for r in files.read_documents(spark, str(tmp_path), {".pdf": parser}).collect()}
+    assert more == {**got, "report.pdf": "parsed x"}
+    with pytest.raises(ValueError, match="Unsupported file type: .zip"):
+        files.read_documents(spark, str(tmp_path), {".zip": parser})
     rejected = {r.path.rsplit("/", 1)[1]: r.reason for r in files.rejected_files(spark, str(tmp_path)).collect()}
     assert rejected == {"archive.zip": "Unsupported file type: .zip", "no_suffix": "Unsupported file type: "}
 
