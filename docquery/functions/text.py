@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 # The characters a Unicode-aware strip removes, and the line
 # breaks other than a newline that a Unicode-aware line split honours.
 WHITESPACE = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0       "
-    "         　"
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
-OTHER_LINE_BREAK = r"\r\n|[\r\x0b\x0c\x1c-\x1e\x85  ]"
+OTHER_LINE_BREAK = r"\r\n|[\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 
 # A word for lexical scoring and hashing: a run of letters and digits.
 WORD = r"[\p{L}\p{N}]+"
