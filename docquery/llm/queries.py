@@ -4,10 +4,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquery.llm import chat, shards
+from docquery.llm import bpe, chat, linerules, packing, shards
 from docquery.sources.tables import table
 
 
+def vocabulary(name: str) -> str:
+    """Where the public vocabulary files are installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op2_shuffled_shards(spark: SparkSession, folder: str) -> DataFrame:
     placed = shards.shuffled_shards(table(spark, folder, "documents").select("doc_id", "text"), 40)
     return placed.select(
@@ -17,6 +24,18 @@ def op2_shuffled_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_line_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return linerules.rule_verdicts(table(spark, folder, "documents"))
+
+
+def op5_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    coded = bpe.encode_documents(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
+    return coded.select(
+        "doc_id", F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op6_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     columns = "conv_id long, turn long, role string, text string"
@@ -36,7 +55,15 @@ def op6_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_best_two_fit(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.token_pieces(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
+    return packing.pack_pieces(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
 QUERIES = {
     "op2_shuffled_shards": op2_shuffled_shards,
+    "op4_line_rules": op4_line_rules,
+    "op5_bpe_round_trip": op5_bpe_round_trip,
     "op6_chat_format": op6_chat_format,
+    "op8_best_two_fit": op8_best_two_fit,
 }
