@@ -19,17 +19,19 @@ from collections.abc import Iterator
 import ahocorasick
 import pyarrow as pa
 import regex
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docquery.llm.memory import remembered
+
 _WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # Fixed pattern: how byte-level vocabularies of this family cut a text into pieces.
 PIECES = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+"
     rf"| ?[^{_WHITE}\p{{L}}\p{{N}}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+"
 )
-_OTHER_WHITE = [c for c in map(chr, range(0x3001)) if c not in " \n" and re.fullmatch(f"[{_WHITE}]", c)]
-# Entries after which a task's memory of words and pairs is emptied.
+_OTHER_WHITE = [c for c in map(chr, range(0x3001)) if c not in " \n" and re.fullmatch(f"[{_WHITE}]", c)]# Entries after which a worker's memory of words and pairs is emptied.
 MOST_REMEMBERED = 300_000
 
 
@@ -203,8 +205,8 @@ class Encoder:
         return b"".join(map(self.tables.tokens.__getitem__, memoryview(ids).cast("I"))).decode(errors="replace")
 
 
-def _coded(batches: Iterator[pa.RecordBatch], tables: Tables) -> Iterator[pa.RecordBatch]:
-    encoder = Encoder(tables)
+def _coded(batches: Iterator[pa.RecordBatch], path: str, tables: Broadcast) -> Iterator[pa.RecordBatch]:
+    encoder = remembered(("bytes", path), lambda: Encoder(tables.value))
     for batch in batches:
         for at in range(0, batch.num_rows, 500):
             part = batch.slice(at, 500)
@@ -218,5 +220,5 @@ def encode_documents(docs: DataFrame, path: str, key: str = "doc_id", text: str
     columns = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(load_tables(path))
     kind = columns.schema["key"].dataType.simpleString()
-    coded = columns.mapInArrow(lambda b: _coded(b, shared.value), f"key {kind}, ids binary, decoded string")
+    coded = columns.mapInArrow(lambda b: _coded(b, path, shared), f"key {kind}, ids binary, decoded string")
     return coded.withColumnRenamed("key", key)

@@ -12,6 +12,7 @@ none; columns other than key and text are not carried.
 """
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,18 +22,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from docquery.llm.memory import remembered
 from docquery.shared import materialize
 
 SEQUENCE = 2048
 CLOSING_ID = 0
-# Entries after which a task's memory of words is emptied.
-MOST_REMEMBERED = 300_000
+# Entries after which a worker's memory of words is emptied.
+MOST_REMEMBERED = 400_000
+# Letters of one piece and symbols of the next, which the vocabulary's pattern surely cuts so.
+_SIMPLE = re.compile(r"([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,;:!?*$%&#|]*)")
 
 
 class WordEncoder:
     """Ids of whole texts from a vocabulary whose tokens never cross white space.
 
-    Words between white space are encoded once and looked up afterwards.
+    Words between white space are encoded once and looked up afterwards, in lower case and
+    without the symbols behind them where they are that simple.
     """
 
     def __init__(self, path: str):
@@ -43,6 +48,18 @@ class WordEncoder:
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {"": b""}
+
+    def _learn(self, words: list[str]) -> None:
+        """Add the ids of new words."""
+        cut = [(m[1].lower(), m[2]) if (m := _SIMPLE.fullmatch(w)) else (w, "") for w in words]
+        parts = self.parts
+        if len(parts) > MOST_REMEMBERED:
+            parts.clear()
+            parts[""] = b""
+        missing = list({p for pair in cut for p in pair if p not in parts})
+        parts.update(zip(missing, self._encoded(missing)))
+        self.words.update((w, parts[a] + parts[b]) for w, (a, b) in zip(words, cut))
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -53,11 +70,9 @@ class WordEncoder:
         whole = [any(c in t for c in "\x1c\x1d\x1e\x1f") or any(s in t for s in self.special) for t in texts]
         split = [[] if w else t.split() for t, w in zip(texts, whole)]
         words = self.words
-        missing = list(set().union(*split) - words.keys())
-        if len(words) + len(missing) > MOST_REMEMBERED:
+        if len(words) > MOST_REMEMBERED:
             words.clear()
-            missing = list(set().union(*split))
-        words.update(zip(missing, self._encoded(missing)))
+        self._learn(list(set().union(*split) - words.keys()))
         ids = [b"".join([words[w] for w in row]) for row in split]
         odd = [i for i, w in enumerate(whole) if w]
         for i, found in zip(odd, self._encoded([texts[i] for i in odd])):
@@ -66,7 +81,7 @@ class WordEncoder:
 
 
 def _cut(batches: Iterator[pa.RecordBatch], path: str, names: list[str]) -> Iterator[pa.RecordBatch]:
-    encoder = WordEncoder(path)
+    encoder = remembered(("words", path), lambda: WordEncoder(path))
     task = TaskContext.get().partitionId()
     seen = np.zeros(SEQUENCE + 1, np.int64)
     closing = CLOSING_ID.to_bytes(4, "little")
