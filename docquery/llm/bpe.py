@@ -23,7 +23,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docquery.llm.memory import remembered
+from docquery.llm.memory import received, remembered, send
 
 _WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # Fixed pattern: how byte-level vocabularies of this family cut a text into pieces.
@@ -206,7 +206,7 @@ class Encoder:
 
 
 def _coded(batches: Iterator[pa.RecordBatch], path: str, tables: Broadcast) -> Iterator[pa.RecordBatch]:
-    encoder = remembered(("bytes", path), lambda: Encoder(tables.value))
+    encoder = remembered(("bytes", path), lambda: Encoder(received(tables)))
     for batch in batches:
         for at in range(0, batch.num_rows, 500):
             part = batch.slice(at, 500)
@@ -218,7 +218,7 @@ def _coded(batches: Iterator[pa.RecordBatch], path: str, tables: Broadcast) -> I
 def encode_documents(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """`(key, ids, decoded)`: ids as little-endian unsigned 32-bit integers, and the text they decode to."""
     columns = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(load_tables(path))
+    sent = send(docs.sparkSession, load_tables(path))
     kind = columns.schema["key"].dataType.simpleString()
-    coded = columns.mapInArrow(lambda b: _coded(b, path, shared), f"key {kind}, ids binary, decoded string")
+    coded = columns.mapInArrow(lambda b: _coded(b, path, sent), f"key {kind}, ids binary, decoded string")
     return coded.withColumnRenamed("key", key)

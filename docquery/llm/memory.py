@@ -1,10 +1,14 @@
-"""What a Python worker keeps from one task to the next."""
+"""What is sent to Python workers, and what they keep from one task to the next."""
 from __future__ import annotations
 
+import pickle
 import sys
 from collections.abc import Callable
 from types import ModuleType
 
+from pyspark import Broadcast, cloudpickle
+from pyspark.sql import SparkSession
+
 _NAME = "_docquery_worker_memory"
 
 
@@ -18,3 +22,12 @@ def remembered(key: tuple, make: Callable):
     if key not in kept:
         kept[key] = make()
     return kept[key]
+
+
+def send(spark: SparkSession, value) -> Broadcast:
+    """Broadcast an object together with the code of its class, which workers need no copy of."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(sent: Broadcast):
+    return pickle.loads(sent.value)

@@ -4,7 +4,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquery.llm import bpe, chat, linerules, packing, shards
+from docquery.llm import bpe, chat, linerules, packing, shards, toxicity
+from docquery.llm.labels import remainder
 from docquery.sources.tables import table
 
 
@@ -55,6 +56,13 @@ def op6_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_compression_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = toxicity.fit_toxicity(docs, table(spark, folder, "labels"))
+    held_out = F.coalesce(remainder(F.col("doc_id"), toxicity.FOLDS) == toxicity.HELD_OUT, F.lit(False))
+    return toxicity.score_toxicity(docs, model).withColumn("held_out", held_out)
+
+
 def op8_best_two_fit(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.token_pieces(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
     return packing.pack_pieces(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
@@ -65,5 +73,6 @@ QUERIES = {
     "op4_line_rules": op4_line_rules,
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op6_chat_format": op6_chat_format,
+    "op7_compression_toxicity": op7_compression_toxicity,
     "op8_best_two_fit": op8_best_two_fit,
 }
