@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquery.llm import bpe, chat, linerules, packing, shards, toxicity
+from docquery.llm import bpe, chat, linerules, packing, quality, shards, toxicity
 from docquery.llm.labels import remainder
 from docquery.sources.tables import table
 
@@ -68,6 +68,15 @@ def op8_best_two_fit(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_pieces(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 
+def op9_rule_ensemble(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = quality.fit_quality(docs, table(spark, folder, "labels"))
+    held_out = F.coalesce(remainder(F.col("doc_id"), quality.FOLDS) == quality.HELD_OUT, F.lit(False))
+    return quality.score_quality(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 QUERIES = {
     "op2_shuffled_shards": op2_shuffled_shards,
     "op4_line_rules": op4_line_rules,
@@ -75,4 +84,5 @@ QUERIES = {
     "op6_chat_format": op6_chat_format,
     "op7_compression_toxicity": op7_compression_toxicity,
     "op8_best_two_fit": op8_best_two_fit,
+    "op9_rule_ensemble": op9_rule_ensemble,
 }
