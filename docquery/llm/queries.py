@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquery.llm import bpe, chat, linerules, packing, quality, shards, toxicity
+from docquery.llm import bpe, chat, linerules, neardup, packing, quality, shards, toxicity
 from docquery.llm.labels import remainder
 from docquery.sources.tables import table
 
@@ -77,6 +77,10 @@ def op9_rule_ensemble(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_lsh_forest(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.duplicate_classes(table(spark, folder, "documents"), neardup.Forest(words=2))
+
+
 QUERIES = {
     "op2_shuffled_shards": op2_shuffled_shards,
     "op4_line_rules": op4_line_rules,
@@ -85,4 +89,5 @@ QUERIES = {
     "op7_compression_toxicity": op7_compression_toxicity,
     "op8_best_two_fit": op8_best_two_fit,
     "op9_rule_ensemble": op9_rule_ensemble,
+    "op10_lsh_forest": op10_lsh_forest,
 }
