@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquery.llm import bpe, chat, linerules, neardup, packing, quality, shards, toxicity
+from docquery.llm import ann, bpe, chat, linerules, neardup, packing, quality, shards, toxicity
 from docquery.llm.labels import remainder
 from docquery.sources.tables import table
 
@@ -16,6 +16,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_dimension_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.nearest_neighbours(table(spark, folder, "embeddings"), lambda i: i % 100 == 0)
+
+
 def op2_shuffled_shards(spark: SparkSession, folder: str) -> DataFrame:
     placed = shards.shuffled_shards(table(spark, folder, "documents").select("doc_id", "text"), 40)
     return placed.select(
@@ -82,6 +86,7 @@ def op10_lsh_forest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_dimension_scan": op1_dimension_scan,
     "op2_shuffled_shards": op2_shuffled_shards,
     "op4_line_rules": op4_line_rules,
     "op5_bpe_round_trip": op5_bpe_round_trip,
