@@ -1,6 +1,64 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+from docquery.llm.licences import TEMPLATES, THRESHOLD
+
+_TEMPLATE_ROWS = ", ".join("('{}', '{}')".format(*t) for t in TEMPLATES)
+
 SQL = {
+    "op3_licence_scan": f"""
+with files as (
+    select doc_id, coalesce(text, '') as text,
+        case when doc_id % 97 = 0 then source || '/LICENSE-' || doc_id || '.txt'
+             when doc_id % 40 = 0 then source || '/' || lang || '/' || (doc_id % 50) || '/LICENSE-' || doc_id || '.txt'
+             else source || '/' || lang || '/' || (doc_id % 50) || '/' || doc_id || '.txt' end as path
+    from documents
+), templates(licence, body) as (values {_TEMPLATE_ROWS}),
+template_tf as (
+    select licence, term, count(*) as tf
+    from (select licence, unnest(string_split_regex(lower(body), '[^a-z0-9]+')) as term from templates)
+    where term <> '' group by all
+), lines as (
+    select path, n, line from (
+        select path, unnest(string_split(text, chr(10))) as line,
+            unnest(range(len(string_split(text, chr(10))))) as n from files
+    )
+), line_terms as (
+    select path, n, term, count(*) as tf
+    from (select path, n, unnest(string_split_regex(lower(line), '[^a-z0-9]+')) as term from lines)
+    where term <> '' group by all
+), seen as (
+    select term, count(distinct path) as n from line_terms where term in (select term from template_tf) group by term
+), idf as (
+    select distinct t.term, ln(((select count(*) from files) + 1) / (coalesce(s.n, 0) + 1)) + 1 as idf
+    from template_tf t left join seen s on s.term = t.term
+), template_size as (
+    select licence, sqrt(sum(tf * idf * tf * idf)) as size from template_tf join idf using (term) group by licence
+), weighted as (
+    select path, n, l.term, tf * coalesce(idf, 1.0) as w from line_terms l left join idf on idf.term = l.term
+), line_size as (select path, n, sqrt(sum(w * w)) as size from weighted group by all),
+scored as (
+    select w.path, t.licence, round(sum(w.w * t.tf * i.idf) / any_value(s.size) / any_value(l.size), 6) as score
+    from weighted w join template_tf t on t.term = w.term join idf i on i.term = w.term
+    join template_size s on s.licence = t.licence join line_size l on l.path = w.path and l.n = w.n
+    group by w.path, w.n, t.licence
+), own as (
+    select path, licence as own_licence, score as own_score from scored where score >= {THRESHOLD}
+    qualify row_number() over (partition by path order by score desc, licence) = 1
+), given as (
+    select regexp_extract(path, '^(.*)/[^/]*$', 1) as above, min_by(own_licence, path) as given
+    from own where regexp_matches(lower(regexp_extract(path, '([^/]*)$', 1)), '^(licen[cs]e|copying|notice)([^a-z].*)?$')
+    group by above
+), placed as (select *, regexp_extract(path, '^(.*)/[^/]*$', 1) as directory from files),
+nearest as (
+    select d.directory, max_by(g.above, length(g.above)) as above, max_by(g.given, length(g.above)) as given
+    from (select distinct directory from placed) d
+    join given g on d.directory = g.above or g.above = '' or starts_with(d.directory, g.above || '/')
+    group by d.directory
+)
+select doc_id, p.path, own_licence, own_score, coalesce(own_licence, given) as licence,
+    case when own_licence is null then above end as inherited_from
+from placed p left join own o on o.path = p.path left join nearest d on d.directory = p.directory
+""",
     "op6_chat_format": """
 with turns as (
     select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquery.llm import ann, bpe, chat, linerules, neardup, packing, quality, shards, toxicity
+from docquery.llm import ann, bpe, chat, licences, linerules, neardup, packing, quality, shards, toxicity
 from docquery.llm.labels import remainder
 from docquery.sources.tables import table
 
@@ -29,6 +29,20 @@ def op2_shuffled_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents have no paths, so these are made of source, language and id.
+
+    Every 40th document stands for the licence file of its directory, every 97th for its source's.
+    """
+    path = F.expr("""
+        case when doc_id % 97 = 0 then concat(source, '/LICENSE-', doc_id, '.txt')
+             when doc_id % 40 = 0 then concat(source, '/', lang, '/', doc_id % 50, '/LICENSE-', doc_id, '.txt')
+             else concat(source, '/', lang, '/', doc_id % 50, '/', doc_id, '.txt') end
+    """)
+    files = table(spark, folder, "documents").select("doc_id", path.alias("path"), "text")
+    return licences.scan_licences(files).drop("text")
+
+
 def op4_line_rules(spark: SparkSession, folder: str) -> DataFrame:
     return linerules.rule_verdicts(table(spark, folder, "documents"))
 
@@ -88,6 +102,7 @@ def op10_lsh_forest(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_dimension_scan": op1_dimension_scan,
     "op2_shuffled_shards": op2_shuffled_shards,
+    "op3_licence_scan": op3_licence_scan,
     "op4_line_rules": op4_line_rules,
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op6_chat_format": op6_chat_format,
