@@ -92,6 +92,11 @@ def _digest(data: bytes) -> bytes:
     return hashlib.md5(data, usedforsecurity=False).digest()
 
 
+def text_digest(text: Column) -> Column:
+    """The `text_id` of a text."""
+    return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit(""))))
+
+
 def _signed(batches: Iterator[pa.RecordBatch], forest: Forest, names: list[str]) -> Iterator[pa.RecordBatch]:
     multipliers = _multipliers(forest.trees * forest.depth)
     for batch in batches:
@@ -221,7 +226,7 @@ def _best(pairs: DataFrame, n: int) -> DataFrame:
 
 
 def duplicate_classes(docs: DataFrame, forest: Forest, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """`(key, n_shingles, component_id, kept)` of each row; the component's smallest key names it."""
+    """`(key, n_shingles, component_id, kept, text_id)` of each row; the component's smallest key names it."""
     columns = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     kind = columns.schema["key"].dataType.simpleString()
     ddl = f"key {kind}, n_shingles long, node binary, text_id binary, signature binary"
@@ -243,7 +248,7 @@ def duplicate_classes(docs: DataFrame, forest: Forest, key: str = "doc_id", text
     )
     # Only the texts of classes that have a candidate are read for their full sets.
     wanted = near.select("node", F.col("key").alias("near_key"), "text_id")
-    texts = columns.withColumn("text_id", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
+    texts = columns.withColumn("text_id", text_digest(F.col("text")))
     rows = texts.join(
         wanted, (texts["text_id"] == wanted["text_id"]) & texts["key"].eqNullSafe(wanted["near_key"])
     ).select("node", "text")
@@ -266,10 +271,10 @@ def duplicate_classes(docs: DataFrame, forest: Forest, key: str = "doc_id", text
     named = classes.select("node", "key").join(names_of, "node", "left").select(
         "node", F.coalesce("least", "key").alias("component_id")
     )
-    result = signed.select("key", "n_shingles", "node").join(named, "node", "left").withColumn(
+    result = signed.select("key", "n_shingles", "node", "text_id").join(named, "node", "left").withColumn(
         "component_id", F.when(F.col("node").isNull(), F.col("key")).otherwise(F.col("component_id"))
     )
     return result.select(
         F.col("key").alias(key), "n_shingles", "component_id",
-        F.col("key").eqNullSafe(F.col("component_id")).alias("kept"),
+        F.col("key").eqNullSafe(F.col("component_id")).alias("kept"), "text_id",
     )

@@ -96,7 +96,9 @@ def op9_rule_ensemble(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_lsh_forest(spark: SparkSession, folder: str) -> DataFrame:
-    return neardup.duplicate_classes(table(spark, folder, "documents"), neardup.Forest(words=2))
+    return neardup.duplicate_classes(table(spark, folder, "documents"), neardup.Forest(words=2)).drop(
+        "text_id"
+    )
 
 
 QUERIES = {
