@@ -6,8 +6,9 @@ A class is compared with its neighbours there as far as they share a prefix, so
 sparse regions are compared at shallow depth, dense ones at greater depth. Neighbours whose
 sketches agree enough are candidates.
 
-Links are confirmed in two rounds. The first confirms each class's best candidates and joins them to
-components; the second confirms every remaining candidate between different components. A link
+Links are confirmed in rounds. The first confirms each class's best candidates and joins them to
+components. Later rounds confirm what is left between different components, all candidates among
+near neighbours and the best ones among far neighbours, until a round confirms nothing. A link
 inside a component changes nothing and need not be confirmed.
 
 Defined cases: null or empty texts have empty sets and are linked with nothing; a text of fewer
@@ -43,12 +44,14 @@ class Forest:
     words: int = 5
     percent: int = 80
     trees: int = 16
-    depth: int = 6
-    # Values that neighbours must share at least, and neighbours that are compared on each side.
+    depth: int = 8
+    # Values that neighbours must share at least, and neighbours that are compared on each side: near
+    # ones in all rounds, far ones where only those of different components are.
     least_depth: int = 2
-    neighbours: int = 16
-    # Bytes of a sketch that must agree: 4.5 standard deviations below what a linked pair has.
-    sketch: int = 64
+    near: int = 16
+    far: int = 128
+    # Bytes of a sketch. At least as many must agree as a linked pair has, less 4.5 standard deviations.
+    sketch: int = 128
     best: int = 3
 
     @property
@@ -136,10 +139,11 @@ def _neighbours(
 ) -> Iterator[pa.RecordBatch]:
     """Candidate pairs among rows `(tree, path, sketch, node, component)` in sorted order.
 
-    With `best_only`, each row gives the predecessor that agrees most with it, else every one that
-    agrees enough and is in another component.
+    With `best_only`, each row gives the near predecessor that agrees most with it. Else it gives
+    all near neighbours of other components that agree enough, and the best far one on each side.
     """
     held: list[np.ndarray] | None = None
+    most = forest.near if best_only else forest.far
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -153,9 +157,10 @@ def _neighbours(
             rows = [np.concatenate(pair) for pair in zip(held, rows)]
         prefix, sketch, node, component = rows
         n = len(prefix)
-        top, partner = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        # The best partner of each row before it and behind it, and how much it agrees.
+        top, partner = np.zeros((2, n), np.int64), np.zeros((2, n), np.int64)
         found = []
-        for back in range(1, min(forest.neighbours, n - 1) + 1):
+        for back in range(1, min(most, n - 1) + 1):
             later = np.arange(max(back, seen), n)
             later = later[(prefix[later] == prefix[later - back]).all(axis=1)]
             if not best_only:
@@ -164,19 +169,19 @@ def _neighbours(
                 continue
             agree = (sketch[later] == sketch[later - back]).sum(axis=1)
             later, agree = later[agree >= forest.least_agreement], agree[agree >= forest.least_agreement]
-            if best_only:
-                better = agree > top[later]
-                later, agree = later[better], agree[better]
-                top[later], partner[later] = agree, later - back
-            else:
+            if not best_only and back <= forest.near:
                 found.append((later, later - back, agree))
-        if best_only:
-            later = np.flatnonzero(top)
-            found = [(later, partner[later], top[later])]
-        held = [r[-forest.neighbours :] for r in rows]
-        for later, other, agree in found:
-            if len(later):
-                ends = [pa.array(list(map(bytes, node[i])), pa.binary()) for i in (later, other)]
+                continue
+            for side, (row, other) in enumerate(((later, later - back), (later - back, later))):
+                better = agree > top[side, row]
+                top[side, row[better]], partner[side, row[better]] = agree[better], other[better]
+        for side in (0,) if best_only else (0, 1):
+            row = np.flatnonzero(top[side])
+            found.append((row, partner[side, row], top[side, row]))
+        held = [r[-most:] for r in rows]
+        for row, other, agree in found:
+            if len(row):
+                ends = [pa.array(list(map(bytes, node[i])), pa.binary()) for i in (row, other)]
                 yield pa.RecordBatch.from_arrays([*ends, pa.array(agree, pa.int64())], names=["a", "b", "agree"])
 
 
@@ -257,19 +262,29 @@ def duplicate_classes(docs: DataFrame, forest: Forest, key: str = "doc_id", text
         .groupBy("node").agg(F.first("shingles").alias("shingles")),
         "sets",
     )
-    links = materialize(_confirmed(_best(pairs, forest.best), sets, forest), "confirmed")
+    tested = materialize(_best(pairs, forest.best), "tested")
+    links = materialize(_confirmed(tested, sets, forest), "confirmed")
     found = materialize(components(links), "components")
-    joined = near.drop("component").join(found, "node", "left").withColumn("component", F.coalesce("root", "node"))
-    rest = materialize(_candidates(joined.drop("root"), forest, best_only=False), "rest")
-    more = _confirmed(rest, sets, forest)
-    stars = found.select(F.col("node").alias("u"), F.col("root").alias("v"))
-    found = materialize(components(stars.unionByName(more)), "components")
+    while True:
+        joined = near.drop("component").join(found, "node", "left").withColumn("component", F.coalesce("root", "node"))
+        rest = _candidates(joined.drop("root"), forest, best_only=False).select("u", "v")
+        rest = materialize(rest.join(tested, ["u", "v"], "left_anti"), "rest")
+        more = materialize(_confirmed(rest, sets, forest), "confirmed")
+        if more.head() is None:
+            break
+        tested = tested.unionByName(rest)
+        stars = found.select(F.col("node").alias("u"), F.col("root").alias("v"))
+        found = materialize(components(stars.unionByName(more)), "components")
 
     by_root = found.join(near.select("node", "key"), "node")
     least = by_root.groupBy("root").agg(F.min("key").alias("least"))
     names_of = by_root.join(least, "root").select("node", "least")
-    named = classes.select("node", "key").join(names_of, "node", "left").select(
-        "node", F.coalesce("least", "key").alias("component_id")
+    # Stored, so that the join has a plain shuffle on both sides and can split the rows of many copies.
+    named = materialize(
+        classes.select("node", "key").join(names_of, "node", "left").select(
+            "node", F.coalesce("least", "key").alias("component_id")
+        ),
+        "names",
     )
     result = signed.select("key", "n_shingles", "node", "text_id").join(named, "node", "left").withColumn(
         "component_id", F.when(F.col("node").isNull(), F.col("key")).otherwise(F.col("component_id"))
