@@ -7,9 +7,9 @@ sparse regions are compared at shallow depth, dense ones at greater depth. Neigh
 sketches agree enough are candidates.
 
 Links are confirmed in rounds. The first confirms each class's best candidates and joins them to
-components. Later rounds confirm what is left between different components, all candidates among
-near neighbours and the best ones among far neighbours, until a round confirms nothing. A link
-inside a component changes nothing and need not be confirmed.
+components. Later rounds look farther, and confirm the best candidates that the classes of a smaller
+component have in larger ones, until a round confirms nothing. A link inside a component changes
+nothing and need not be confirmed.
 
 Defined cases: null or empty texts have empty sets and are linked with nothing; a text of fewer
 words than a shingle is one shingle; repeated rows share a class; a null key counts as larger
@@ -46,10 +46,12 @@ class Forest:
     trees: int = 16
     depth: int = 8
     # Values that neighbours must share at least, and neighbours that are compared on each side: near
-    # ones in all rounds, far ones where only those of different components are.
+    # ones in the first round, far ones where only those of different components are.
     least_depth: int = 2
     near: int = 16
     far: int = 128
+    # Far neighbours on which a class of the smaller component is confirmed, for each tree.
+    best_far: int = 32
     # Bytes of a sketch. At least as many must agree as a linked pair has, less 4.5 standard deviations.
     sketch: int = 128
     best: int = 3
@@ -137,13 +139,13 @@ def _fixed(column: pa.Array, width: int) -> np.ndarray:
 def _neighbours(
     batches: Iterator[pa.RecordBatch], forest: Forest, best_only: bool
 ) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs among rows `(tree, path, sketch, node, component)` in sorted order.
+    """Candidate pairs among rows `(tree, path, sketch, node, component, size)` in sorted order.
 
-    With `best_only`, each row gives the near predecessor that agrees most with it. Else it gives
-    all near neighbours of other components that agree enough, and the best far one on each side.
+    With `best_only`, each row gives the near predecessor that agrees most with it. Else a row gives
+    its best far neighbours in other components of at least the size of its own.
     """
     held: list[np.ndarray] | None = None
-    most = forest.near if best_only else forest.far
+    most, kept = (forest.near, 1) if best_only else (forest.far, forest.best_far)
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -151,47 +153,47 @@ def _neighbours(
         rows = [
             np.concatenate([tree, _fixed(batch.column(1), 4 * forest.depth)[:, : 4 * forest.least_depth]], axis=1),
             _fixed(batch.column(2), forest.sketch), _fixed(batch.column(3), 16), _fixed(batch.column(4), 16),
+            batch.column(5).to_numpy(),
         ]
         seen = 0 if held is None else len(held[0])
         if held is not None:
             rows = [np.concatenate(pair) for pair in zip(held, rows)]
-        prefix, sketch, node, component = rows
+        prefix, sketch, node, component, size = rows
         n = len(prefix)
-        # The best partner of each row before it and behind it, and how much it agrees.
-        top, partner = np.zeros((2, n), np.int64), np.zeros((2, n), np.int64)
-        found = []
+        found = [(np.zeros(0, np.int64),) * 3]
         for back in range(1, min(most, n - 1) + 1):
             later = np.arange(max(back, seen), n)
             later = later[(prefix[later] == prefix[later - back]).all(axis=1)]
             if not best_only:
                 later = later[(component[later] != component[later - back]).any(axis=1)]
-            if not len(later):
-                continue
             agree = (sketch[later] == sketch[later - back]).sum(axis=1)
-            later, agree = later[agree >= forest.least_agreement], agree[agree >= forest.least_agreement]
-            if not best_only and back <= forest.near:
-                found.append((later, later - back, agree))
+            enough = agree >= forest.least_agreement
+            later, agree = later[enough], agree[enough]
+            other = later - back
+            if best_only:
+                found.append((later, other, agree))
                 continue
-            for side, (row, other) in enumerate(((later, later - back), (later - back, later))):
-                better = agree > top[side, row]
-                top[side, row[better]], partner[side, row[better]] = agree[better], other[better]
-        for side in (0,) if best_only else (0, 1):
-            row = np.flatnonzero(top[side])
-            found.append((row, partner[side, row], top[side, row]))
+            for row, far in ((later, other), (other, later)):
+                asks = size[row] <= size[far]
+                found.append((row[asks], far[asks], agree[asks]))
         held = [r[-most:] for r in rows]
-        for row, other, agree in found:
-            if len(row):
-                ends = [pa.array(list(map(bytes, node[i])), pa.binary()) for i in (row, other)]
-                yield pa.RecordBatch.from_arrays([*ends, pa.array(agree, pa.int64())], names=["a", "b", "agree"])
+        row, other, agree = map(np.concatenate, zip(*found))
+        order = np.lexsort((-agree, row))
+        row, other, agree = row[order], other[order], agree[order]
+        rank = np.arange(len(row)) - np.searchsorted(row, row)
+        row, other, agree = row[rank < kept], other[rank < kept], agree[rank < kept]
+        if len(row):
+            ends = [pa.array(list(map(bytes, node[i])), pa.binary()) for i in (row, other)]
+            yield pa.RecordBatch.from_arrays([*ends, pa.array(agree, pa.int64())], names=["a", "b", "agree"])
 
 
 def _candidates(classes: DataFrame, forest: Forest, best_only: bool) -> DataFrame:
-    """Distinct candidate pairs `(u, v, agree)` of the classes `(node, signature, component)`."""
+    """Distinct candidate pairs `(u, v, agree)` of the classes `(node, signature, sketch, component, size)`."""
     width = 4 * forest.depth
     trees = F.explode(F.sequence(F.lit(0), F.lit(forest.trees - 1))).alias("tree")
-    rows = classes.select("node", "component", "signature", "sketch", trees).select(
+    rows = classes.select("node", "component", "size", "signature", "sketch", trees).select(
         "tree", F.substring("signature", F.col("tree") * width + 1, F.lit(width)).alias("path"),
-        "sketch", "node", "component",
+        "sketch", "node", "component", "size",
     )
     ordered = rows.repartitionByRange("tree", "path", "node").sortWithinPartitions("tree", "path", "node")
     pairs = ordered.mapInArrow(lambda b: _neighbours(b, forest, best_only), "a binary, b binary, agree long")
@@ -244,7 +246,7 @@ def duplicate_classes(docs: DataFrame, forest: Forest, key: str = "doc_id", text
         signed.filter(F.col("node").isNotNull()).groupBy("node").agg(
             first.alias("first"), F.first("signature").alias("signature")
         ).select("node", "first.key", "first.text_id", "signature", sketch.alias("sketch"),
-                 F.col("node").alias("component")),
+                 F.col("node").alias("component"), F.lit(1).cast("long").alias("size")),
         "classes",
     )
     pairs = materialize(_candidates(classes, forest, best_only=True), "pairs")
@@ -266,8 +268,12 @@ def duplicate_classes(docs: DataFrame, forest: Forest, key: str = "doc_id", text
     links = materialize(_confirmed(tested, sets, forest), "confirmed")
     found = materialize(components(links), "components")
     while True:
-        joined = near.drop("component").join(found, "node", "left").withColumn("component", F.coalesce("root", "node"))
-        rest = _candidates(joined.drop("root"), forest, best_only=False).select("u", "v")
+        sizes = found.groupBy("root").agg(F.count("*").alias("members"))
+        joined = near.join(found.join(sizes, "root"), "node", "left").select(
+            "node", "signature", "sketch", F.coalesce("root", "node").alias("component"),
+            F.coalesce("members", F.lit(1)).cast("long").alias("size"),
+        )
+        rest = _candidates(joined, forest, best_only=False).select("u", "v")
         rest = materialize(rest.join(tested, ["u", "v"], "left_anti"), "rest")
         more = materialize(_confirmed(rest, sets, forest), "confirmed")
         if more.head() is None:
