@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from docquery.shared import hot_keys, join_around_hot, materialize
 
@@ -26,9 +27,17 @@ def sum_per_group(rows: DataFrame, group: str, value: str) -> DataFrame:
 def arg_extreme_per_group(rows: DataFrame, group: str, value: str, key: str, highest: bool = True) -> DataFrame:
     """The row key with the highest (lowest) value of each group; ties go to the smaller key.
 
-    An aggregate, so each task sends one row per group instead of all its rows.
+    Aggregates, so each task sends one row per group instead of all its rows. Numbers need one; what
+    cannot be negated, as dates and strings, is found first and its smallest key in a second one.
     """
     present = rows.filter(F.col(value).isNotNull())
+    if highest and not isinstance(rows.schema[value].dataType, NumericType):
+        top = present.groupBy(group).agg(F.max(value).alias("_top"))
+        there = present.join(
+            top.withColumnRenamed(group, "_group"),
+            F.col(group).eqNullSafe(F.col("_group")) & (F.col(value) == F.col("_top")),
+        )
+        return there.groupBy(group).agg(F.min(key).alias(key), F.first("_top").alias(value))
     order = F.struct((-F.col(value) if highest else F.col(value)).alias("v"), F.col(key).alias("k"))
     best = present.groupBy(group).agg(F.min(order).alias("best"))
     found = -F.col("best.v") if highest else F.col("best.v")

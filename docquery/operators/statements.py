@@ -7,7 +7,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquery.functions import sqlscreen
+from docquery.functions import planscreen, sqlscreen
 from docquery.functions.text import let
 from docquery.hooks import Hook
 from docquery.operators.gating import decide
@@ -56,12 +56,17 @@ def with_risk(rows: DataFrame, settings: Settings = DEFAULTS, column: str = "sql
 
 
 def run_select(spark: SparkSession, sql: str, max_rows: int | None = None) -> DataFrame:
-    """At most `max_rows` rows of one SELECT over the registered views."""
+    """At most `max_rows` rows of one SELECT over the registered views.
+
+    The parsed plan decides, before anything is analysed: an analysed path is already read.
+    """
     text = sql.strip().rstrip(";").strip()
     if ";" in text:
         raise NotReadOnlyError(sqlscreen.STACKED_AT_RUN)
     if not text.lower().startswith("select"):
         raise NotReadOnlyError(sqlscreen.NOT_SELECT)
+    if broken := planscreen.plan_error(spark, text):
+        raise NotReadOnlyError(broken)
     return spark.sql(text).limit(max_rows or DEFAULTS.sql_max_rows)
 
 
@@ -91,11 +96,15 @@ def execute_distinct(statements: DataFrame, settings: Settings = DEFAULTS) -> Da
 def _planned(spark: SparkSession, sql: str, max_rows: int) -> DataFrame:
     try:
         rows = run_select(spark, sql, max_rows)
-        row = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+        # Columns are taken by place, as their names may repeat; the first of a name is answered.
+        places = {name: i for i, name in reversed(list(enumerate(rows.columns)))}
+        names = [name for i, name in enumerate(rows.columns) if places[name] == i]
+        rows = rows.toDF(*[f"c{i}" for i in range(len(rows.columns))])
+        row = F.struct(*[F.col(f"c{places[name]}").alias(name) for name in names])
         # limit leaves one partition of at most max_rows rows, so this list is short
         result = rows.agg(
             F.count("*").cast("int").alias("row_count"),
-            F.to_json(F.collect_list(row)).alias("rows_json"),
+            F.to_json(F.collect_list(row), {"ignoreNullFields": "false"}).alias("rows_json"),
         )
         return result.select(
             F.lit(sql).alias("sql"), "row_count", "rows_json", F.lit(None).cast("string").alias("error")
@@ -139,12 +148,15 @@ def structured_branch(log: DataFrame, settings: Settings = DEFAULTS) -> DataFram
     stored table, so its true size decides how it is joined back.
     """
     log = log.withColumn("raw_sql", F.coalesce("raw_sql", F.lit("")))
-    audited = materialize(
-        with_risk(validate(log.select("raw_sql").distinct()), settings).withColumn(
-            "frozen", F.col("valid") & F.col("risky") & F.lit(settings.approval_enabled)
-        ),
-        "audited",
-    )
+    valid = validate(log.select("raw_sql").distinct())
+    if settings.approval_enabled:
+        assessed = with_risk(valid, settings).withColumn("frozen", F.col("valid") & F.col("risky"))
+    else:
+        # Nobody is asked, so nothing is assessed.
+        assessed = valid.withColumns(
+            {"reasons": F.array().cast("array<string>"), "risky": F.lit(False), "frozen": F.lit(False)}
+        )
+    audited = materialize(assessed, "audited")
     results = execute_distinct(audited.filter(F.col("valid") & ~F.col("frozen")), settings)
     outcomes = _outcomes(audited, results)
     return log.join(outcomes, "raw_sql").drop("raw_sql")

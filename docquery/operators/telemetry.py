@@ -70,6 +70,8 @@ def over_windows(slides: DataFrame, keys: list[str], sums: list[str], window: in
     The log is first reduced to one row per slide, so the rows that are repeated
     for every window they fall into are the reduced ones.
     """
+    if window % slide:
+        raise ValueError(f"a window of {window} s is not made of slides of {slide} s")
     back = F.explode(F.sequence(F.lit(0), F.lit(window // slide - 1))).alias("back")
     shifted = slides.select("*", back).withColumn(
         "window_start",

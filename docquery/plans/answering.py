@@ -34,7 +34,9 @@ def document_answers(
     makes up much of the log costs one retrieval. The answers are written out, and
     their size then decides between sending them along and shuffling.
     """
-    asked = questions.select("question").distinct().select(
+    # A null question is answered like an empty one and keeps its row.
+    questions = questions.withColumn("_asked", F.coalesce("question", F.lit("")))
+    asked = questions.select(F.col("_asked").alias("question")).distinct().select(
         F.sha2("question", 256).alias("question_id"), "question"
     )
     find = corrected_hits if settings.correction_enabled else linear_hits
@@ -42,9 +44,8 @@ def document_answers(
     answers = materialize(
         found.withColumn("text", hooks.generator(F.col("question"), F.col("hits"))), "answers"
     )
-    return questions.select("question_id", "question").join(
-        answers.drop("question_id"), "question"
-    )
+    found = answers.drop("question_id").withColumnRenamed("question", "_asked")
+    return questions.select("question_id", "question", "_asked").join(found, "_asked").drop("_asked")
 
 
 def answer_batch(

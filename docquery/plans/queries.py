@@ -424,7 +424,7 @@ def resumed_answers(spark: SparkSession, folder: str) -> DataFrame:
         F.col("request_id").alias("user_id"), "status"
     )
     decisions = users.join(state, "user_id").select("request_id", "status")
-    resumed = statements.resume_decided(risky, decisions, replace(SETTINGS, sql_max_rows=1))
+    resumed = statements.resume_decided(risky, decisions, SETTINGS)
     return firewall.output_firewall(resumed).select(
         "request_id", "status", "row_count", "risk_reason",
         F.when(F.col("status") == "denied", F.col("text")).alias("refusal"),

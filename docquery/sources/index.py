@@ -130,6 +130,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
 def write_index(
     documents: DataFrame,
     path: str,
@@ -146,16 +151,15 @@ def write_index(
     """
     spark = documents.sparkSession
     run = run or uuid.uuid4().hex
-    if not recreate:
+    if recreate:
+        # The stamp goes first: an index without one takes any embedder.
+        for name in ("meta", "chunks", "sections", "terms", "size"):
+            _delete(spark, f"{path}/{name}")
+    else:
         assert_embedder(spark, path, settings.fingerprint())
 
     def store(table: DataFrame, name: str) -> None:
-        if recreate:
-            table.withColumn("run", F.lit(run)).write.mode("overwrite").partitionBy("run").parquet(
-                f"{path}/{name}"
-            )
-        else:
-            table.write.mode("overwrite").parquet(f"{path}/{name}/run={run}")
+        table.write.mode("overwrite").parquet(f"{path}/{name}/run={run}")
 
     chunks = embedded_chunks(documents, embedder, settings, run)
     store(guard_dimensions(chunks, settings.embed_dim), "chunks")

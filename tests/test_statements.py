@@ -141,3 +141,50 @@ def test_branch_freeze_and_resume(spark, employees):
 def test_offline_classifier(spark):
     asked = spark.createDataFrame([("tell me",)], "question string")
     assert route_questions(asked, always("documents")).head().route == "documents"
+
+
+@pytest.mark.parametrize(
+    "sql, reason",
+    [
+        ("SELECT value FROM text.`{path}`", "only the registered views can be read"),
+        ("SELECT x.value FROM (SELECT * FROM parquet.`{path}`) x", "only the registered views can be read"),
+        ("SELECT (SELECT max(value) FROM text.`{path}`)", "only the registered views can be read"),
+        ("SELECT reflect('java.lang.Math', 'abs', -3)", "function is not allowed: reflect"),
+        ("SELECT name FROM employees WHERE java_method('java.lang.Math', 'abs', -3) = 3", "function is not allowed: java_method"),
+        ("SELECT name FROM employees ORDER BY try_reflect('java.lang.Math', 'abs', -3)", "function is not allowed: try_reflect"),
+        ("SELECT TRANSFORM(id) USING 'cat' AS (x) FROM employees", "only plain SELECT queries are allowed"),
+        ("SELECT * FROM range(5)", "only plain SELECT queries are allowed"),
+        ("SELECT * FROM default.employees", "only the registered views can be read"),
+        ("SELECT * FROM nowhere", "TABLE_OR_VIEW_NOT_FOUND"),
+    ],
+)
+def test_plan_decides_before_anything_is_read(spark, employees, tmp_path, sql, reason):
+    path = tmp_path / "not-there.txt"
+    with pytest.raises(NotReadOnlyError, match=reason):
+        run_select(spark, sql.format(path=path))
+
+
+def test_plain_selects_pass(spark, employees):
+    for sql in (
+        "SELECT department, count(*) FILTER (WHERE salary > 1) AS n FROM employees GROUP BY department HAVING count(*) > 0 ORDER BY n",
+        "SELECT e.name FROM employees e JOIN (SELECT max(salary) AS m FROM employees) t ON e.salary = t.m",
+        "SELECT name, rank() OVER (ORDER BY salary) AS r FROM employees WHERE id IN (SELECT id FROM employees)",
+        "SELECT name FROM (WITH a AS (SELECT * FROM employees) SELECT * FROM a) UNION ALL SELECT 'x' LIMIT 3",
+    ):
+        assert run_select(spark, sql).count() >= 1
+
+
+def test_null_cells_and_repeated_names_stay(spark, employees):
+    log = spark.createDataFrame(
+        [("SELECT 1 AS id, CAST(NULL AS STRING) AS nm LIMIT 1",), ("SELECT e.id, f.id, e.name AS `a``b` FROM employees e JOIN employees f ON e.id < f.id LIMIT 1",)],
+        "sql string",
+    )
+    got = {r.sql: r for r in execute_distinct(log).collect()}
+    assert [r.rows_json for r in got.values() if "nm" in r.sql] == ['[{"id":1,"nm":null}]']
+    assert [r.rows_json for r in got.values() if "nm" not in r.sql] == ['[{"id":1,"a`b":"Ava"}]']
+
+
+def test_no_risk_reason_when_nobody_is_asked(spark, employees):
+    log = spark.createDataFrame([("1", "q", "SELECT salary FROM employees")], "request_id string, question string, raw_sql string")
+    row = structured_branch(log, replace(DEFAULTS, approval_enabled=False)).head()
+    assert (row.status, row.risk_reason, row.row_count) == ("executed", "", 2)

@@ -173,3 +173,22 @@ def test_rate_windows_and_stream(spark, tmp_path):
             assert {(r.window_start, r.route): r.rate for r in rows_} == {k: v for k, v in batch.items() if k[0] <= closed}
         else:
             assert {r.window_start: r.p for r in rows_} == {k: v for k, v in batch.items() if k <= closed}
+
+
+def test_extremes_of_dates_and_strings(spark):
+    from docquery.operators.figures import arg_extreme_per_group
+
+    rows = spark.createDataFrame(
+        [("a", 3, "x", "2024-01-02"), ("a", 1, "z", "2024-05-01"), ("a", 2, "z", "2024-05-01"), (None, 4, "y", None), (None, 5, "w", "2020-01-01")],
+        "g string, k int, s string, d string",
+    ).selectExpr("g", "k", "s", "cast(d as date) d")
+    by = lambda value, highest: {r.g: r.k for r in arg_extreme_per_group(rows, "g", value, "k", highest).collect()}
+    assert by("s", True) == {"a": 1, None: 4} and by("s", False) == {"a": 3, None: 5}
+    assert by("d", True) == {"a": 1, None: 5} and by("d", False) == {"a": 3, None: 5}
+
+
+def test_windows_need_whole_slides(spark):
+    from docquery.operators.telemetry import over_windows
+
+    with pytest.raises(ValueError):
+        over_windows(spark.range(1), [], [], 300, 70)
