@@ -350,7 +350,9 @@ select event_id as request_id, sql, text, row_count, status, risk_reason from br
 SQL["resumed_answers"] = with_(STATEMENT_LOG, CHECKED, RISK, APPROVALS) + f"""
 select event_id as request_id, case v.status when 'denied' then 'denied' else 'executed' end as status,
   case when v.status = 'denied' or cleaned like 'WITH%' then 0
-    else (select least(count(*), {DEFAULTS.sql_max_rows}) from customer)::int end as row_count, reasons as risk_reason,
+    when cleaned = {lit(STATEMENTS[5])} then (select least(count(*), {DEFAULTS.sql_max_rows}) from orders where o_orderkey < 10)
+    when cleaned = {lit(STATEMENTS[6])} then (select least(count(*), {DEFAULTS.sql_max_rows}) from customer) end::int as row_count,
+  reasons as risk_reason,
   case v.status when 'denied' then 'I couldn''t answer that from the database ({DENIED}).' end as refusal
   from risk join events using (event_id) join resolved v on v.request_id = user_id
   where reasons <> '' and v.status <> 'pending'"""
