@@ -89,22 +89,26 @@ def _notices(files: DataFrame, templates, threshold: float) -> DataFrame:
     counted = lines.select("path", "of", "n", term).filter(F.col("term") != "").groupBy(
         "path", "of", "n", "term"
     ).agg(F.count("*").alias("tf"))
-    # Both tables have a row per template term and template, not per file.
-    idf = spark.createDataFrame(sorted(weights.items()), "term string, idf double")
-    by_template = spark.createDataFrame(
-        sorted((t, name, w) for name, v in vectors.items() for t, w in v.items()),
-        "term string, licence string, share double",
+    # A row per template term, with its share of each template's unit vector.
+    names = sorted(vectors)
+    table = spark.createDataFrame(
+        [(t, w, [vectors[n].get(t, 0.0) for n in names]) for t, w in sorted(weights.items())],
+        "term string, idf double, shares array<double>",
     )
-    weighted = counted.join(F.broadcast(idf), "term", "left").withColumn(
+    weighted = counted.join(F.broadcast(table), "term", "left").withColumn(
         "w", F.col("tf") * F.coalesce("idf", F.lit(1.0))
     )
-    sizes = weighted.groupBy("path", "of", "n").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("size"))
-    dots = weighted.join(F.broadcast(by_template), "term").groupBy("path", "of", "n", "licence").agg(
-        F.sum(F.col("w") * F.col("share")).alias("dot")
+    sums = weighted.groupBy("path", "of", "n").agg(
+        F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("size"),
+        *[F.sum(F.col("w") * F.coalesce(F.get("shares", F.lit(i)), F.lit(0.0))).alias(f"dot{i}") for i in range(len(names))],
+    )
+    by_template = F.array(*[
+        F.struct(F.lit(n).alias("licence"), F.round(F.col(f"dot{i}") / F.col("size"), 6).alias("score"))
+        for i, n in enumerate(names)
+    ])
+    scored = sums.select("path", F.explode(by_template).alias("found")).select("path", "found.*").filter(
+        F.col("score") >= threshold
     )
-    scored = dots.join(sizes, ["path", "of", "n"]).select(
-        "path", "licence", F.round(F.col("dot") / F.col("size"), 6).alias("score")
-    ).filter(F.col("score") >= threshold)
     best = F.min(F.struct((-F.col("score")).alias("order"), "licence"))
     return scored.groupBy("path").agg(best.alias("best")).select(
         "path", F.col("best.licence").alias("own_licence"), (-F.col("best.order")).alias("own_score")
