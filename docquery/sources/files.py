@@ -82,6 +82,30 @@ def rejected_files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def skipped_files(spark: SparkSession, root: str, parsers: dict[str, Hook] | None = None) -> DataFrame:
+    """`(path, reason)` of every file below `root` that `read_documents` gives no document for.
+
+    Those are files of an unsupported suffix, of a suffix without a parser, without text, and files
+    whose content cannot be read: they are listed, but their rows don't come back. Spark's reader
+    does not list files of no bytes at all.
+    """
+    parsers = parsers or {}
+    suffix = _suffix(F.col("path"))
+    read = [*TEXT_SUFFIXES, *parsers]
+    unread = [x for x in SUPPORTED if x not in read]
+    listed = _files(spark, root).select("path")
+    no_parser = listed.filter(suffix.isin(unread)).select(
+        "path", F.concat(F.lit("No parser for file type: "), suffix).alias("reason")
+    )
+    texts = _files(spark, root, TEXT_SUFFIXES).select("path", decoded(F.col("content")).alias("text"))
+    for kind, parser in parsers.items():
+        texts = texts.unionByName(_files(spark, root, [kind]).select("path", parser(F.col("content")).alias("text")))
+    has_text = texts.select("path", (F.coalesce("text", F.lit("")) != "").alias("full"))
+    opened = listed.filter(suffix.isin(read)).join(has_text, "path", "left").filter(~F.coalesce("full", F.lit(False)))
+    reason = F.when(F.col("full").isNull(), "Unreadable file").otherwise("No text in file")
+    return rejected_files(spark, root).unionByName(no_parser).unionByName(opened.select("path", reason.alias("reason")))
+
+
 QUESTION = "question string, expected_route string"
 REPORT = "scores map<string, double>, n bigint"
 

@@ -11,6 +11,7 @@ def test_text_folder(spark, tmp_path):
     (tmp_path / "my doc%20.md").write_text("# Title\n\nsome body text")
     (tmp_path / "sub" / "b.TXT").write_bytes(b"plain \xff content\r\nhere")
     (tmp_path / "empty.txt").write_text("")
+    (tmp_path / "noise.txt").write_bytes(b"\xff\xfe")
     (tmp_path / "archive.zip").write_bytes(b"x")
     (tmp_path / "no_suffix").write_text("x")
     (tmp_path / "report.pdf").write_bytes(b"x")
@@ -23,6 +24,12 @@ def test_text_folder(spark, tmp_path):
         files.read_documents(spark, str(tmp_path), {".zip": parser})
     rejected = {r.path.rsplit("/", 1)[1]: r.reason for r in files.rejected_files(spark, str(tmp_path)).collect()}
     assert rejected == {"archive.zip": "Unsupported file type: .zip", "no_suffix": "Unsupported file type: "}
+    names = lambda rows: {r.path.rsplit("/", 1)[1]: r.reason for r in rows.collect()}
+    empty = {"noise.txt": "No text in file"}
+    assert names(files.skipped_files(spark, str(tmp_path))) == {
+        **rejected, **empty, "report.pdf": "No parser for file type: .pdf"
+    }
+    assert names(files.skipped_files(spark, str(tmp_path), {".pdf": parser})) == {**rejected, **empty}
 
 
 def test_rows_to_text(spark):
