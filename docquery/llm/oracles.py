@@ -1,7 +1,10 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+from docquery.llm import linerules
 from docquery.llm.licences import TEMPLATES, THRESHOLD
 
+# A word, as the contract of the line rules says.
+_WORD = r"[^\x20\x09-\x0D]+"
 _TEMPLATE_ROWS = ", ".join("('{}', '{}')".format(*t) for t in TEMPLATES)
 
 SQL = {
@@ -58,6 +61,52 @@ nearest as (
 select doc_id, p.path, own_licence, own_score, coalesce(own_licence, given) as licence,
     case when own_licence is null then above end as inherited_from
 from placed p left join own o on o.path = p.path left join nearest d on d.directory = p.directory
+""",
+    "op4_line_rules": rf"""
+with docs as (
+    select doc_id, coalesce(text, '') as text, coalesce(source, '') as host, row_number() over () as rid from documents
+), words as (
+    select rid, unnest(list) as word, generate_subscripts(list, 1) as pos
+    from (select rid, regexp_extract_all(text, '{_WORD}') as list from docs)
+), counts as (
+    select rid, count(*) as n_words, sum(length(word)) as word_chars from words group by rid
+), runs as (
+    select rid, pos, list(word) over (partition by rid order by pos rows between current row and 7 following) as run
+    from words
+), twice as (
+    select rid, pos from runs where len(run) = 8
+    qualify count(*) over (partition by rid, run) > 1
+), repeated as (
+    select rid, count(distinct pos + i) as n_repeat_words from twice, range(8) t(i) group by rid
+), lines as (
+    select rid, host, text, line, pos, strlen(line) as bytes, len(regexp_extract_all(line, '{_WORD}')) as n,
+        array_to_string(regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}'), ' ') as norm
+    from (select rid, host, text, unnest(list) as line, generate_subscripts(list, 1) as pos
+        from (select rid, host, text, string_split(text, chr(10)) as list from docs))
+    where regexp_matches(line, '{_WORD}')
+), duplicates as (
+    select rid, count(*) - count(distinct line) as n_dup_lines from lines group by rid
+), longest as (
+    select rid, norm as longest from lines qualify row_number() over (partition by rid order by bytes desc, pos) = 1
+), hosts as (select host, count(distinct text) as documents from docs group by host),
+frequent as (
+    select l.host, l.norm from lines l join longest g using (rid) join hosts h on h.host = l.host
+    group by l.host, l.norm, h.documents
+    having count(distinct g.longest) > {linerules.LEAST_DOCUMENTS}
+        and count(distinct g.longest) > {linerules.SHARE_OF_HOST} * h.documents
+), removed as (
+    select rid, sum(n) as removed_words from lines l join frequent f on f.host = l.host and f.norm = l.norm group by rid
+), measured as (
+    select doc_id, coalesce(n_words, 0) as n_words, cast(coalesce(word_chars, 0) as bigint) as word_chars,
+        cast(length(text) - length(translate(text, '#*$%&|<>', '')) as bigint) as n_symbols,
+        coalesce(n_dup_lines, 0) as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words,
+        cast(coalesce(removed_words, 0) as bigint) as removed_words
+    from docs left join counts using (rid) left join duplicates using (rid) left join repeated using (rid)
+    left join removed using (rid)
+)
+select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed,
+    not (n_words < 20 or 100 * n_repeat_words > 30 * n_words) and removed_words <= {linerules.MOST_REMOVED} * n_words as kept
+from measured
 """,
     "op6_chat_format": """
 with turns as (
