@@ -128,5 +128,33 @@ select conv_id, count(*) as n_turns,
     cast(sum(case when goes_on then length('<|next|>') else length('<|turn|><|text|>') + length(role_out) end
         + length(text_out) + case when stays then 0 else length('<|end|>') end) as bigint) as formatted_chars
 from marked group by conv_id
+""",
+    "op10_lsh_forest": rf"""
+with recursive docs as (
+    select doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') as words
+    from documents
+), shingles as (
+    select distinct doc_id, unnest(case when len(words) = 1 then words
+        else list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]) end) as shingle
+    from docs where len(words) > 0
+), sets as (
+    select doc_id, count(*) as n, md5(string_agg(shingle, chr(10) order by shingle)) as digest from shingles group by doc_id
+), classes as (select digest, min(doc_id) as node, any_value(n) as n from sets group by digest),
+members as (select node, shingle from classes join shingles on shingles.doc_id = classes.node),
+pairs as (
+    select a.node as u, b.node as v, count(*) as shared from members a join members b using (shingle)
+    where a.node < b.node group by all
+), links as (
+    select u, v from pairs join classes cu on cu.node = u join classes cv on cv.node = v
+    where 100 * shared >= 80 * (cu.n + cv.n - shared)
+), both_ways as (select u, v from links union all select v, u from links),
+reach as (
+    select node, node as root from classes
+    union select b.v, r.root from reach r join both_ways b on b.u = r.node
+), named as (select node, min(root) as component_id from reach group by node)
+select d.doc_id, coalesce(s.n, 0) as n_shingles, coalesce(m.component_id, d.doc_id) as component_id,
+    coalesce(m.component_id, d.doc_id) = d.doc_id as kept
+from docs d left join sets s using (doc_id) left join classes c using (digest) left join named m using (node)
 """,
 }
