@@ -13,6 +13,7 @@ none; columns other than key and text are not carried.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,8 +28,8 @@ from docquery.shared import materialize
 
 SEQUENCE = 2048
 CLOSING_ID = 0
-# Entries after which a worker's memory of words is emptied.
-MOST_REMEMBERED = 400_000
+# Entries of a worker's memories of words as they stand and of their parts.
+MOST_WORDS, MOST_PARTS = 200_000, 500_000
 # Letters of one piece and symbols of the next, which the vocabulary's pattern surely cuts so.
 _SIMPLE = re.compile(r"([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,;:!?*$%&#|]*)")
 
@@ -49,30 +50,46 @@ class WordEncoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {"": b""}
-
-    def _learn(self, words: list[str]) -> None:
-        """Add the ids of new words."""
-        cut = [(m[1].lower(), m[2]) if (m := _SIMPLE.fullmatch(w)) else (w, "") for w in words]
-        parts = self.parts
-        if len(parts) > MOST_REMEMBERED:
-            parts.clear()
-            parts[""] = b""
-        missing = list({p for pair in cut for p in pair if p not in parts})
-        parts.update(zip(missing, self._encoded(missing)))
-        self.words.update((w, parts[a] + parts[b]) for w, (a, b) in zip(words, cut))
+        self.old_words, self.old_parts = self.words, self.parts
+
+    def _learn(self, words: set[str]) -> None:
+        """Bring the ids of all of `words` into `self.words`; what nobody asked for is forgotten in time."""
+        if len(self.words) > MOST_WORDS:
+            self.old_words, self.words = self.words, {}
+        if len(self.parts) > MOST_PARTS:
+            self.old_parts, self.parts = self.parts, {"": b""}
+        known, old = self.words, self.old_words
+        new = []
+        for word in words:
+            if word not in known:
+                ids = old.get(word)
+                if ids is None:
+                    new.append(word)
+                else:
+                    known[word] = ids
+        cut = [(m[1].lower(), m[2]) if (m := _SIMPLE.fullmatch(w)) else (w, "") for w in new]
+        parts, old = self.parts, self.old_parts
+        needed = []
+        for part in {p for pair in cut for p in pair}:
+            if part not in parts:
+                ids = old.get(part)
+                if ids is None:
+                    needed.append(part)
+                else:
+                    parts[part] = ids
+        parts.update(zip(needed, self._encoded(needed)))
+        known.update((w, parts[a] + parts[b]) for w, (a, b) in zip(new, cut))
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        return [array("I", e.ids).tobytes() for e in found]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         # What Python splits at but the vocabulary's pattern does not, and what is matched before words.
         whole = [any(c in t for c in "\x1c\x1d\x1e\x1f") or any(s in t for s in self.special) for t in texts]
         split = [[] if w else t.split() for t, w in zip(texts, whole)]
+        self._learn(set().union(*split))
         words = self.words
-        if len(words) > MOST_REMEMBERED:
-            words.clear()
-        self._learn(list(set().union(*split) - words.keys()))
         ids = [b"".join([words[w] for w in row]) for row in split]
         odd = [i for i, w in enumerate(whole) if w]
         for i, found in zip(odd, self._encoded([texts[i] for i in odd])):
