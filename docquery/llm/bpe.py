@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
@@ -23,7 +24,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docquery.llm.memory import received, remembered, send
+from docquery.llm.memory import Recent, received, remembered, send
 
 _WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # Fixed pattern: how byte-level vocabularies of this family cut a text into pieces.
@@ -31,8 +32,8 @@ PIECES = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+"
     rf"| ?[^{_WHITE}\p{{L}}\p{{N}}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+"
 )
-_OTHER_WHITE = [c for c in map(chr, range(0x3001)) if c not in " \n" and re.fullmatch(f"[{_WHITE}]", c)]# Entries after which a worker's memory of words and pairs is emptied.
-MOST_REMEMBERED = 300_000
+_OTHER_WHITE = [c for c in map(chr, range(0x3001)) if c not in " \n" and re.fullmatch(f"[{_WHITE}]", c)]# Entries of a worker's memories of words and of pairs of tokens.
+MOST_REMEMBERED = 250_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -92,9 +93,9 @@ class Encoder:
         special = sorted(tables.special, key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
         self.spines: dict[tuple[int, int], list[tuple[int, float]]] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.words: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
+        self.pairs = Recent(MOST_REMEMBERED, self.may_follow)
+        self.words = Recent(MOST_REMEMBERED, self.piece)
+        self.chunks = Recent(MOST_REMEMBERED, lambda word: self.chunk(" " + word))
 
     def _spine(self, token: int, side: int) -> list[tuple[int, float]]:
         """The parts of a token at one of its ends, each with the rank of the merge that took it in."""
@@ -110,25 +111,20 @@ class Encoder:
             self.spines[token, side] = found
         return found
 
-    def may_follow(self, left: int, right: int) -> bool:
-        """Whether `right` can stand after `left` in an encoding.
+    def may_follow(self, pair: tuple[int, int]) -> bool:
+        """Whether the second token can stand after the first in an encoding.
 
-        A merge of equal rank is done from left to right: one that takes in the right end of
-        `left` from inside comes before one across the border, and that before one inside `right`.
+        A merge of equal rank is done from left to right: one that takes in the right end of the
+        first token from inside comes before one across the border, and that before one inside
+        the second.
         """
-        known = self.pairs.get((left, right))
-        if known is None:
-            merges = self.tables.merges
-            known = True
-            for a, until_a in self._spine(left, 1):
-                for b, until_b in self._spine(right, 0):
-                    merge = merges.get((a, b))
-                    if merge is not None and merge[0] < until_a and merge[0] <= until_b:
-                        known = False
-            if len(self.pairs) >= MOST_REMEMBERED:
-                self.pairs.clear()
-            self.pairs[left, right] = known
-        return known
+        merges = self.tables.merges
+        for a, until_a in self._spine(pair[0], 1):
+            for b, until_b in self._spine(pair[1], 0):
+                merge = merges.get((a, b))
+                if merge is not None and merge[0] < until_a and merge[0] <= until_b:
+                    return False
+        return True
 
     def piece(self, text: str) -> bytes:
         """Ids of one piece, as little-endian unsigned 32-bit integers."""
@@ -143,29 +139,19 @@ class Encoder:
                     left = last[before]
                     if left is None:
                         continue
-                    fits = pairs.get((left[0], token))
-                    if fits is None:
-                        fits = self.may_follow(left[0], token)
-                    if not fits:
+                    if not pairs[left[0], token]:
                         continue
                 last[end] = (token, before)
         ids, at = [], len(letters)
         while at:
             token, at = last[at]
-            ids.append(token.to_bytes(4, "little"))
-        return b"".join(reversed(ids))
+            ids.append(token)
+        ids.reverse()
+        return array("I", ids).tobytes()
 
     def chunk(self, text: str) -> bytes:
-        found = []
         words = self.words
-        for piece in self.pieces.findall(text):
-            ids = words.get(piece)
-            if ids is None:
-                if len(words) >= MOST_REMEMBERED:
-                    words.clear()
-                ids = words[piece] = self.piece(piece)
-            found.append(ids)
-        return b"".join(found)
+        return b"".join([words[piece] for piece in self.pieces.findall(text)])
 
     def plain(self, text: str) -> bytes:
         """Ids of a text without special tokens.
@@ -182,15 +168,7 @@ class Encoder:
             return self.chunk(text)
         first, *rest = text.split(" ")
         chunks = self.chunks
-        found = [self.chunk(first)]
-        for word in rest:
-            ids = chunks.get(word)
-            if ids is None:
-                if len(chunks) >= MOST_REMEMBERED:
-                    chunks.clear()
-                ids = chunks[word] = self.chunk(" " + word)
-            found.append(ids)
-        return b"".join(found)
+        return b"".join([self.chunk(first), *[chunks[word] for word in rest]])
 
     def encode(self, text: str) -> bytes:
         if self.special is None or not any(s in text for s in self.tables.special):

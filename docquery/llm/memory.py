@@ -31,3 +31,27 @@ def send(spark: SparkSession, value) -> Broadcast:
 
 def received(sent: Broadcast):
     return pickle.loads(sent.value)
+
+
+class Recent(dict):
+    """Results of `make` by key. When full, it forgets what nobody asked for since it was last full."""
+
+    def __init__(self, most: int, make: Callable):
+        super().__init__()
+        self.most, self.make, self.old = most, make, {}
+
+    def __missing__(self, key):
+        value = self.recall(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.most:
+            self.turn()
+        self[key] = value
+        return value
+
+    def recall(self, key):
+        return self.old.get(key)
+
+    def turn(self) -> None:
+        self.old = dict(self)
+        self.clear()

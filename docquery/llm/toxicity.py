@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docquery.llm.labels import sampled_labels
-from docquery.llm.memory import received, send
+from docquery.llm.memory import Recent, received, send
 
 # The classifier is fitted on at most so many labelled documents of each class.
 SAMPLE = {0: 6000, 1: 2000}
@@ -110,25 +110,17 @@ class ToxicityModel:
         if not self.curve:
             return lambda text: self.share
         distance = Distance(self.ordinary, self.toxic)
-        seen: dict[bytes, tuple[bytes, float] | None] = {}
 
         def evidence(word: bytes):
             window = word.strip(EDGES)
             weight = self.cells.get(distance.cell(window), 0.0) if window else 0.0
-            return (window, weight) if weight > 0 else None
+            return (window, weight) if weight > 0 else False
+
+        seen = Recent(MOST_REMEMBERED, evidence)
 
         def score(text: str) -> float:
             words = text.lower().encode().split()
-            found = {}
-            for word in set(words):
-                try:
-                    known = seen[word]
-                except KeyError:
-                    if len(seen) >= MOST_REMEMBERED:
-                        seen.clear()
-                    known = seen[word] = evidence(word)
-                if known is not None:
-                    found[known[0]] = known[1]
+            found = dict(filter(None, [seen[word] for word in set(words)]))
             z = sum(a * b for a, b in zip(self.curve, _features(found.values(), len(words))))
             return 1 / (1 + math.exp(-min(max(z, -30), 30)))
 
