@@ -3,8 +3,8 @@
 Normalised lines are hashed, the distinct documents of each line are counted per host, lines above
 the host's limit are removed, and a document that loses too much of itself is rejected.
 
-Documents with the same text count once, and so do documents of a host that share their longest
-line, so copies of one document don't turn its own lines into boilerplate.
+Documents of a host with the same text count once, so exact copies don't turn their own lines into
+boilerplate. Any two different texts count as two, however much else they share.
 
 Defined cases: null texts are empty, null hosts are the empty host; an empty text has zero counts
 and fails the base rules; equal rows get equal verdicts; extra columns are untouched; a table
@@ -37,7 +37,7 @@ SYMBOLS = "#*$%&|<>"
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 _SCHEMA = "host string, digest binary, " + ", ".join(f"{c} long" for c in COUNTS)
-_SCHEMA += ", line_hashes array<long>, line_words array<long>, longest_line long"
+_SCHEMA += ", line_hashes array<long>, line_words array<long>"
 
 
 def _repeated_words(words: list[bytes]) -> int:
@@ -66,11 +66,11 @@ def line_hash(words: list[bytes]) -> int:
 
 
 def measure(text: str) -> tuple:
-    """The base counts of a text, its distinct line hashes with their words, and its longest line."""
+    """The base counts of a text, and its distinct line hashes with their words."""
     words: list[bytes] = []
     seen: set[bytes] = set()
     lines: dict[int, int] = {}
-    duplicates, longest, longest_line = 0, -1, 0
+    duplicates = 0
     for line in text.encode().split(b"\n"):
         own = line.split()
         if not own:
@@ -80,12 +80,10 @@ def measure(text: str) -> tuple:
         words += own
         hashed = line_hash(own)
         lines[hashed] = lines.get(hashed, 0) + len(own)
-        if len(line) > longest:
-            longest, longest_line = len(line), hashed
     letters = len(text) - sum(map(text.count, SPACES))
     symbols = sum(map(text.count, SYMBOLS))
     counts = (len(words), letters, symbols, duplicates, _repeated_words(words))
-    return *counts, list(lines), list(lines.values()), longest_line
+    return *counts, list(lines), list(lines.values())
 
 
 def _measured(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -123,18 +121,15 @@ def measured_documents(docs: DataFrame, key: str, host: str = "source", text: st
 def frequent_lines(measured: DataFrame) -> DataFrame:
     """Per `(host, digest)` with any frequent line: `removed_words` and the `frequent` hashes."""
     texts = measured.groupBy("host", "digest").agg(
-        *[F.first(c).alias(c) for c in ("line_hashes", "line_words", "longest_line")]
+        *[F.first(c).alias(c) for c in ("line_hashes", "line_words")]
     )
     zipped = F.explode(F.arrays_zip("line_hashes", "line_words")).alias("line")
-    lines = texts.select("host", "digest", "longest_line", zipped).select(
-        "host", "digest", "longest_line",
-        F.col("line.line_hashes").alias("hash"), F.col("line.line_words").alias("words"),
+    lines = texts.select("host", "digest", zipped).select(
+        "host", "digest", F.col("line.line_hashes").alias("hash"), F.col("line.line_words").alias("words")
     )
     per_host = texts.groupBy("host").agg(F.count("*").alias("documents"))
-    per_line = (
-        lines.select("host", "hash", "longest_line").distinct()
-        .groupBy("host", "hash").agg(F.count("*").alias("n")).filter(F.col("n") > LEAST_DOCUMENTS)
-    )
+    # `texts` has a row per distinct document, and a document has a line's hash once.
+    per_line = lines.groupBy("host", "hash").agg(F.count("*").alias("n")).filter(F.col("n") > LEAST_DOCUMENTS)
     frequent = per_line.join(per_host, "host").filter(F.col("n") > SHARE_OF_HOST * F.col("documents"))
     return lines.join(frequent.select("host", "hash"), ["host", "hash"]).groupBy("host", "digest").agg(
         F.sum("words").alias("removed_words"), F.collect_list("hash").alias("frequent")

@@ -64,3 +64,21 @@ def test_nulls_empty_long_and_repeats(spark):
     assert linerules.clean_documents(table).agg(F.count("*")).head()[0] == 2
     empty = spark.createDataFrame([], SCHEMA)
     assert linerules.rule_verdicts(empty).count() == 0 and linerules.clean_documents(empty).count() == 0
+
+
+def test_shared_line_that_is_the_longest_of_each_document(spark):
+    rng = random.Random(4)
+    line = lambda n: " ".join("w" + str(rng.randrange(10**6)) for _ in range(n))
+    notice, second = line(60), line(50)
+    rows = [(i, f"{notice}\n{line(12)}", "h1") for i in range(30)]
+    # Two shared lines, which are the longest and the next longest of each document.
+    rows += [(100 + i, f"{second} more\n{line(9)}\n{second}", "h2") for i in range(30)]
+    rows += [(200 + i, f"{line(60)}\n{line(12)}", "h1") for i in range(30)]
+    # Exact copies are one document.
+    rows += [(300 + i, rows[-1][1] + " copied", "h1") for i in range(30)]
+    table = spark.createDataFrame([(*r, None, None) for r in rows], SCHEMA)
+    got = {r["doc_id"]: (r["removed_words"], r["kept"]) for r in linerules.rule_verdicts(table).collect()}
+    assert all(got[i] == (60, False) for i in range(30))
+    assert all(got[100 + i] == (101, False) for i in range(30))
+    assert all(got[i + j] == (0, True) for i in range(30) for j in (200, 300))
+    assert {r["doc_id"] for r in linerules.clean_documents(table).collect()} == {i + j for i in range(30) for j in (200, 300)}
