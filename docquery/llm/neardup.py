@@ -232,6 +232,103 @@ def _best(pairs: DataFrame, n: int) -> DataFrame:
     return ends.withColumn("rank", rank).filter(F.col("rank") <= n).select("u", "v").distinct()
 
 
+def _regions(classes: DataFrame, forest: Forest) -> tuple[DataFrame, DataFrame]:
+    """The rows `(tree, region, node, component)` and the stored regions `(tree, region, rows)` of several components.
+
+    A region is all rows of a tree that share its `least_depth` first values.
+    """
+    width = 4 * forest.depth
+    trees = F.explode(F.sequence(F.lit(0), F.lit(forest.trees - 1))).alias("tree")
+    rows = classes.select("node", "component", "signature", trees).select(
+        "tree", F.substring("signature", F.col("tree") * width + 1, F.lit(4 * forest.least_depth)).alias("region"),
+        "node", "component",
+    )
+    found = rows.groupBy("tree", "region").agg(
+        F.count("*").alias("rows"), F.min("component").alias("a"), F.max("component").alias("b")
+    )
+    return rows, materialize(found.filter("a <> b").select("tree", "region", "rows"), "regions")
+
+
+# Frequencies are counted for so many leading bits of a shingle. They only order the shingles: any
+# order finds the same links, and one that has the rare ones first compares fewer pairs.
+_BUCKET_BITS = 20
+
+
+def _buckets(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64)
+
+
+def _bucket_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(1 << _BUCKET_BITS, np.int64)
+    for batch in batches:
+        for data in batch.column(0).to_pylist():
+            np.add.at(counts, _buckets(np.frombuffer(data, np.uint64)), 1)
+    used = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["bucket", "n"])
+
+
+def _prefixes(batches: Iterator[pa.RecordBatch], percent: int, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """`(node, component, shingles)` to the rows `(token, node, component, n, at, short)` of its rarest shingles.
+
+    A linked pair shares at least p/100 of the larger set and 2p/(100+p) of the smaller. So its rarest
+    common shingle is among those of the larger set that leave fewer behind them than that, and among
+    the still rarer ones of the smaller set, which are marked as `short`.
+    """
+    for batch in batches:
+        for at in range(0, batch.num_rows, 500):
+            part = batch.slice(at, 500)
+            tokens, sizes, lengths, shorts = [], [], [], []
+            for data in part.column(2).to_pylist():
+                own = np.frombuffer(data, np.uint64)
+                n = len(own)
+                own = own[np.lexsort((own, counts[_buckets(own)]))]
+                length = n - -(-percent * n // 100) + 1
+                tokens.append(own[:length].view(np.int64))
+                sizes.append(n)
+                lengths.append(length)
+                shorts.append(n - -(-2 * percent * n // (100 + percent)) + 1)
+            of = np.repeat(np.arange(len(sizes)), lengths)
+            places = np.concatenate([np.arange(x) for x in lengths])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate(tokens)), part.column(0).take(pa.array(of)), part.column(1).take(pa.array(of)),
+                    pa.array(np.array(sizes)[of]), pa.array(places), pa.array(places < np.array(shorts)[of]),
+                ],
+                names=["token", "node", "component", "n", "at", "short"],
+            )
+
+
+def _prefix_pairs(crowded: DataFrame, forest: Forest) -> DataFrame:
+    """Distinct pairs `(u, v)` of the `(node, component, shingles)`, with every link between components among them."""
+    spark = crowded.sparkSession
+    counted = crowded.select("shingles").mapInArrow(_bucket_counts, "bucket long, n long").groupBy("bucket").agg(
+        F.sum("n").alias("n")
+    ).toArrow()
+    counts = np.zeros(1 << _BUCKET_BITS, np.int32)
+    counts[counted["bucket"].to_numpy()] = np.minimum(counted["n"].to_numpy(), (1 << 31) - 1)
+    shared = spark.sparkContext.broadcast(counts)
+    percent = forest.percent
+    tokens = materialize(
+        crowded.select("node", "component", "shingles").mapInArrow(
+            lambda b: _prefixes(b, percent, shared.value),
+            "token long, node binary, component binary, n long, at long, short boolean",
+        ),
+        "prefixes",
+    )
+    several = tokens.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b")
+    # Stored, so that the join has a plain shuffle on both sides and can split the rows of a common shingle.
+    tokens = materialize(tokens.join(several.select("token"), "token", "left_semi"), "shared-prefixes")
+    large = tokens.drop("short").alias("l")
+    small = tokens.filter("short").drop("short").alias("s")
+    joined = large.join(small, F.expr(f"""
+        l.token = s.token and l.component <> s.component and (l.n > s.n or l.n = s.n and l.node > s.node)
+        and 100 * s.n >= {percent} * l.n
+        and (least(l.at, s.at) + 1 + least(l.n - l.at, s.n - s.at) - 1) * {100 + percent} >= {percent} * (l.n + s.n)
+    """))
+    ends = F.greatest("l.node", "s.node").alias("u"), F.least("l.node", "s.node").alias("v")
+    return joined.select(*ends).distinct()
+
+
 def duplicate_classes(docs: DataFrame, forest: Forest, key: str = "doc_id", text: str = "text") -> DataFrame:
     """`(key, n_shingles, component_id, kept, text_id)` of each row; the component's smallest key names it."""
     columns = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
@@ -253,20 +350,45 @@ def duplicate_classes(docs: DataFrame, forest: Forest, key: str = "doc_id", text
     near = materialize(
         pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(classes, "node"), "near"
     )
-    # Only the texts of classes that have a candidate are read for their full sets.
-    wanted = near.select("node", F.col("key").alias("near_key"), "text_id")
     texts = columns.withColumn("text_id", text_digest(F.col("text")))
-    rows = texts.join(
-        wanted, (texts["text_id"] == wanted["text_id"]) & texts["key"].eqNullSafe(wanted["near_key"])
-    ).select("node", "text")
-    sets = materialize(
-        rows.mapInArrow(lambda b: _sets(b, forest.words), "node binary, shingles binary")
-        .groupBy("node").agg(F.first("shingles").alias("shingles")),
-        "sets",
-    )
+
+    def full_sets(wanted: DataFrame) -> DataFrame:
+        wanted = wanted.select("node", F.col("key").alias("near_key"), "text_id")
+        rows = texts.join(
+            wanted, (texts["text_id"] == wanted["text_id"]) & texts["key"].eqNullSafe(wanted["near_key"])
+        ).select("node", "text")
+        return materialize(
+            rows.mapInArrow(lambda b: _sets(b, forest.words), "node binary, shingles binary")
+            .groupBy("node").agg(F.first("shingles").alias("shingles")),
+            "sets",
+        )
+
+    # Only the texts of classes that have a candidate or stand in a crowded region are read for their full sets.
+    sets = full_sets(near)
     tested = materialize(_best(pairs, forest.best), "tested")
     links = materialize(_confirmed(tested, sets, forest), "confirmed")
     found = materialize(components(links), "components")
+
+    def placed(rows: DataFrame) -> DataFrame:
+        return rows.drop("component").join(found, "node", "left").withColumn(
+            "component", F.coalesce("root", "node")
+        ).drop("root")
+
+    rows, regions = _regions(placed(classes), forest)
+    crowded = materialize(
+        rows.join(regions.filter(F.col("rows") > forest.far), ["tree", "region"], "left_semi")
+        .select("node", "component").distinct(),
+        "crowded",
+    )
+    sets = sets.unionByName(full_sets(
+        classes.join(crowded, "node", "left_semi").join(near, "node", "left_anti")
+    ))
+    exact = _prefix_pairs(crowded.join(sets, "node"), forest)
+    exact = materialize(exact.join(tested, ["u", "v"], "left_anti"), "rest")
+    more = materialize(_confirmed(exact, sets, forest), "confirmed")
+    tested = tested.unionByName(exact)
+    stars = found.select(F.col("node").alias("u"), F.col("root").alias("v"))
+    found = materialize(components(stars.unionByName(more)), "components")
     while True:
         sizes = found.groupBy("root").agg(F.count("*").alias("members"))
         joined = near.join(found.join(sizes, "root"), "node", "left").select(

@@ -88,3 +88,23 @@ def test_components_of_chains_and_stars(spark):
     got = {r["node"]: r["root"] for r in components(table).collect()}
     assert got == {i: 0 for i in range(201)} | {i: 500 for i in range(500, 600)} | {899: 899, 900: 899}
     assert components(table.limit(0)).count() == 0
+
+
+def template_pages(n, shared, own, pairs, more):
+    """`n` sets of `shared` common and `own` other words; the first `pairs` twos have `more` of these in common."""
+    template = [f"t{i}" for i in range(shared)]
+    texts = []
+    for i in range(n):
+        words = [f"w{i}x{j}" for j in range(own)]
+        if i < 2 * pairs:
+            words[:more] = [f"p{i // 2}x{j}" for j in range(more)]
+        texts.append((i, " ".join(template + words)))
+    return texts
+
+
+def test_links_beyond_the_window_of_a_dense_region(spark):
+    # Mutual similarity 170/230, in pairs 178/222, and more rows in a region than a window has.
+    rows = template_pages(240, 170, 30, 40, 8)
+    table = spark.createDataFrame([(*r, "clash", "clash") for r in rows], SCHEMA)
+    got = neardup.duplicate_classes(table, neardup.Forest(words=1, near=1, far=4)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {i: i - i % 2 if i < 80 else i for i in range(240)}
