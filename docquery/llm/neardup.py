@@ -6,10 +6,11 @@ A class is compared with its neighbours there as far as they share a prefix, so
 sparse regions are compared at shallow depth, dense ones at greater depth. Neighbours whose
 sketches agree enough are candidates.
 
-Links are confirmed in rounds. The first confirms each class's best candidates and joins them to
-components. Later rounds look farther, and confirm the best candidates that the classes of a smaller
-component have in larger ones, until a round confirms nothing. A link inside a component changes
-nothing and need not be confirmed.
+Links are confirmed twice. The first time confirms each class's best candidates and joins them to
+components. The second looks at all classes that share a prefix of the least depth in a tree, a
+region. Regions of up to `far` rows compare all their rows, and each pair of different components
+whose sketches agree enough is confirmed. The classes of larger regions meet on their rarest
+shingles, which leaves out no link. A link inside a component changes nothing and need not be confirmed.
 
 Defined cases: null or empty texts have empty sets and are linked with nothing; a text of fewer
 words than a shingle is one shingle; repeated rows share a class; a null key counts as larger
@@ -45,13 +46,11 @@ class Forest:
     percent: int = 80
     trees: int = 16
     depth: int = 8
-    # Values that neighbours must share at least, and neighbours that are compared on each side: near
-    # ones in the first round, far ones where only those of different components are.
+    # Values that neighbours must share at least, near neighbours that are compared first, and the
+    # rows of a region of which all are compared by their sketches.
     least_depth: int = 2
     near: int = 16
     far: int = 128
-    # Far neighbours on which a class of the smaller component is confirmed, for each tree.
-    best_far: int = 32
     # Bytes of a sketch. At least as many must agree as a linked pair has, less 4.5 standard deviations.
     sketch: int = 128
     best: int = 3
@@ -136,16 +135,14 @@ def _fixed(column: pa.Array, width: int) -> np.ndarray:
     return data[column.offset * width : (column.offset + len(column)) * width].reshape(-1, width)
 
 
-def _neighbours(
-    batches: Iterator[pa.RecordBatch], forest: Forest, best_only: bool
-) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs among rows `(tree, path, sketch, node, component, size)` in sorted order.
+def _neighbours(batches: Iterator[pa.RecordBatch], forest: Forest, best_only: bool) -> Iterator[pa.RecordBatch]:
+    """Candidate pairs among rows `(tree, path, sketch, node, component)` in sorted order.
 
-    With `best_only`, each row gives the near predecessor that agrees most with it. Else a row gives
-    its best far neighbours in other components of at least the size of its own.
+    With `best_only`, each row gives the near predecessor that agrees most with it. Else rows come by
+    whole regions of at most `far` rows, and all pairs of different components that agree enough are given.
     """
     held: list[np.ndarray] | None = None
-    most, kept = (forest.near, 1) if best_only else (forest.far, forest.best_far)
+    most = forest.near if best_only else forest.far - 1
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -153,12 +150,11 @@ def _neighbours(
         rows = [
             np.concatenate([tree, _fixed(batch.column(1), 4 * forest.depth)[:, : 4 * forest.least_depth]], axis=1),
             _fixed(batch.column(2), forest.sketch), _fixed(batch.column(3), 16), _fixed(batch.column(4), 16),
-            batch.column(5).to_numpy(),
         ]
         seen = 0 if held is None else len(held[0])
         if held is not None:
             rows = [np.concatenate(pair) for pair in zip(held, rows)]
-        prefix, sketch, node, component, size = rows
+        prefix, sketch, node, component = rows
         n = len(prefix)
         found = [(np.zeros(0, np.int64),) * 3]
         for back in range(1, min(most, n - 1) + 1):
@@ -169,39 +165,51 @@ def _neighbours(
             agree = (sketch[later] == sketch[later - back]).sum(axis=1)
             enough = agree >= forest.least_agreement
             later, agree = later[enough], agree[enough]
-            other = later - back
-            if best_only:
-                found.append((later, other, agree))
-                continue
-            for row, far in ((later, other), (other, later)):
-                asks = size[row] <= size[far]
-                found.append((row[asks], far[asks], agree[asks]))
+            found.append((later, later - back, agree))
         held = [r[-most:] for r in rows]
         row, other, agree = map(np.concatenate, zip(*found))
-        order = np.lexsort((-agree, row))
-        row, other, agree = row[order], other[order], agree[order]
-        rank = np.arange(len(row)) - np.searchsorted(row, row)
-        row, other, agree = row[rank < kept], other[rank < kept], agree[rank < kept]
+        if best_only:
+            order = np.lexsort((-agree, row))
+            row, other, agree = row[order], other[order], agree[order]
+            best = np.arange(len(row)) == np.searchsorted(row, row)
+            row, other, agree = row[best], other[best], agree[best]
         if len(row):
             ends = [pa.array(list(map(bytes, node[i])), pa.binary()) for i in (row, other)]
             yield pa.RecordBatch.from_arrays([*ends, pa.array(agree, pa.int64())], names=["a", "b", "agree"])
 
 
-def _candidates(classes: DataFrame, forest: Forest, best_only: bool) -> DataFrame:
-    """Distinct candidate pairs `(u, v, agree)` of the classes `(node, signature, sketch, component, size)`."""
+def _paths(classes: DataFrame, forest: Forest, *columns: str) -> DataFrame:
+    """A row for each tree, with its `tree, path` and the `columns` of the class."""
     width = 4 * forest.depth
     trees = F.explode(F.sequence(F.lit(0), F.lit(forest.trees - 1))).alias("tree")
-    rows = classes.select("node", "component", "size", "signature", "sketch", trees).select(
-        "tree", F.substring("signature", F.col("tree") * width + 1, F.lit(width)).alias("path"),
-        "sketch", "node", "component", "size",
+    return classes.select("signature", *columns, trees).select(
+        "tree", F.substring("signature", F.col("tree") * width + 1, F.lit(width)).alias("path"), *columns
     )
-    ordered = rows.repartitionByRange("tree", "path", "node").sortWithinPartitions("tree", "path", "node")
-    pairs = ordered.mapInArrow(lambda b: _neighbours(b, forest, best_only), "a binary, b binary, agree long")
+
+
+def _pairs(ordered: DataFrame, forest: Forest, best_only: bool) -> DataFrame:
+    """Distinct candidate pairs `(u, v, agree)` of rows in order."""
+    columns = ordered.select("tree", "path", "sketch", "node", "component")
+    pairs = columns.mapInArrow(lambda b: _neighbours(b, forest, best_only), "a binary, b binary, agree long")
     return pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"), "agree").groupBy("u", "v").agg(
         F.max("agree").alias("agree")
     )
 
 
+def _near_pairs(classes: DataFrame, forest: Forest) -> DataFrame:
+    rows = _paths(classes, forest, "sketch", "node", "component")
+    ordered = rows.repartitionByRange("tree", "path", "node").sortWithinPartitions("tree", "path", "node")
+    return _pairs(ordered, forest, best_only=True)
+
+
+def _region_pairs(rows: DataFrame, regions: DataFrame, classes: DataFrame, forest: Forest) -> DataFrame:
+    """Distinct candidate pairs `(u, v)` of the regions that are not crowded; a region is in one partition."""
+    few = rows.join(regions.filter(F.col("rows") <= forest.far), ["tree", "region"]).drop("rows")
+    whole = few.join(classes.select("node", "sketch"), "node")
+    ordered = whole.repartition("tree", "region").sortWithinPartitions("tree", "region")
+    return _pairs(ordered, forest, best_only=False).select("u", "v")
+
+
 def _linked(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Keep the pairs `(u, v, set of u, set of v)` that are similar enough."""
     for batch in batches:
@@ -233,16 +241,12 @@ def _best(pairs: DataFrame, n: int) -> DataFrame:
 
 
 def _regions(classes: DataFrame, forest: Forest) -> tuple[DataFrame, DataFrame]:
-    """The rows `(tree, region, node, component)` and the stored regions `(tree, region, rows)` of several components.
+    """The rows `(tree, path, region, node, component)` and the stored regions `(tree, region, rows)` of several components.
 
     A region is all rows of a tree that share its `least_depth` first values.
     """
-    width = 4 * forest.depth
-    trees = F.explode(F.sequence(F.lit(0), F.lit(forest.trees - 1))).alias("tree")
-    rows = classes.select("node", "component", "signature", trees).select(
-        "tree", F.substring("signature", F.col("tree") * width + 1, F.lit(4 * forest.least_depth)).alias("region"),
-        "node", "component",
-    )
+    prefix = F.substring("path", 1, 4 * forest.least_depth).alias("region")
+    rows = _paths(classes, forest, "node", "component").select("tree", "path", prefix, "node", "component")
     found = rows.groupBy("tree", "region").agg(
         F.count("*").alias("rows"), F.min("component").alias("a"), F.max("component").alias("b")
     )
@@ -343,10 +347,10 @@ def duplicate_classes(docs: DataFrame, forest: Forest, key: str = "doc_id", text
         signed.filter(F.col("node").isNotNull()).groupBy("node").agg(
             first.alias("first"), F.first("signature").alias("signature")
         ).select("node", "first.key", "first.text_id", "signature", sketch.alias("sketch"),
-                 F.col("node").alias("component"), F.lit(1).cast("long").alias("size")),
+                 F.col("node").alias("component")),
         "classes",
     )
-    pairs = materialize(_candidates(classes, forest, best_only=True), "pairs")
+    pairs = materialize(_near_pairs(classes, forest), "pairs")
     near = materialize(
         pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(classes, "node"), "near"
     )
@@ -380,31 +384,17 @@ def duplicate_classes(docs: DataFrame, forest: Forest, key: str = "doc_id", text
         .select("node", "component").distinct(),
         "crowded",
     )
-    sets = sets.unionByName(full_sets(
-        classes.join(crowded, "node", "left_semi").join(near, "node", "left_anti")
-    ))
-    exact = _prefix_pairs(crowded.join(sets, "node"), forest)
-    exact = materialize(exact.join(tested, ["u", "v"], "left_anti"), "rest")
-    more = materialize(_confirmed(exact, sets, forest), "confirmed")
-    tested = tested.unionByName(exact)
+    few = materialize(_region_pairs(rows, regions, classes, forest).join(tested, ["u", "v"], "left_anti"), "few")
+    more_nodes = few.select(F.explode(F.array("u", "v")).alias("node")).unionByName(crowded.select("node"))
+    more_classes = classes.join(more_nodes.distinct().join(near, "node", "left_anti"), "node", "left_semi")
+    sets = sets.unionByName(full_sets(more_classes))
+    exact = _prefix_pairs(crowded.join(sets, "node"), forest).join(tested, ["u", "v"], "left_anti")
+    rest = materialize(exact.unionByName(few).distinct(), "rest")
+    more = _confirmed(rest, sets, forest)
     stars = found.select(F.col("node").alias("u"), F.col("root").alias("v"))
     found = materialize(components(stars.unionByName(more)), "components")
-    while True:
-        sizes = found.groupBy("root").agg(F.count("*").alias("members"))
-        joined = near.join(found.join(sizes, "root"), "node", "left").select(
-            "node", "signature", "sketch", F.coalesce("root", "node").alias("component"),
-            F.coalesce("members", F.lit(1)).cast("long").alias("size"),
-        )
-        rest = _candidates(joined, forest, best_only=False).select("u", "v")
-        rest = materialize(rest.join(tested, ["u", "v"], "left_anti"), "rest")
-        more = materialize(_confirmed(rest, sets, forest), "confirmed")
-        if more.head() is None:
-            break
-        tested = tested.unionByName(rest)
-        stars = found.select(F.col("node").alias("u"), F.col("root").alias("v"))
-        found = materialize(components(stars.unionByName(more)), "components")
-
-    by_root = found.join(near.select("node", "key"), "node")
+
+    by_root = found.join(classes.select("node", "key"), "node")
     least = by_root.groupBy("root").agg(F.min("key").alias("least"))
     names_of = by_root.join(least, "root").select("node", "least")
     # Stored, so that the join has a plain shuffle on both sides and can split the rows of many copies.

@@ -108,3 +108,11 @@ def test_links_beyond_the_window_of_a_dense_region(spark):
     table = spark.createDataFrame([(*r, "clash", "clash") for r in rows], SCHEMA)
     got = neardup.duplicate_classes(table, neardup.Forest(words=1, near=1, far=4)).collect()
     assert {r["doc_id"]: r["component_id"] for r in got} == {i: i - i % 2 if i < 80 else i for i in range(240)}
+
+
+def test_every_candidate_of_a_region_is_tested(spark):
+    # Many neighbours just below the limit, 176/224, rank before the links, 178/222.
+    rows = template_pages(120, 176, 24, 40, 2)
+    table = spark.createDataFrame([(*r, "clash", "clash") for r in rows], SCHEMA)
+    got = neardup.duplicate_classes(table, neardup.Forest(words=1)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {i: i - i % 2 if i < 80 else i for i in range(120)}
