@@ -4,8 +4,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquery.llm import ann, bpe, chat, licences, linerules, neardup, packing, quality, shards, toxicity
+from docquery.llm import (
+    ann, bpe, chat, licences, linerules, neardup, packing, quality, shards, tokenfiles, toxicity,
+)
 from docquery.llm.labels import remainder
+from docquery.shared import fresh_path
 from docquery.sources.tables import table
 
 
@@ -101,6 +104,12 @@ def op10_lsh_forest(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_orc_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = fresh_path(spark, "token-files")
+    tokenfiles.write_token_files(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"), path)
+    return tokenfiles.id_checksums(tokenfiles.read_token_files(spark, path))
+
+
 QUERIES = {
     "op1_dimension_scan": op1_dimension_scan,
     "op2_shuffled_shards": op2_shuffled_shards,
@@ -112,4 +121,5 @@ QUERIES = {
     "op8_best_two_fit": op8_best_two_fit,
     "op9_rule_ensemble": op9_rule_ensemble,
     "op10_lsh_forest": op10_lsh_forest,
+    "op11_orc_token_files": op11_orc_token_files,
 }
