@@ -5,10 +5,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docquery.llm import (
-    ann, bpe, chat, licences, linerules, neardup, packing, quality, shards, tokenfiles, toxicity,
+    ann, bpe, chat, licences, linerules, neardup, packing, prefixtrie, quality, shards, tokenfiles, toxicity,
 )
 from docquery.llm.labels import remainder
-from docquery.shared import fresh_path
+from docquery.shared import fresh_path, materialize
 from docquery.sources.tables import table
 
 
@@ -110,6 +110,24 @@ def op11_orc_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return tokenfiles.id_checksums(tokenfiles.read_token_files(spark, path))
 
 
+def rebuilt(paths: DataFrame) -> DataFrame:
+    """Conversations that begin like the first of their five: `(conv_id, turns)` of turn paths."""
+    taken = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9).cast("int")
+    rows = paths.withColumns({"base": F.col("conv_id") - F.col("conv_id") % 5, "taken": taken})
+    bases = paths.filter(F.col("conv_id") % 5 == 0).select(F.col("conv_id").alias("base"), F.col("turns").alias("given"))
+    none = F.slice("turns", 1, 0)
+    turns = F.concat(
+        F.slice(F.coalesce("given", none), F.lit(1), F.col("taken")),
+        F.slice("turns", F.col("taken") + 1, F.greatest(F.size("turns") - F.col("taken"), F.lit(0))),
+    )
+    return rows.join(bases, "base", "left").select("conv_id", turns.alias("turns"))
+
+
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    paths = materialize(prefixtrie.turn_paths(table(spark, folder, "conversations")), "turn-paths")
+    return prefixtrie.prefix_trie(rebuilt(paths))
+
+
 QUERIES = {
     "op1_dimension_scan": op1_dimension_scan,
     "op2_shuffled_shards": op2_shuffled_shards,
@@ -122,4 +140,5 @@ QUERIES = {
     "op9_rule_ensemble": op9_rule_ensemble,
     "op10_lsh_forest": op10_lsh_forest,
     "op11_orc_token_files": op11_orc_token_files,
+    "op13_prefix_trie": op13_prefix_trie,
 }
