@@ -10,13 +10,15 @@ others is refused when it is loaded.
 from __future__ import annotations
 
 import json
+import os
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 from docquery.llm.memory import remembered
-from docquery.llm.words import bytes_table, raw_texts, runs
+from docquery.llm.words import bytes_table, mapped, raw_texts, runs
 
 # Bytes that a worker's memory of parts may take before it keeps only those of the present slice.
 MEMORY_BYTES = 64 << 20
@@ -29,11 +31,23 @@ _NORMALIZERS = [
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 _LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
-_SPACE = bytes_table(" \t\n\v\f\r")
-# Apostrophes begin contractions, so nothing is cut beside them.
-_CLASS = bytes_table(_LETTERS) * 1 + bytes_table("!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~") * 2 + bytes_table("0123456789") * 3
-_CLASS = _CLASS.astype(np.uint8)
-_UPPER = bytes_table(_LETTERS[:26])
+# What a byte is: nothing is cut beside apostrophes (0), which begin contractions.
+_LETTER, _SYMBOL, _DIGIT, _CAPITAL, _SPACE = 1, 2, 3, 4 | 1, 8
+_KINDS = (
+    bytes_table(_LETTERS[26:]) * _LETTER + bytes_table(_LETTERS[:26]) * _CAPITAL
+    + bytes_table("!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~") * _SYMBOL + bytes_table("0123456789") * _DIGIT
+    + bytes_table(" \t\n\v\f\r") * _SPACE
+).astype(np.uint8).tobytes()
+# The letters in which byte-level vocabularies write bytes: printable ones stand for themselves.
+_OWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_LETTERS = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _OWN)}
+# Letters up to here have been letters in all versions of Unicode at hand.
+_LAST_LATIN = "\u024f"
+
+
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    lengths = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.uint32, int(lengths.sum())), lengths
 
 
 def check_vocabulary(path: str) -> None:
@@ -54,6 +68,8 @@ class WordIds:
     """An encoder with a memory of bounded size, for one worker process."""
 
     def __init__(self, path: str):
+        # A task has one core; the library's threads would only get in the way of other tasks.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         check_vocabulary(path)
@@ -87,9 +103,27 @@ class WordIds:
         return self.ids[at], ends
 
     def _encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter((i for ids in found for i in ids), np.uint32, int(lengths.sum())), lengths
+        return _flat([e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+
+    def _of_parts(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of parts. A run of letters is one word of the pattern and goes to the merges at once."""
+        found: list[list[int]] = []
+        model, normal, others = self.tokenizer.model, self.tokenizer.normalizer.normalize_str, []
+        for i, part in enumerate(parts):
+            word = part.decode().lower() if part.isalpha() else ""
+            if not word and not part.isascii():
+                plain = normal(part.decode())
+                if plain.isalpha() and max(plain) <= _LAST_LATIN:
+                    word = plain.encode().decode("latin-1").translate(_BYTE_LETTERS)
+            if word:
+                found.append([t.id for t in model.tokenize(word)])
+            else:
+                others.append(i)
+                found.append([])
+        texts = [parts[i].decode() for i in others]
+        for i, encoded in zip(others, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            found[i] = encoded.ids
+        return _flat(found)
 
     def _learn(self, parts: list[bytes]) -> np.ndarray:
         """The place in the memory of each part."""
@@ -97,7 +131,7 @@ class WordIds:
             self._keep([p for p in parts if p in self.places])
         new = [p for p in parts if p not in self.places]
         if new:
-            ids, lengths = self._encoded([p.decode() for p in new])
+            ids, lengths = self._of_parts(new)
             self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(lengths)])
             self.ids = np.concatenate([self.ids, ids])
             self._remember(new, len(ids))
@@ -109,13 +143,16 @@ class WordIds:
         odd = np.zeros(len(texts), bool)
         for string in self.special:
             odd |= pc.match_substring(texts, string).fill_null(False).to_numpy(zero_copy_only=False)
-        kind, inside = _CLASS[data], ~_SPACE[data]
-        first = np.zeros(len(data), bool)
+        kind = mapped(data, _KINDS)
+        inside, first = kind != _SPACE, np.zeros(len(data), bool)
         if len(data):
-            after, before = kind[1:], kind[:-1]
-            first[1:] = (after > 0) & (before > 0) & ((after != before) | (after == 3))
             # A capital before a combining mark is left to the library.
-            data = data + 32 * (_UPPER[data] & (np.append(data[1:], 0) < 128)).astype(np.uint8)
+            capital = kind == _CAPITAL
+            capital[:-1] &= data[1:] < 128
+            data = data + (capital.view(np.uint8) << 5)
+            kind = kind & 3
+            after, before = kind[1:], kind[:-1]
+            first[1:] = ((after != before) & (after > 0) & (before > 0)) | ((after == _DIGIT) & (before == _DIGIT))
         for i in np.flatnonzero(odd):
             inside[bounds[i] : bounds[i + 1]] = False
         first[bounds[:-1][bounds[:-1] < len(data)]] = True

@@ -17,6 +17,11 @@ def bytes_table(chars: str) -> np.ndarray:
     return table
 
 
+def mapped(data: np.ndarray, table: bytes) -> np.ndarray:
+    """Each byte of `data` replaced by what a table of 256 bytes has for it."""
+    return np.frombuffer(data.tobytes().translate(table), np.uint8)
+
+
 def raw_texts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all texts and the bounds of each text in them; a null text is empty."""
     texts = texts.cast(pa.large_string()).fill_null("")
