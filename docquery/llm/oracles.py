@@ -156,5 +156,78 @@ reach as (
 select d.doc_id, coalesce(s.n, 0) as n_shingles, coalesce(m.component_id, d.doc_id) as component_id,
     coalesce(m.component_id, d.doc_id) = d.doc_id as kept
 from docs d left join sets s using (doc_id) left join classes c using (digest) left join named m using (node)
+""",
+    "op12_phrases": r"""
+with docs as (
+    select row_number() over () as rid, coalesce(lang, 'und') as lang,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text
+    from documents
+), pieces as (
+    select lang, regexp_extract_all(piece, '[^\x20\x09]+') as words
+    from (select lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) as piece from docs)
+), counted as (
+    select lang, size as words, phrase, count(*) as n
+    from (select lang, size, unnest(list_transform(range(1, len(words) - size + 2), lambda i: array_to_string(words[i:i + size - 1], ' '))) as phrase
+        from pieces, range(1, 5) t(size) where len(words) >= size)
+    group by all
+), totals as (select lang, cast(sum(n) as bigint) as n from counted where words = 1 group by lang),
+frequent as (select * from counted where n >= 30),
+covering as (
+    select lang, inner_phrase, max(n) as n from (
+        select lang, n, phrase, unnest(list_transform(range(1, words - size + 2), lambda i: array_to_string(string_split(phrase, ' ')[i:i + size - 1], ' '))) as inner_phrase
+        from frequent, range(2, 4) t(size) where words > size)
+    group by all
+), kept as (
+    select f.* from frequent f left join covering c on c.lang = f.lang and c.inner_phrase = f.phrase
+    where f.words >= 2 and (c.n is null or 100::hugeint * c.n < 80::hugeint * f.n)
+), cuts as (
+    select k.lang, k.phrase, k.n as a, cut, x.n as l, y.n as r, (2000000::hugeint * k.n) // (x.n + y.n) as score
+    from (select *, unnest(range(1, words)) as cut from kept) k
+    join frequent x on x.lang = k.lang and x.phrase = array_to_string(string_split(k.phrase, ' ')[:cut], ' ')
+    join frequent y on y.lang = k.lang and y.phrase = array_to_string(string_split(k.phrase, ' ')[cut + 1:], ' ')
+), lowest as (
+    select * from cuts qualify row_number() over (partition by lang, phrase order by score, cut) = 1
+), ranked as (
+    select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from lowest
+)
+select r.lang, rank, phrase, a, l, r.r, t.n, cast(score as bigint) as score
+from ranked r join totals t on t.lang = r.lang where rank <= 2000
+""",
+    "op13_prefix_trie": """
+with ordered as (
+    select conv_id, row_number() over (partition by conv_id order by turn nulls first, md5(said)) as pos, said, size from (
+        select conv_id, turn, strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '') as said,
+            strlen(coalesce(text, '')) as size
+        from conversations where conv_id is not null)
+), ids as (
+    select conv_id, list_reduce(
+        list_concat([4294967295::bigint], flatten(list_transform(string_split(conv_id::varchar, ''),
+            lambda c: [ascii(c)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
+        lambda a, x: case when x >= 0 then xor(a, x) else xor(a >> 1, 3988292384 * (a & 1)) end) as crc
+    from (select distinct conv_id from ordered)
+), taken as (select conv_id, xor(crc, 4294967295) % 9 as h from ids),
+rebuilt as (
+    select t.conv_id, o.pos, o.said, o.size from taken t join ordered o on o.conv_id = t.conv_id - t.conv_id % 5 and o.pos <= t.h
+    union all select t.conv_id, 1000000 + o.pos, o.said, o.size from taken t join ordered o on o.conv_id = t.conv_id and o.pos > t.h
+), numbered as (
+    select conv_id, row_number() over (partition by conv_id order by pos) as depth, said, size from rebuilt
+), steps as (
+    select conv_id, depth, size, list(md5(said)) over (partition by conv_id order by depth) as path from numbered
+    union all select conv_id, 0, 0, [] from taken
+), lengths as (select conv_id, max(depth) as length from steps group by conv_id),
+nodes as (
+    select s.path, s.depth, min(conv_id) as conv_id, count(*) as n_convs, (count(*) - 1) * any_value(s.size) as own,
+        coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (l.length = s.depth), '') as ends
+    from steps s join lengths l using (conv_id) group by s.path, s.depth
+), families as (
+    select n.*, p.conv_id as parent_conv_id, (select count(*) from nodes c where c.depth = n.depth + 1 and c.path[:n.depth] = n.path) as n_children
+    from nodes n left join nodes p on n.depth > 0 and p.depth = n.depth - 1 and p.path = n.path[:n.depth - 1]
+), sums as (
+    select path[:d] as path, sum(own) as saved, count(*) filter (n_children = 0) as leaves
+    from (select *, unnest(range(depth + 1)) as d from families) group by path[:d]
+)
+select conv_id, depth, parent_conv_id, n_convs, n_children, leaves as n_leaves, cast(saved as bigint) as saved_tokens,
+    sha256(ends) as ends_sha256
+from families join sums using (path)
 """,
 }

@@ -5,7 +5,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docquery.llm import (
-    ann, bpe, chat, licences, linerules, neardup, packing, prefixtrie, quality, shards, tokenfiles, toxicity,
+    ann, bpe, chat, collocations, licences, linerules, neardup, packing, prefixtrie, quality, shards, tokenfiles,
+    toxicity,
 )
 from docquery.llm.labels import remainder
 from docquery.shared import fresh_path, materialize
@@ -110,6 +111,10 @@ def op11_orc_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return tokenfiles.id_checksums(tokenfiles.read_token_files(spark, path))
 
 
+def op12_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 def rebuilt(paths: DataFrame) -> DataFrame:
     """Conversations that begin like the first of their five: `(conv_id, turns)` of turn paths."""
     taken = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9).cast("int")
@@ -140,5 +145,6 @@ QUERIES = {
     "op9_rule_ensemble": op9_rule_ensemble,
     "op10_lsh_forest": op10_lsh_forest,
     "op11_orc_token_files": op11_orc_token_files,
+    "op12_phrases": op12_phrases,
     "op13_prefix_trie": op13_prefix_trie,
 }
