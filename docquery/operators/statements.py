@@ -1,8 +1,12 @@
 """Audit and guarded execution of SQL statements held in a table."""
 from __future__ import annotations
 
-from itertools import islice
+import threading
+import uuid
+from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +18,8 @@ from docquery.operators.gating import decide
 from docquery.settings import DEFAULTS, Settings
 from docquery.shared import fresh_path, materialize
 
-# How many statements share one write; any number of statements is processed.
-_PER_WRITE = 8
+TOO_SLOW = "it took too long"
+UNSAFE = "could not generate a safe query"
 RESULT = "sql string, row_count int, rows_json string, error string"
 
 
@@ -47,11 +51,18 @@ def validate(rows: DataFrame, column: str = "raw_sql") -> DataFrame:
     ).drop("_audit")
 
 
-def with_risk(rows: DataFrame, settings: Settings = DEFAULTS, column: str = "sql") -> DataFrame:
-    """Add `reasons` and `risky`."""
-    found = sqlscreen.risk_reasons(
-        F.col(column), settings.sensitive_columns, settings.flag_broad_scans
+def risk_rules(settings: Settings = DEFAULTS) -> Hook:
+    """From a statement to the reasons why somebody should be asked before it runs; none if it is safe."""
+    return Hook(
+        lambda sql: sqlscreen.risk_reasons(sql, settings.sensitive_columns, settings.flag_broad_scans), costly=False
     )
+
+
+def with_risk(
+    rows: DataFrame, settings: Settings = DEFAULTS, column: str = "sql", risk: Hook | None = None
+) -> DataFrame:
+    """Add `reasons` and `risky`."""
+    found = (risk or risk_rules(settings))(F.col(column))
     return rows.withColumn("reasons", found).withColumn("risky", F.size("reasons") > 0)
 
 
@@ -74,23 +85,61 @@ def execute_distinct(statements: DataFrame, settings: Settings = DEFAULTS) -> Da
     """`(sql, row_count, rows_json, error)` for each distinct statement of `(sql)`.
 
     A statement is a query of its own and has to be planned by the driver, so the
-    distinct texts are streamed to it one partition at a time. Their capped results
-    go to the shared folder, never through the driver. All statements are run; one
-    that fails yields its error and does not affect the others.
+    distinct texts are streamed to it one partition at a time and `sql_at_once` of
+    them run side by side. Their capped results go to the shared folder, never through
+    the driver. All statements are run; one that fails, or takes longer than
+    `sql_seconds`, yields its error and does not hold up the others. What is cancelled are
+    the jobs of a statement; the time to plan it is not cut short.
     """
     spark = statements.sparkSession
     path = fresh_path(spark, "results")
-    spark.createDataFrame([], RESULT).write.parquet(path)
-    pending = (r["sql"] for r in statements.select("sql").distinct().toLocalIterator())
-    while group := list(islice(pending, _PER_WRITE)):
-        planned = [_planned(spark, sql, settings.sql_max_rows) for sql in group]
-        try:
-            _stack(planned).write.mode("append").parquet(path)
-        except PySparkException:
-            # A failing statement fails the whole write: store this group one by one.
-            for sql, plan in zip(group, planned):
-                _store_alone(spark, sql, plan, path)
-    return spark.read.schema(RESULT).parquet(path)
+    spark.createDataFrame([], RESULT).write.parquet(f"{path}/none")
+    texts = (r["sql"] for r in statements.select("sql").distinct().toLocalIterator())
+    taking = threading.Lock()
+
+    def work(_: int) -> None:
+        for sql in _taken(texts, taking):
+            _run_one(spark, sql, path, settings)
+
+    with ThreadPoolExecutor(settings.sql_at_once) as pool:
+        list(pool.map(work, range(settings.sql_at_once)))
+    return spark.read.schema(RESULT).parquet(f"{path}/*")
+
+
+def _taken(texts: Iterator[str], taking: threading.Lock) -> Iterator[str]:
+    """Texts of an iterator that several threads share."""
+    while True:
+        with taking:
+            sql = next(texts, None)
+        if sql is None:
+            return
+        yield sql
+
+
+def _run_one(spark: SparkSession, sql: str, path: str, settings: Settings) -> None:
+    """Store the result of a statement; its jobs carry a tag of their own, by which they are cancelled."""
+    name, over = uuid.uuid4().hex, threading.Event()
+
+    def stop() -> None:
+        # Again and again, as there may be no job just now.
+        while not over.wait(1):
+            spark.sparkContext.cancelJobsWithTag(name)
+
+    late = threading.Event()
+    watch = threading.Timer(settings.sql_seconds, lambda: (late.set(), spark.sparkContext.cancelJobsWithTag(name), stop()))
+    watch.daemon = True
+    spark.sparkContext.addJobTag(name)
+    watch.start()
+    try:
+        _planned(spark, sql, settings.sql_max_rows).write.mode("overwrite").parquet(f"{path}/{name}")
+        return
+    except (PySparkException, Py4JError) as problem:
+        failed = TimeoutError(TOO_SLOW) if late.is_set() else problem
+    finally:
+        over.set()
+        watch.cancel()
+        spark.sparkContext.removeJobTag(name)
+    _failed(spark, sql, failed).write.mode("overwrite").parquet(f"{path}/{name}")
 
 
 def _planned(spark: SparkSession, sql: str, max_rows: int) -> DataFrame:
@@ -114,43 +163,34 @@ def _planned(spark: SparkSession, sql: str, max_rows: int) -> DataFrame:
 
 
 def _failed(spark: SparkSession, sql: str, problem: Exception) -> DataFrame:
-    if isinstance(problem, PySparkException):
-        reason = problem.getCondition() or type(problem).__name__
-    else:
+    if isinstance(problem, (NotReadOnlyError, TimeoutError)):
         reason = str(problem)
+    else:
+        reason = getattr(problem, "getCondition", str)() or type(problem).__name__
     return spark.createDataFrame([(sql, 0, None, f"query failed to execute: {reason}")], RESULT)
 
 
-def _stack(parts: list[DataFrame]) -> DataFrame:
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole
-
-
-def _store_alone(spark: SparkSession, sql: str, plan: DataFrame, path: str) -> None:
-    try:
-        plan.write.mode("append").parquet(path)
-    except PySparkException as problem:
-        _failed(spark, sql, problem).write.mode("append").parquet(path)
-
-
 def refusal(error: Column) -> Column:
     return F.concat(F.lit("I couldn't answer that from the database ("), error, F.lit(")."))
 
 
-def structured_branch(log: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+def structured_branch(
+    log: DataFrame, settings: Settings = DEFAULTS, risk: Hook | None = None, answer: Hook | None = None
+) -> DataFrame:
     """Answer rows for a log `(request_id, question, raw_sql)`.
 
     Validated statements without risk flags run, risky ones freeze until somebody
     decides, and failures answer with their reason. Each distinct statement is
     audited and run once, however often it occurs in the log; the outcome is a
     stored table, so its true size decides how it is joined back.
+
+    `risk` replaces the rules of `risk_rules`. `answer` makes the text of a question, its
+    statement and the rows found, which otherwise are the text as they are.
     """
     log = log.withColumn("raw_sql", F.coalesce("raw_sql", F.lit("")))
     valid = validate(log.select("raw_sql").distinct())
     if settings.approval_enabled:
-        assessed = with_risk(valid, settings).withColumn("frozen", F.col("valid") & F.col("risky"))
+        assessed = _assessed(valid, settings, risk)
     else:
         # Nobody is asked, so nothing is assessed.
         assessed = valid.withColumns(
@@ -159,11 +199,28 @@ def structured_branch(log: DataFrame, settings: Settings = DEFAULTS) -> DataFram
     audited = materialize(assessed, "audited")
     results = execute_distinct(audited.filter(F.col("valid") & ~F.col("frozen")), settings)
     outcomes = _outcomes(audited, results)
-    return log.join(outcomes, "raw_sql").drop("raw_sql")
+    return _said(log.join(outcomes, "raw_sql").drop("raw_sql"), answer)
+
+
+def _assessed(valid: DataFrame, settings: Settings, risk: Hook | None) -> DataFrame:
+    """Add `reasons`, `risky` and `frozen` to validated statements; only the valid ones are assessed."""
+    rules = risk or risk_rules(settings)
+    none = F.array().cast("array<string>")
+    known = decide(valid, ~F.col("valid"), none, rules, [F.col("sql")], "reasons")
+    return known.withColumn("risky", F.size("reasons") > 0).withColumn("frozen", F.col("valid") & F.col("risky"))
+
+
+def _said(rows: DataFrame, answer: Hook | None) -> DataFrame:
+    """Rows with `text`, or where that is null what `answer` makes of `(question, sql, rows_json)`."""
+    if answer is None:
+        return rows.withColumn("text", F.coalesce("text", "rows_json")).drop("rows_json")
+    asked = [F.col("question"), F.col("sql"), F.col("rows_json")]
+    told = decide(rows, F.col("text").isNotNull(), F.col("text"), answer, asked, "_said")
+    return told.withColumn("text", F.col("_said")).drop("rows_json", "_said")
 
 
 def resume_decided(
-    frozen: DataFrame, decisions: DataFrame, settings: Settings = DEFAULTS
+    frozen: DataFrame, decisions: DataFrame, settings: Settings = DEFAULTS, answer: Hook | None = None
 ) -> DataFrame:
     """Answers of frozen rows `(request_id, question, sql, reasons)` that have been decided.
 
@@ -172,20 +229,29 @@ def resume_decided(
     """
     decided = frozen.join(
         decisions.filter(F.col("status").isin("approved", "denied")), "request_id"
-    )
-    results = execute_distinct(decided.filter(F.col("status") == "approved"), settings)
+    ).select("request_id", "question", "sql", F.array_join("reasons", "; ").alias("reasons"), "status")
+    return answer_decided(decided, settings, answer).withColumnRenamed("reasons", "risk_reason")
+
+
+def answer_decided(decided: DataFrame, settings: Settings = DEFAULTS, answer: Hook | None = None) -> DataFrame:
+    """Carry out requests `(question, sql, status, …)` that are `approved` or `denied`.
+
+    Adds `text` and `row_count`; `status` becomes `executed` or `denied`. Each distinct statement runs
+    once. A null statement was never valid, and is answered with that.
+    """
+    decided = materialize(decided, "decided")
+    results = execute_distinct(decided.filter((F.col("status") == "approved") & F.col("sql").isNotNull()), settings)
     denied = F.col("status") == "denied"
-    error = F.when(denied, sqlscreen.DENIED).otherwise(F.col("result_error"))
-    return (
-        decided.join(_renamed(results), "sql", "left")
-        .select(
-            "request_id", "question", "sql",
-            F.when(error.isNotNull(), refusal(error)).otherwise(F.col("rows_json")).alias("text"),
-            F.when(denied, 0).otherwise(F.coalesce("row_count", F.lit(0))).alias("row_count"),
-            F.when(denied, "denied").otherwise("executed").alias("status"),
-            F.array_join("reasons", "; ").alias("risk_reason"),
-        )
+    error = (
+        F.when(denied, sqlscreen.DENIED).when(F.col("sql").isNull(), UNSAFE).otherwise(F.col("result_error"))
+    )
+    answered = decided.join(_renamed(results), "sql", "left").select(
+        *decided.drop("status").columns,
+        F.when(error.isNotNull(), refusal(error)).alias("text"), "rows_json",
+        F.when(denied, 0).otherwise(F.coalesce("row_count", F.lit(0))).alias("row_count"),
+        F.when(denied, "denied").otherwise("executed").alias("status"),
     )
+    return _said(answered, answer)
 
 
 def _renamed(results: DataFrame) -> DataFrame:
@@ -193,17 +259,11 @@ def _renamed(results: DataFrame) -> DataFrame:
 
 
 def _outcomes(audited: DataFrame, results: DataFrame) -> DataFrame:
-    """What each audited statement answers with."""
-    invalid = F.concat(F.lit("could not generate a safe query: "), F.col("error"))
+    """What each audited statement answers with: a `text`, or the rows it found."""
+    invalid = F.concat(F.lit(UNSAFE + ": "), F.col("error"))
     error = F.when(~F.col("valid"), invalid).otherwise(F.col("result_error"))
-    text = (
-        F.when(F.col("frozen"), "")
-        .when(error.isNotNull(), refusal(error))
-        .otherwise(F.col("rows_json"))
-    )
     return audited.join(_renamed(results), "sql", "left").select(
-        "raw_sql", "sql",
-        text.alias("text"),
+        "raw_sql", "sql", F.when(F.col("frozen"), "").when(error.isNotNull(), refusal(error)).alias("text"), "rows_json",
         F.when(F.col("frozen"), 0).otherwise(F.coalesce("row_count", F.lit(0))).alias("row_count"),
         F.when(F.col("frozen"), "frozen").otherwise("executed").alias("status"),
         F.when(F.col("valid"), F.array_join("reasons", "; ")).otherwise("").alias("risk_reason"),

@@ -7,6 +7,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docquery.operators.statements import validate, with_risk
+from docquery.settings import DEFAULTS, Settings
 from docquery.shared import spread
 from docquery.sources.tables import table
 
@@ -26,6 +28,8 @@ STATEMENTS = [
     "``` ```",
     "SELECT count(*) AS n FROM orders WHERE o_orderpriority = 'update'",
     "SELECT salary_band FROM grades WHERE id = 1",
+    "SELECT IDENTIFIER('reflect')('java.lang.Math', 'abs', -3) AS n FROM orders LIMIT 1",
+    "SELECT x.* FROM hidden x, (WITH hidden AS (SELECT 1 AS a) SELECT * FROM hidden) y LIMIT 1",
 ]
 
 # What the question log cycles through.
@@ -110,15 +114,25 @@ def answer_log(events: DataFrame) -> DataFrame:
     )
 
 
-def approval_events(events: DataFrame) -> DataFrame:
-    """`(request_id, at STRUCT<ts, seq>, kind)`; also for a stream of events."""
+def approval_events(events: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """`(request_id, at STRUCT<ts, seq>, kind, question, sql, reasons)`; also for a stream of events.
+
+    A request asks for the statement of its event in the statement log; `sql` is null if it is not valid.
+    """
     kind = (
         F.when(F.col("event_type") == "purchase", "request")
         .when(F.col("event_type") == "click", "approve")
         .when(F.col("event_type") == "error", "deny")
     )
-    return events.select(
+    asked = events.select(
         F.col("user_id").alias("request_id"),
         F.struct(F.col("ts"), F.col("event_id").alias("seq")).alias("at"),
         kind.alias("kind"),
+        _cycle(F.col("event_id"), QUESTIONS).alias("question"),
+        _cycle(F.col("event_id"), STATEMENTS).alias("raw_sql"),
     ).filter(F.col("kind").isNotNull())
+    checked = with_risk(validate(asked), settings).withColumn("reasons", F.array_join("reasons", "; "))
+    return checked.select(
+        "request_id", "at", "kind",
+        *[F.when(F.col("kind") == "request", F.col(c)).alias(c) for c in ("question", "sql", "reasons")],
+    )

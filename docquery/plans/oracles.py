@@ -50,12 +50,16 @@ alog as (select event_id, ts,
   from events)"""
 
 APPROVALS = """
-appr as (select user_id as request_id, ts, event_id as seq,
-  case event_type when 'purchase' then 'request' when 'click' then 'approve' when 'error' then 'deny' end as kind
-  from events where event_type in ('purchase','click','error')),
+asked as (select user_id as request_id, ts, event_id as seq,
+  case event_type when 'purchase' then 'request' when 'click' then 'approve' when 'error' then 'deny' end as kind,
+  c.question, case when c.error is null then c.cleaned end as sql, coalesce(r.reasons, '') as reasons
+  from events join checked c using (event_id) left join risk r using (event_id) where event_type in ('purchase','click','error')),
+appr as (select request_id, ts, seq, kind, case when kind = 'request' then question end as question,
+  case when kind = 'request' then sql end as sql, case when kind = 'request' then reasons end as reasons from asked),
 appr_n as (select *, row_number() over (partition by request_id order by ts, seq) as n from appr),
-appr_l as (select request_id, max(n) as lr, arg_max(ts, n) as created_at from appr_n where kind='request' group by 1),
-resolved as (select l.request_id,
+appr_l as (select request_id, n as lr, ts as created_at, question, sql, reasons from appr_n where kind = 'request'
+  qualify row_number() over (partition by request_id order by n desc) = 1),
+resolved as (select l.request_id, l.question, l.sql, l.reasons,
   coalesce((select case arg_min(kind, n) when 'approve' then 'approved' when 'deny' then 'denied' end
     from appr_n a where a.request_id = l.request_id and a.n > l.lr), 'pending') as status,
   l.created_at from appr_l l)"""
@@ -335,7 +339,27 @@ results as (
   union all select {lit(STATEMENTS[8].rstrip(';'))}, count(*)::int,
     '[' || string_agg('{{"c_mktsegment":"' || c_mktsegment || '","n":' || n || '}}', ',' order by c_mktsegment) || ']', null
     from (select c_mktsegment, count(*) as n from customer group by 1)
-  union all select {lit(STATEMENTS[11])}, 0, null, 'query failed to execute: TABLE_OR_VIEW_NOT_FOUND')"""
+  union all select {lit(STATEMENTS[11])}, 0, null, 'query failed to execute: TABLE_OR_VIEW_NOT_FOUND'
+  union all select {lit(STATEMENTS[12])}, 0, null, 'query failed to execute: expression is not allowed: ExpressionWithUnresolvedIdentifier'
+  union all select {lit(STATEMENTS[13])}, 0, null, 'query failed to execute: TABLE_OR_VIEW_NOT_FOUND'
+  union all select {lit(STATEMENTS[5])}, count(*)::int,
+    '[' || string_agg('{{"o_orderkey":' || o_orderkey || ',"o_totalprice":' || o_totalprice || '}}', ',' order by o_orderkey) || ']', null
+    from (select * from orders where o_orderkey < 10 order by o_orderkey limit {DEFAULTS.sql_max_rows})
+  union all select {lit(STATEMENTS[6])}, least(count(*), {DEFAULTS.sql_max_rows})::int, null, null from customer)"""
+UNSAFE = "could not generate a safe query"
+
+
+def answered(status: str, sql: str) -> str:
+    """The text of a request that was carried out; null where the statement leaves open which rows it returns."""
+    refused = "'I couldn''t answer that from the database (' || {} || ').'"
+    return (
+        f"case when {status} = 'denied' then {refused.format(lit(DENIED))} "
+        f"when {sql} is null then {refused.format(lit(UNSAFE))} "
+        f"when failure is not null then {refused.format('failure')} else rows_json end"
+    )
+
+
+
 BRANCH = f"""
 branch as (select c.event_id, c.question, case when c.error is null then c.cleaned end as sql,
   case when r.reasons <> '' then ''
@@ -347,15 +371,13 @@ branch as (select c.event_id, c.question, case when c.error is null then c.clean
   from checked c left join risk r using (event_id) left join results s on s.cleaned = c.cleaned and c.error is null)"""
 SQL["structured_branch_status"] = with_(STATEMENT_LOG, CHECKED, RISK, RESULTS, BRANCH) + """
 select event_id as request_id, sql, text, row_count, status, risk_reason from branch"""
-SQL["resumed_answers"] = with_(STATEMENT_LOG, CHECKED, RISK, APPROVALS) + f"""
+SQL["resumed_answers"] = with_(STATEMENT_LOG, CHECKED, RISK, APPROVALS, RESULTS) + f"""
 select event_id as request_id, case v.status when 'denied' then 'denied' else 'executed' end as status,
-  case when v.status = 'denied' or cleaned like 'WITH%' then 0
-    when cleaned = {lit(STATEMENTS[5])} then (select least(count(*), {DEFAULTS.sql_max_rows}) from orders where o_orderkey < 10)
-    when cleaned = {lit(STATEMENTS[6])} then (select least(count(*), {DEFAULTS.sql_max_rows}) from customer) end::int as row_count,
-  reasons as risk_reason,
-  case v.status when 'denied' then 'I couldn''t answer that from the database ({DENIED}).' end as refusal
-  from risk join events using (event_id) join resolved v on v.request_id = user_id
-  where reasons <> '' and v.status <> 'pending'"""
+  case when v.status = 'denied' then 0 else coalesce(row_count, 0) end::int as row_count,
+  k.reasons as risk_reason, {answered('v.status', 'k.cleaned')} as text
+  from risk k join events using (event_id) join resolved v on v.request_id = user_id
+  left join results s on s.cleaned = k.cleaned
+  where k.reasons <> '' and v.status <> 'pending'"""
 
 # ---- figures -----------------------------------------------------------------
 
@@ -377,13 +399,24 @@ SQL["limited_projection"] = "select o_orderkey, o_totalprice from orders order b
 
 # ---- approvals ---------------------------------------------------------------
 
-SQL["approvals_current"] = with_(APPROVALS) + "\nselect request_id, created_at from appr_l"
-SQL["approvals_resolved"] = with_(APPROVALS) + "\nselect request_id, status, created_at from resolved"
-SQL["approvals_pending"] = with_(APPROVALS) + """
-select request_id, status, created_at from resolved where status = 'pending' order by created_at, request_id"""
-SQL["approval_lookup"] = with_(APPROVALS) + """
-select c_custkey as request_id, status, created_at from customer left join resolved on request_id = c_custkey"""
-SQL["approvals_stream"] = SQL["approvals_resolved"]
+LEDGER = with_(STATEMENT_LOG, CHECKED, RISK, APPROVALS)
+SQL["approvals_current"] = LEDGER + "\nselect request_id, created_at, question, sql, reasons from appr_l"
+SQL["approvals_resolved"] = LEDGER + "\nselect request_id, question, sql, reasons, status, created_at from resolved"
+SQL["approvals_pending"] = LEDGER + """
+select request_id, question, sql, reasons, status, created_at from resolved where status = 'pending' order by created_at, request_id"""
+SQL["approval_lookup"] = LEDGER + """
+select c_custkey as request_id, question, sql, reasons, status, created_at from customer left join resolved on request_id = c_custkey"""
+# A decision is carried out if the event before it is a request; a request waits if no event follows it.
+SQL["approvals_stream"] = with_(STATEMENT_LOG, CHECKED, RISK, APPROVALS, RESULTS) + f""",
+turns as (select *, lag(kind) over w as before, lag(ts) over w as since, lag(question) over w as asked_question,
+  lag(sql) over w as asked_sql, lag(reasons) over w as asked_reasons, lead(kind) over w as after
+  from appr window w as (partition by request_id order by ts, seq)),
+carried as (select request_id, since as created_at, asked_question as question, asked_sql as sql, asked_reasons as reasons,
+  case kind when 'approve' then 'executed' else 'denied' end as status from turns where kind <> 'request' and before = 'request')
+select request_id, created_at, question, sql, reasons, status, {answered('status', 'sql')} as text,
+  case when status = 'denied' then 0 else coalesce(row_count, 0) end::int as row_count
+  from carried left join results s on s.cleaned = sql
+union all select request_id, ts, question, sql, reasons, 'pending', null, null from turns where kind = 'request' and after is null"""
 
 # ---- guardrails --------------------------------------------------------------
 

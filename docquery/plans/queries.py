@@ -5,7 +5,7 @@ from collections.abc import Callable
 from dataclasses import replace
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -413,6 +413,11 @@ def structured_branch_status(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _ordered_text() -> Column:
+    """`text`, but null where the statement leaves open which rows it returns."""
+    return F.when(~F.coalesce(F.col("sql") == inputs.STATEMENTS[6], F.lit(False)) | (F.col("status") == "denied"), F.col("text")).alias("text")
+
+
 @query
 def resumed_answers(spark: SparkSession, folder: str) -> DataFrame:
     """Frozen statements of the log, decided by the ledger state of the user who asked."""
@@ -426,8 +431,7 @@ def resumed_answers(spark: SparkSession, folder: str) -> DataFrame:
     decisions = users.join(state, "user_id").select("request_id", "status")
     resumed = statements.resume_decided(risky, decisions, SETTINGS)
     return firewall.output_firewall(resumed).select(
-        "request_id", "status", "row_count", "risk_reason",
-        F.when(F.col("status") == "denied", F.col("text")).alias("refusal"),
+        "request_id", "status", "row_count", "risk_reason", _ordered_text(),
     )
 
 
@@ -499,12 +503,12 @@ def limited_projection(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _approvals(spark: SparkSession, folder: str) -> DataFrame:
-    return inputs.approval_events(table(spark, folder, "events"))
+    return inputs.approval_events(table(spark, folder, "events"), SETTINGS)
 
 
 @query
 def approvals_current(spark: SparkSession, folder: str) -> DataFrame:
-    return ledger.latest_requests(_approvals(spark, folder)).select("request_id", "created_at")
+    return ledger.latest_requests(_approvals(spark, folder)).drop("requested_at")
 
 
 @query
@@ -531,12 +535,37 @@ def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _by_time(events: DataFrame, parts: int) -> list[DataFrame]:
+    """Rows of successive spans of time, all of the same length."""
+    ends = events.agg(F.min("ts").alias("first"), F.max("ts").alias("last")).head()
+    place = F.least(F.floor(
+        parts * (F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.lit(ends["first"]).cast("timestamp")))
+        / F.greatest(F.unix_micros(F.lit(ends["last"]).cast("timestamp")) - F.unix_micros(F.lit(ends["first"]).cast("timestamp")), F.lit(1))
+    ), F.lit(parts - 1))
+    return [events.filter(place == i) for i in range(parts)]
+
+
 @query
 def approvals_stream(spark: SparkSession, folder: str) -> DataFrame:
-    path = fresh_path(spark, "ledger")
-    events = inputs.approval_events(_event_stream(spark, folder))
-    ledger_stream.start_ledger(events, path, fresh_path(spark, "progress")).awaitTermination()
-    return ledger_stream.current_state(spark, path)
+    """The log arrives in three parts; after each, the stream picks up where it stopped."""
+    register_views(spark, folder)
+    source, path, progress = (fresh_path(spark, label) for label in ("arriving", "ledger", "progress"))
+    log = table(spark, folder, "events")
+    for part in _by_time(log, 3):
+        part.write.mode("append").parquet(source)
+        events = inputs.approval_events(spark.readStream.schema(log.schema).parquet(source), SETTINGS)
+        ledger_stream.start_ledger(
+            events, path, progress, lambda decided: statements.answer_decided(decided, SETTINGS)
+        ).awaitTermination()
+    columns = "request_id", "created_at", "question", "sql", "reasons", "status"
+    waiting = ledger_stream.open_requests(spark, path).withColumns(
+        {"created_at": F.col("at.ts"), "status": F.lit("pending"), "text": F.lit(None).cast("string"),
+         "row_count": F.lit(None).cast("int")}
+    )
+    answered = ledger_stream.decided_requests(spark, path).withColumn("created_at", F.col("requested_at.ts"))
+    return answered.select(*columns, _ordered_text(), "row_count").unionByName(
+        waiting.select(*columns, "text", "row_count")
+    )
 
 
 # ---- guardrails --------------------------------------------------------------

@@ -29,6 +29,10 @@ class Settings:
     guard_toxicity: bool = True
     pii_entities: tuple[str, ...] = ("EMAIL", "PHONE", "SSN", "CREDIT_CARD", "IP")
 
+    # Statements that run side by side, and how long one may take.
+    sql_at_once: int = 8
+    sql_seconds: float = 600.0
+
     # Scale limits of this engine: what may be sent to every executor, and how
     # many vector bytes one task may hold when that limit is passed.
     broadcast_bytes: int = 64 << 20

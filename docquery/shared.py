@@ -39,7 +39,16 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored.__dict__["_stored_at"] = path
+    return stored
+
+
+def discard(stored: DataFrame) -> None:
+    """Remove the files of a materialized table that nothing will read any more."""
+    spark = stored.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(stored.__dict__["_stored_at"])
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -17,10 +17,13 @@ EMPLOYEES = [(1, "Ava", "Engineering", 182000), (2, "Ben", "Sales", 112000)]
 
 
 @pytest.fixture(scope="module")
-def employees(spark):
+def employees(spark, tmp_path_factory):
     frame = spark.createDataFrame(EMPLOYEES, "id int, name string, department string, salary int")
     frame.createOrReplaceTempView("employees")
-    return frame
+    # A table of the catalog, which no statement may read.
+    frame.write.option("path", str(tmp_path_factory.mktemp("tables") / "catalogued")).saveAsTable("catalogued")
+    yield frame
+    spark.sql("DROP TABLE catalogued")
 
 
 @pytest.fixture
@@ -156,6 +159,14 @@ def test_offline_classifier(spark):
         ("SELECT * FROM range(5)", "only plain SELECT queries are allowed"),
         ("SELECT * FROM default.employees", "only the registered views can be read"),
         ("SELECT * FROM nowhere", "TABLE_OR_VIEW_NOT_FOUND"),
+        ("SELECT IDENTIFIER('reflect')('java.lang.Math', 'abs', -3) FROM employees", "expression is not allowed: ExpressionWithUnresolvedIdentifier"),
+        ("SELECT id FROM employees WHERE IDENTIFIER('java_method')('java.lang.Math', 'abs', -3) = 3", "expression is not allowed"),
+        ("SELECT * FROM IDENTIFIER('employees')", "only plain SELECT queries are allowed"),
+        ("SELECT x.* FROM catalogued x, (WITH catalogued AS (SELECT 1 a) SELECT * FROM catalogued) y", "TABLE_OR_VIEW_NOT_FOUND"),
+        ("SELECT * FROM (WITH catalogued AS (SELECT * FROM catalogued) SELECT * FROM catalogued)", "TABLE_OR_VIEW_NOT_FOUND"),
+        ("SELECT * FROM (WITH a AS (SELECT * FROM b), b AS (SELECT 1 x) SELECT * FROM a)", "TABLE_OR_VIEW_NOT_FOUND"),
+        ("SELECT (WITH c AS (SELECT 1 x) SELECT max(x) FROM c) FROM c", "TABLE_OR_VIEW_NOT_FOUND"),
+        ("SELECT id FROM employees WHERE id IN (SELECT x FROM catalogued)", "TABLE_OR_VIEW_NOT_FOUND"),
     ],
 )
 def test_plan_decides_before_anything_is_read(spark, employees, tmp_path, sql, reason):
@@ -164,12 +175,70 @@ def test_plan_decides_before_anything_is_read(spark, employees, tmp_path, sql, r
         run_select(spark, sql.format(path=path))
 
 
+def test_views_of_other_case(spark, employees):
+    """Names count as the session compares them."""
+    sql = "SELECT * FROM (WITH Named AS (SELECT 1 AS a) SELECT * FROM named)"
+    assert run_select(spark, sql).count() == 1
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        with pytest.raises(NotReadOnlyError, match="TABLE_OR_VIEW_NOT_FOUND"):
+            run_select(spark, sql)
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
+
+
+def test_many_statements_and_one_that_never_ends(spark, employees):
+    """1,000 distinct statements; the endless one is cancelled, holds up nobody and says why."""
+    spark.range(10**7).createOrReplaceTempView("many")
+    endless = "SELECT count(*) AS n FROM many a, many b WHERE a.id + b.id > 3"
+    texts = [f"SELECT {i} AS n" for i in range(999)]
+    frame = spark.createDataFrame([(t,) for t in [*texts, endless]], "sql string")
+    got = {r.sql: r for r in execute_distinct(frame, replace(DEFAULTS, sql_seconds=20.0, sql_at_once=16)).collect()}
+    assert len(got) == 1000
+    assert got.pop(endless).error == "query failed to execute: it took too long"
+    assert all(got[t].rows_json == f'[{{"n":{i}}}]' and got[t].error is None for i, t in enumerate(texts))
+
+
+def test_own_risk_rules_and_answers(spark, employees):
+    log = spark.createDataFrame([
+        ("s1", "who?", "SELECT name FROM employees WHERE id = 1"),
+        ("s2", "and who?", "SELECT name FROM employees WHERE id = 1"),
+        ("f1", "salary?", "SELECT salary FROM employees WHERE id = 1"),
+        ("b1", "delete", "DROP TABLE employees"),
+    ], "request_id string, question string, raw_sql string")
+    asked = spark.sparkContext.accumulator(0)
+
+    @F.pandas_udf("array<string>")
+    def risky(sql: pd.Series) -> pd.Series:
+        asked.add(len(sql))
+        return sql.map(lambda x: ["names a person"] if "name" in x else [])
+
+    @F.pandas_udf("string")
+    def tell(question: pd.Series, sql: pd.Series, rows: pd.Series) -> pd.Series:
+        return question + " " + rows
+
+    got = {r.request_id: r for r in structured_branch(log, risk=Hook(risky), answer=Hook(tell)).collect()}
+    assert (got["s1"].status, got["s1"].risk_reason, got["s1"].text) == ("frozen", "names a person", "")
+    assert (got["f1"].status, got["f1"].text) == ("executed", 'salary? [{"salary":182000}]')
+    assert "only SELECT" in got["b1"].text
+    assert asked.value == 2
+    plain = {r.request_id: r.text for r in structured_branch(log, answer=Hook(tell)).collect()}
+    assert plain["s1"] == 'who? [{"name":"Ava"}]' and plain["s2"] == 'and who? [{"name":"Ava"}]' and plain["f1"] == ""
+
+
 def test_plain_selects_pass(spark, employees):
     for sql in (
         "SELECT department, count(*) FILTER (WHERE salary > 1) AS n FROM employees GROUP BY department HAVING count(*) > 0 ORDER BY n",
         "SELECT e.name FROM employees e JOIN (SELECT max(salary) AS m FROM employees) t ON e.salary = t.m",
         "SELECT name, rank() OVER (ORDER BY salary) AS r FROM employees WHERE id IN (SELECT id FROM employees)",
         "SELECT name FROM (WITH a AS (SELECT * FROM employees) SELECT * FROM a) UNION ALL SELECT 'x' LIMIT 3",
+        "SELECT name FROM (WITH a AS (SELECT * FROM employees), b AS (SELECT * FROM A) SELECT * FROM (WITH c AS (SELECT * FROM b) SELECT * FROM c))",
+        "SELECT (WITH m AS (SELECT max(id) AS x FROM employees) SELECT x FROM m) AS top, (SELECT count(*) FROM employees f WHERE f.id = e.id) AS n FROM employees e",
+        "SELECT CASE WHEN id BETWEEN 1 AND 5 THEN 'low' ELSE NULL END AS c, CAST(id AS DOUBLE) / 2 AS h, -id AS m, transform(array(id), x -> x + 1)[0] AS t FROM employees",
+        "SELECT e.* EXCEPT (salary), named_struct('a', 1).a AS a, name LIKE 'A%' AS l, id IS NOT NULL AS k, date_add(DATE '2024-01-01', 3) AS d FROM employees e",
+        "SELECT name, sum(salary) OVER w AS s FROM employees WINDOW w AS (PARTITION BY department ORDER BY id ROWS BETWEEN 1 PRECEDING AND CURRENT ROW)",
+        "SELECT department, name, sum(salary) AS s FROM employees GROUP BY ROLLUP (department, name) ORDER BY 1, s DESC NULLS LAST",
+        "SELECT extract(YEAR FROM current_date()) AS y, substring('abc' FROM 2 FOR 1) AS s, INTERVAL 2 DAYS AS i, trim(BOTH ' ' FROM ' x ') AS t",
     ):
         assert run_select(spark, sql).count() >= 1
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from docquery.functions.hits import HIT
 from docquery.hooks import Hook, offline
 from docquery.operators import evaluate, figures, ledger, telemetry
+from docquery.operators.statements import answer_decided
 from docquery.streaming import ledger as ledger_stream
 from docquery.streaming import rates
 
@@ -76,20 +77,104 @@ def test_ledger_listing_and_lookup(spark):
     assert {r.request_id: r.status for r in ledger.lookup(state, asked).collect()} == {2: "denied", 9: None}
 
 
+def full_events(spark, rows):
+    """Events with a payload: what a request asks."""
+    told = [(*r, f"question {r[2]}", f"select {r[2]}", f"reason {r[2]}") if r[3] == "request" else (*r, None, None, None) for r in rows]
+    frame = spark.createDataFrame(told, "request_id int, ts timestamp, seq int, kind string, question string, sql string, reasons string")
+    return frame.select("request_id", F.struct("ts", "seq").alias("at"), "kind", "question", "sql", "reasons")
+
+
+def test_latest_payload_wins(spark):
+    rows = approval_rows(3, 60)
+    last = {}
+    for r in sorted(rows, key=lambda r: (r[1], r[2])):
+        if r[3] == "request":
+            last[r[0]] = r
+    state = ledger.resolve(full_events(spark, rows))
+    assert state.columns == ["request_id", "question", "sql", "reasons", "status", "created_at"]
+    got = {r.request_id: (r.question, r.sql, r.reasons, r.created_at) for r in state.collect()}
+    assert got == {i: (f"question {n}", f"select {n}", f"reason {n}", ts) for i, (_, ts, n, _) in last.items()}
+    asked = spark.createDataFrame([(0,), (99,)], "request_id int")
+    assert {r.request_id: r.question for r in ledger.lookup(state, asked).collect()} == {0: got[0][0], 99: None}
+
+
+def carried_out(rows):
+    """Brute force over events in order: every request that a decision followed, and those that wait."""
+    waiting, done = {}, []
+    for rid, ts, seq, kind in rows:
+        if kind == "request":
+            waiting[rid] = (rid, ts, seq)
+        elif rid in waiting:
+            done.append((*waiting.pop(rid), "approved" if kind == "approve" else "denied"))
+    return sorted(done), sorted(waiting.values())
+
+
+def settled(decided, still):
+    done = sorted((r.request_id, r.requested_at.ts, r.requested_at.seq, r.status) for r in decided.collect())
+    assert all(r.question == f"question {r.requested_at.seq}" for r in decided.collect())
+    return done, sorted((r.request_id, r.at.ts, r.at.seq) for r in still.collect())
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_every_decided_request_is_settled(spark, seed):
+    rows = approval_rows(seed, 80)
+    in_order = sorted(rows, key=lambda r: (r[1], r[2]))
+    for span in ("hour", "minute", "second"):
+        assert settled(*ledger.settle(full_events(spark, rows), span=span)) == carried_out(in_order)
+
+
 def test_ledger_stream_over_several_batches(spark, tmp_path):
-    rows, source = approval_rows(9, 90), tmp_path / "in"
+    """Each request is carried out once, also when a batch is repeated after it was stored."""
+    rows, source = approval_rows(9, 120), tmp_path / "in"
     path, progress = str(tmp_path / "ledger"), str(tmp_path / "progress")
-    batches = [rows[i : i + 30] for i in (0, 30, 60)]
-    schema = None
-    for n, batch in enumerate(batches):
-        part = events(spark, batch)
-        schema = part.schema
-        part.coalesce(1).write.mode("append").parquet(str(source))
+    batches = [rows[i : i + 30] for i in (0, 30, 60, 90)]
+
+    def run(schema):
         stream = spark.readStream.schema(schema).parquet(str(source))
         ledger_stream.start_ledger(stream, path, progress).awaitTermination()
+
+    for n, batch in enumerate(batches):
+        part = full_events(spark, batch)
+        part.coalesce(1).write.mode("append").parquet(str(source))
+        run(part.schema)
         arrived = [r for b in batches[: n + 1] for r in sorted(b, key=lambda r: (r[1], r[2]))]
-        got = {r.request_id: (r.status, r.created_at) for r in ledger_stream.current_state(spark, path).collect()}
-        assert got == fold(arrived)
+        for _ in range(2):
+            got = {r.request_id: (r.status, r.created_at) for r in ledger_stream.current_state(spark, path).collect()}
+            assert got == fold(arrived)
+            stored = ledger_stream.decided_requests(spark, path), ledger_stream.open_requests(spark, path)
+            assert settled(*stored) == carried_out(arrived)
+            # As if the stream had stopped before it noted that the batch was done.
+            for name in (f"{n}", f".{n}.crc"):
+                (tmp_path / "progress" / "commits" / name).unlink(missing_ok=True)
+            run(part.schema)
+
+
+def test_stream_answers_decided_requests_once(spark, tmp_path):
+    spark.range(3).createOrReplaceTempView("three")
+    at = datetime(2024, 1, 1)
+    kinds = [
+        [(1, "request"), (2, "request"), (3, "request"), (4, "approve")],
+        [(1, "approve"), (2, "deny"), (1, "deny"), (1, "request")],
+        [(1, "approve"), (3, "deny"), (3, "approve"), (2, "approve")],
+    ]
+    path, progress, source = (str(tmp_path / x) for x in ("ledger", "progress", "in"))
+    seq = 0
+    for batch in kinds:
+        rows = []
+        for rid, kind in batch:
+            seq += 1
+            asked = (f"q{seq}", "SELECT count(*) AS n FROM three", "broad") if kind == "request" else (None, None, None)
+            rows.append((rid, at + timedelta(seconds=seq), seq, kind, *asked))
+        frame = spark.createDataFrame(rows, "request_id int, ts timestamp, seq int, kind string, question string, sql string, reasons string")
+        events_ = frame.select("request_id", F.struct("ts", "seq").alias("at"), "kind", "question", "sql", "reasons")
+        events_.coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(events_.schema).parquet(source)
+        ledger_stream.start_ledger(stream, path, progress, answer_decided).awaitTermination()
+    rows = ledger_stream.decided_requests(spark, path).collect()
+    done = sorted((r.request_id, r.question, r.status, r.row_count, r.text) for r in rows)
+    denied = "I couldn't answer that from the database (query was denied by an administrator)."
+    assert done == [(1, "q1", "executed", 1, '[{"n":3}]'), (1, "q8", "executed", 1, '[{"n":3}]'), (2, "q2", "denied", 0, denied), (3, "q3", "denied", 0, denied)]
+    assert ledger_stream.open_requests(spark, path).count() == 0
 
 
 def answers(spark, rows):
