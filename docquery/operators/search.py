@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docquery.settings import DEFAULTS, Settings
+from docquery.shared import fresh_path, materialize
 
 _MERGE_WAYS = 32
 
@@ -80,27 +81,43 @@ def vector_top_k(
     corpus: `(chunk_id, embedding)`; queries: `(question_id, embedding)`. Scores are
     cosine similarities rounded to six places; ties go to the smaller chunk id.
 
-    No pair table is built. Each task multiplies blocks of its own corpus rows with
-    the query matrix and keeps `k` rows per query, so what is shuffled grows with
-    the number of tasks, not with the corpus. The queries are sent to the executors
-    only when a bounded read shows that they fit; beyond that both sides are cut
-    into blocks of bounded size that meet on a grid.
+    No pair table is built and the corpus never moves. Each task multiplies blocks of its
+    own corpus rows with a query matrix and keeps `k` rows per query, so what is shuffled
+    grows with the number of tasks, not with the corpus. The queries are stored once, so that
+    each is embedded once, and sent to the executors in blocks of at most `broadcast_bytes`;
+    every block passes over the corpus where it lies. A block holds so many queries that
+    multiplying takes far longer than reading the corpus once more.
     """
     k = k or settings.top_k
     corpus = corpus.select("chunk_id", "embedding")
-    queries = queries.select("question_id", "embedding")
+    queries = materialize(queries.select("question_id", "embedding"), "queries")
     out = (
         f"question_id {queries.schema['question_id'].dataType.simpleString()}, "
         f"chunk_id {corpus.schema['chunk_id'].dataType.simpleString()}, score double"
     )
     dim = settings.embed_dim
     fitting = max(1, settings.broadcast_bytes // (8 * dim))
-    head = queries.limit(fitting + 1).toArrow().combine_chunks()
-    if head.num_rows <= fitting:
-        partial = _stream_past(corpus, head, k, dim, out)
-    else:
-        partial = _grid(corpus, queries, k, dim, settings.block_bytes, out)
-    return _merge(partial, k)
+    blocks = -(-queries.count() // fitting)
+    if blocks <= 1:
+        return _merge(_stream_past(corpus, queries.toArrow().combine_chunks(), k, dim, out), k)
+    return _merge(_in_blocks(corpus, queries, blocks, fitting, k, dim, out), k)
+
+
+def _in_blocks(
+    corpus: DataFrame, queries: DataFrame, blocks: int, fitting: int, k: int, dim: int, out: str
+) -> DataFrame:
+    """Candidates of all queries, block by block; one block at a time is on the driver."""
+    spark = corpus.sparkSession
+    dealt = fresh_path(spark, "query-blocks")
+    queries.withColumn("block", F.monotonically_increasing_id() % blocks).write.partitionBy("block").parquet(dealt)
+    found = fresh_path(spark, "candidates")
+    for block in range(blocks):
+        some = spark.read.schema(queries.schema).parquet(f"{dealt}/block={block}").toArrow().combine_chunks()
+        # Rows are dealt by partition, so a block may have a few more than fit.
+        for at in range(0, some.num_rows, fitting):
+            passed = _stream_past(corpus, some.slice(at, fitting), k, dim, out)
+            passed.write.parquet(f"{found}/{block}-{at}")
+    return spark.read.schema(out).parquet(f"{found}/*")
 
 
 def _stream_past(corpus: DataFrame, queries: pa.Table, k: int, dim: int, out: str) -> DataFrame:
@@ -127,41 +144,6 @@ def _stream_past(corpus: DataFrame, queries: pa.Table, k: int, dim: int, out: st
     return corpus.mapInArrow(scan, out)
 
 
-def _grid(
-    corpus: DataFrame, queries: DataFrame, k: int, dim: int, block_bytes: int, out: str
-) -> DataFrame:
-    """Both sides in bounded blocks; every corpus block meets every query block once."""
-    per_block = max(1, block_bytes // (8 * dim))
-    rows = -(-corpus.count() // per_block) or 1
-    cols = -(-queries.count() // per_block) or 1
-
-    def cell(name: str, key: str, n: int):
-        return F.pmod(F.xxhash64(key), F.lit(n)).cast("int").alias(name)
-
-    def every(name: str, n: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(name)
-
-    left = corpus.select("*", cell("row", "chunk_id", rows), every("col", cols))
-    right = queries.select("*", cell("col", "question_id", cols), every("row", rows))
-
-    def meet(c: pa.Table, q: pa.Table) -> pa.Table:
-        chunk_type = c.schema.field("chunk_id").type
-        c, q = c.combine_chunks(), q.combine_chunks()
-
-        def whole(table: pa.Table, name: str) -> pa.Array:
-            kind = table.schema.field(name).type
-            return pa.concat_arrays([*table.column(name).chunks, pa.array([], kind)])
-
-        best = _Best(whole(q, "question_id"), _matrix(whole(q, "embedding"), dim), k)
-        if c.num_rows and q.num_rows:
-            best.add(whole(c, "chunk_id"), _matrix(whole(c, "embedding"), dim))
-        return pa.Table.from_batches([best.rows(chunk_type)])
-
-    return (
-        left.groupBy("row", "col").cogroup(right.groupBy("row", "col")).applyInArrow(meet, out)
-    )
-
-
 def _merge(partial: DataFrame, k: int) -> DataFrame:
     """Two ranking steps, so that no task receives every task's candidates of a query."""
     order = [F.col("score").desc(), F.col("chunk_id")]

@@ -33,10 +33,8 @@ class Settings:
     sql_at_once: int = 8
     sql_seconds: float = 600.0
 
-    # Scale limits of this engine: what may be sent to every executor, and how
-    # many vector bytes one task may hold when that limit is passed.
+    # Scale limit of this engine: what may be sent to every executor.
     broadcast_bytes: int = 64 << 20
-    block_bytes: int = 64 << 20
 
     def fingerprint(self) -> dict:
         return {"provider": self.embed_provider, "model": self.embed_model, "dim": self.embed_dim}

@@ -8,11 +8,13 @@ from pyspark.sql import types as T
 
 from docquery.functions.hits import HIT, context, prompt, top_score
 from docquery.hooks import Hook, offline
+from docquery.operators import search
 from docquery.operators.correct import correction_loop, grade
 from docquery.operators.rerank import rerank_top_n, with_rerank_score
 from docquery.operators.retrieve import retrieve
 from docquery.operators.search import vector_top_k
 from docquery.settings import DEFAULTS
+from docquery.shared import materialize
 from docquery.sources import index
 
 DIM = 16
@@ -27,7 +29,7 @@ def vectors(spark, n, key, seed):
     return data, spark.createDataFrame(rows, f"{key} long, embedding array<float>")
 
 
-@pytest.mark.parametrize("settings", [SMALL, replace(SMALL, broadcast_bytes=8 * DIM * 3, block_bytes=8 * DIM * 50)])
+@pytest.mark.parametrize("settings", [SMALL, replace(SMALL, broadcast_bytes=8 * DIM * 3)])
 def test_top_k_equals_brute_force(spark, settings):
     corpus, c = vectors(spark, 300, "chunk_id", 1)
     asked, q = vectors(spark, 7, "question_id", 2)
@@ -58,6 +60,35 @@ def test_top_k_among_copies(spark):
     assert [r.chunk_id for r in got] == ["00000", "00003", "00006", "00009", "00012"]
 
 
+def test_many_blocks_leave_the_corpus_where_it_is(spark, monkeypatch):
+    """40 queries in 14 blocks: no pass shuffles the corpus, and each query is embedded once."""
+    corpus, c = vectors(spark, 500, "chunk_id", 3)
+    asked, q = vectors(spark, 40, "question_id", 4)
+    embedded = spark.sparkContext.accumulator(0)
+
+    @F.pandas_udf("array<float>")
+    def embed(v: pd.Series) -> pd.Series:
+        embedded.add(len(v))
+        return v
+
+    plans = []
+    real = search._stream_past
+
+    def watched(*args):
+        passed = real(*args)
+        plans.append(passed._jdf.queryExecution().executedPlan().toString())
+        return passed
+
+    monkeypatch.setattr(search, "_stream_past", watched)
+    stored = materialize(c.repartition(6), "corpus")
+    vectors_ = q.repartition(5).select("question_id", embed("embedding").alias("embedding"))
+    got = vector_top_k(stored, vectors_, 4, replace(SMALL, broadcast_bytes=8 * DIM * 3)).collect()
+    one = vector_top_k(stored, q, 4, SMALL).collect()
+    assert {tuple(r) for r in got} == {tuple(r) for r in one} and len(got) == 160
+    assert len(plans) >= 15 and not any("Exchange" in p for p in plans)
+    assert embedded.value == 40
+
+
 def test_top_k_edges(spark):
     _, c = vectors(spark, 3, "chunk_id", 1)
     _, q = vectors(spark, 2, "question_id", 2)
