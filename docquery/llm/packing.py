@@ -12,8 +12,6 @@ none; columns other than key and text are not carried.
 """
 from __future__ import annotations
 
-import re
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,106 +21,44 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from docquery.llm.memory import remembered
+from docquery.llm.wordids import word_ids
+from docquery.llm.words import slices
 from docquery.shared import materialize
 
 SEQUENCE = 2048
 CLOSING_ID = 0
-# Entries of a worker's memories of words as they stand and of their parts.
-MOST_WORDS, MOST_PARTS = 200_000, 500_000
-# Letters of one piece and symbols of the next, which the vocabulary's pattern surely cuts so.
-_SIMPLE = re.compile(r"([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,;:!?*$%&#|]*)")
 
 
-class WordEncoder:
-    """Ids of whole texts from a vocabulary whose tokens never cross white space.
-
-    Words between white space are encoded once and looked up afterwards, in lower case and
-    without the symbols behind them where they are that simple.
-    """
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {"": b""}
-        self.old_words, self.old_parts = self.words, self.parts
-
-    def _learn(self, words: set[str]) -> None:
-        """Bring the ids of all of `words` into `self.words`; what nobody asked for is forgotten in time."""
-        if len(self.words) > MOST_WORDS:
-            self.old_words, self.words = self.words, {}
-        if len(self.parts) > MOST_PARTS:
-            self.old_parts, self.parts = self.parts, {"": b""}
-        known, old = self.words, self.old_words
-        new = []
-        for word in words:
-            if word not in known:
-                ids = old.get(word)
-                if ids is None:
-                    new.append(word)
-                else:
-                    known[word] = ids
-        cut = [(m[1].lower(), m[2]) if (m := _SIMPLE.fullmatch(w)) else (w, "") for w in new]
-        parts, old = self.parts, self.old_parts
-        needed = []
-        for part in {p for pair in cut for p in pair}:
-            if part not in parts:
-                ids = old.get(part)
-                if ids is None:
-                    needed.append(part)
-                else:
-                    parts[part] = ids
-        parts.update(zip(needed, self._encoded(needed)))
-        known.update((w, parts[a] + parts[b]) for w, (a, b) in zip(new, cut))
-
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        # What Python splits at but the vocabulary's pattern does not, and what is matched before words.
-        whole = [any(c in t for c in "\x1c\x1d\x1e\x1f") or any(s in t for s in self.special) for t in texts]
-        split = [[] if w else t.split() for t, w in zip(texts, whole)]
-        self._learn(set().union(*split))
-        words = self.words
-        ids = [b"".join([words[w] for w in row]) for row in split]
-        odd = [i for i, w in enumerate(whole) if w]
-        for i, found in zip(odd, self._encoded([texts[i] for i in odd])):
-            ids[i] = found
-        return ids
+def _ranks(lengths: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """The rank of each piece among those of its length, after the `seen` ones, to which they are added."""
+    order = np.argsort(lengths, kind="stable")
+    counts = np.bincount(lengths, minlength=len(seen))
+    ranks = np.empty(len(lengths), np.int64)
+    ranks[order] = np.arange(len(lengths)) - np.repeat(np.cumsum(counts) - counts, counts)
+    ranks += seen[lengths]
+    seen += counts
+    return ranks
 
 
 def _cut(batches: Iterator[pa.RecordBatch], path: str, names: list[str]) -> Iterator[pa.RecordBatch]:
-    encoder = remembered(("words", path), lambda: WordEncoder(path))
+    encoder = word_ids(path)
     task = TaskContext.get().partitionId()
     seen = np.zeros(SEQUENCE + 1, np.int64)
-    closing = CLOSING_ID.to_bytes(4, "little")
     for batch in batches:
-        for at in range(0, batch.num_rows, 500):
-            part = batch.slice(at, 500)
-            rows, pieces, starts, ids = [], [], [], []
-            for row, found in enumerate(encoder.encode([t or "" for t in part.column(1).to_pylist()])):
-                found += closing
-                for piece, start in enumerate(range(0, len(found), 4 * SEQUENCE)):
-                    rows.append(row)
-                    pieces.append(piece)
-                    starts.append(start // 4)
-                    ids.append(found[start : start + 4 * SEQUENCE])
-            lengths = [len(i) // 4 for i in ids]
-            ranks = []
-            for length in lengths:
-                ranks.append(seen[length])
-                seen[length] += 1
+        for part in slices(batch, 1):
+            ids, bounds = encoder.encode(part.column(1), closing=CLOSING_ID)
+            sizes = np.diff(bounds)
+            pieces = -(-sizes // SEQUENCE)
+            rows = np.repeat(np.arange(len(sizes)), pieces)
+            piece = np.arange(len(rows)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            lengths = np.minimum(sizes[rows] - piece * SEQUENCE, SEQUENCE)
+            ends = np.append(0, 4 * np.cumsum(lengths)).astype(np.int32)
+            data = pa.py_buffer(ids.astype("<u4", copy=False))
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column(0).take(pa.array(rows, pa.int64())), pa.array(pieces, pa.int32()),
-                    pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()), pa.array(ids, pa.binary()),
-                    pa.array([task] * len(rows), pa.int64()), pa.array(ranks, pa.int64()),
+                    part.column(0).take(pa.array(rows)), pa.array(piece, pa.int32()), pa.array(piece * SEQUENCE),
+                    pa.array(lengths), pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), data]),
+                    pa.array(np.full(len(rows), task)), pa.array(_ranks(lengths, seen)),
                 ],
                 names=names,
             )

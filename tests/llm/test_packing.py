@@ -2,9 +2,10 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from docquery.llm import packing
+from docquery.llm import packing, wordids
 from docquery.llm.queries import vocabulary
 
 PATH = vocabulary("word_bpe_49k.json")
@@ -61,11 +62,32 @@ def test_ids_equal_library(spark, data):
     rng = random.Random(4)
     some = list(" \n\t\x1c\x85　'sÀßàİσΣ.,!1²é漢😀́_-") + ["<|endoftext|>", "<|startoftext|>", "The", "é"]
     texts += ["".join(rng.choice(some) for _ in range(rng.randint(0, 20))) for _ in range(1500)]
-    encoder, reference = packing.WordEncoder(PATH), Tokenizer.from_file(PATH)
+    encoder, reference = wordids.WordIds(PATH), Tokenizer.from_file(PATH)
     for at in range(0, len(texts), 100):
         part = texts[at : at + 100]
-        for text, got, want in zip(part, encoder.encode(part), reference.encode_batch(part, add_special_tokens=False)):
-            assert np.frombuffer(got, "<u4").tolist() == want.ids, text
+        ids, bounds = encoder.encode(pa.array(part))
+        for text, a, b, want in zip(part, bounds, bounds[1:], reference.encode_batch(part, add_special_tokens=False)):
+            assert ids[a:b].tolist() == want.ids, text
+
+
+def test_pieces_hold_the_ids_of_the_library(spark, data):
+    """Pieces put together again are the library's ids and the closing id, and ranks count each length."""
+    from tokenizers import Tokenizer
+
+    docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").repartition(3)
+    pieces = packing.token_pieces(docs, PATH).orderBy("doc_id", "piece").collect()
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    found, ranks = defaultdict(bytes), defaultdict(list)
+    for r in pieces:
+        assert r["start"] == len(found[r["doc_id"]]) // 4 == r["piece"] * packing.SEQUENCE
+        assert len(r["ids"]) == 4 * r["length"]
+        found[r["doc_id"]] += r["ids"]
+        ranks[r["task"], r["length"]].append(r["rank"])
+    reference = Tokenizer.from_file(PATH)
+    for key, text in texts.items():
+        want = reference.encode(text or "", add_special_tokens=False).ids + [0]
+        assert np.frombuffer(found[key], "<u4").tolist() == want
+    assert all(sorted(x) == list(range(len(x))) for x in ranks.values())
 
 
 def test_table(spark):
