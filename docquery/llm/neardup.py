@@ -3,18 +3,23 @@
 Equal sets are one class. Each class has minhash values in several orders (trees); in the sorted
 order of a tree, classes that share a prefix stand together, the longer the prefix the closer.
 A class is compared with its neighbours there as far as they share a prefix, so the depth adapts:
-sparse regions are compared at shallow depth, dense ones at greater depth. Neighbours whose
-sketches agree enough are candidates.
+sparse regions are compared at shallow depth, dense ones at greater depth.
 
-Links are confirmed twice. The first time confirms each class's best candidates and joins them to
+Classes are compared by the parity of their shingles in a table of bits. The bits in which two
+classes differ are never more than the shingles in which they do, so no link is lost by this test, and
+few pairs far below the limit pass it. Only sets too large for the table are compared by minhash values,
+with a margin of 4.5 standard deviations.
+
+Links are confirmed twice. The first time confirms each class's best neighbours and joins them to
 components. The second looks at all classes that share a prefix of the least depth in a tree, a
-region. Regions of up to `far` rows compare all their rows, and each pair of different components
-whose sketches agree enough is confirmed. The classes of larger regions meet on their rarest
-shingles, which leaves out no link. A link inside a component changes nothing and need not be confirmed.
+region: every pair of different components that passes the test is confirmed. A region of more than
+`block` rows is compared in pairs of blocks. A link inside a component changes nothing and need not
+be confirmed.
 
 Defined cases: null or empty texts have empty sets and are linked with nothing; a text of fewer
 words than a shingle is one shingle; repeated rows share a class; a null key counts as larger
-than any other; columns other than key and text are not used; a table without rows gives none.
+than any other; very long texts are worked on whole, one at a time; columns other than key and text
+are not used; a table without rows gives none.
 """
 from __future__ import annotations
 
@@ -47,18 +52,27 @@ class Forest:
     trees: int = 16
     depth: int = 8
     # Values that neighbours must share at least, near neighbours that are compared first, and the
-    # rows of a region of which all are compared by their sketches.
+    # rows of a region that are compared in one piece.
     least_depth: int = 2
     near: int = 16
-    far: int = 128
-    # Bytes of a sketch. At least as many must agree as a linked pair has, less 4.5 standard deviations.
-    sketch: int = 128
+    block: int = 4096
     best: int = 3
 
     @property
     def least_agreement(self) -> int:
+        """Equal bytes of the minhash values that a linked pair of large sets has but for 4.5 standard deviations."""
         s = self.percent / 100
-        return max(1, int(self.sketch * s - 4.5 * (self.sketch * s * (1 - s)) ** 0.5))
+        return max(1, int(MINHASHES * s - 4.5 * (MINHASHES * s * (1 - s)) ** 0.5))
+
+    @property
+    def least_large(self) -> int:
+        """The size from which a set may be linked with one too large for the table of bits."""
+        return PARITY_MOST * self.percent // 100
+
+
+# Bits of the table, the size of a set up to which it is used, and minhash values that are compared beyond.
+PARITY_BITS, PARITY_MOST, MINHASHES = 1024, 750, 128
+_SKETCH = PARITY_BITS // 8 + MINHASHES
 
 
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
@@ -92,6 +106,49 @@ def signature(shingles: np.ndarray, multipliers: np.ndarray) -> np.ndarray:
     return (least >> np.uint64(32)).astype(np.uint32)
 
 
+def sketch(shingles: np.ndarray, minhashes: np.ndarray, forest: Forest) -> bytes:
+    """What two sets are compared by: parities of a small set, minhash bytes of a large one, zeros for the rest."""
+    n = len(shingles)
+    parities, low = bytes(PARITY_BITS // 8), bytes(MINHASHES)
+    if n <= PARITY_MOST:
+        place = (shingles * _MIX[2]) >> np.uint64(64 - (PARITY_BITS - 1).bit_length())
+        parities = np.packbits(np.bincount(place.astype(np.int64), minlength=PARITY_BITS) & 1).tobytes()
+    if n >= forest.least_large:
+        low = minhashes[:MINHASHES].astype(np.uint8).tobytes()
+    return parities + low
+
+
+class _Compared:
+    """Rows with sketches and sizes, and the test of pairs of them."""
+
+    def __init__(self, sketches: np.ndarray, sizes: np.ndarray, forest: Forest):
+        self.parities = np.ascontiguousarray(sketches[:, : PARITY_BITS // 8]).view(np.uint64)
+        self.low, self.sizes, self.forest = sketches[:, PARITY_BITS // 8 :], sizes, forest
+
+    def test(self, a, b) -> tuple[np.ndarray, np.ndarray]:
+        """Whether rows `a` and `b` may be linked, and about how similar they are, in thousandths.
+
+        `a` and `b` are indexes of rows, pair by pair, or one of them a single row.
+        """
+        p = self.forest.percent
+        x, y = self.sizes[a], self.sizes[b]
+        both, larger = x + y, np.maximum(x, y)
+        differ = np.bitwise_count(self.parities[a] ^ self.parities[b]).sum(axis=-1, dtype=np.int64)
+        possible = (100 + p) * differ <= (100 - p) * both
+        score = 1000 * (both - differ) // (both + differ)
+        large = np.flatnonzero(larger > PARITY_MOST)
+        if len(large):
+            agree = (_picked(self.low, a, large) == _picked(self.low, b, large)).sum(axis=-1, dtype=np.int64)
+            possible[large] = agree >= self.forest.least_agreement
+            score[large] = 1000 * agree // MINHASHES
+        return possible & (100 * np.minimum(x, y) >= p * larger), score
+
+
+def _picked(values: np.ndarray, rows, some: np.ndarray) -> np.ndarray:
+    """The values of `some` of the `rows`, which may be a single one."""
+    return values[rows] if np.ndim(rows) == 0 and not isinstance(rows, slice) else values[rows][some]
+
+
 def _digest(data: bytes) -> bytes:
     return hashlib.md5(data, usedforsecurity=False).digest()
 
@@ -108,12 +165,14 @@ def _signed(batches: Iterator[pa.RecordBatch], forest: Forest, names: list[str])
             part = batch.slice(at, 500)
             texts = [t or "" for t in part.column(1).to_pylist()]
             sets = [shingle_set(t, forest.words) for t in texts]
+            signatures = [signature(s, multipliers) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(0), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                     pa.array([_digest(t.encode()) for t in texts], pa.binary()),
-                    pa.array([signature(s, multipliers).astype(">u4").tobytes() for s in sets], pa.binary()),
+                    pa.array([x.astype(">u4").tobytes() for x in signatures], pa.binary()),
+                    pa.array([sketch(s, x, forest) for s, x in zip(sets, signatures)], pa.binary()),
                 ],
                 names=names,
             )
@@ -135,47 +194,40 @@ def _fixed(column: pa.Array, width: int) -> np.ndarray:
     return data[column.offset * width : (column.offset + len(column)) * width].reshape(-1, width)
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch], forest: Forest, best_only: bool) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs among rows `(tree, path, sketch, node, component)` in sorted order.
+def _ends(nodes: np.ndarray, rows: np.ndarray) -> pa.Array:
+    return pa.array(list(map(bytes, nodes[rows])), pa.binary())
 
-    With `best_only`, each row gives the near predecessor that agrees most with it. Else rows come by
-    whole regions of at most `far` rows, and all pairs of different components that agree enough are given.
-    """
+
+def _neighbours(batches: Iterator[pa.RecordBatch], forest: Forest) -> Iterator[pa.RecordBatch]:
+    """Of rows `(tree, path, sketch, n, node)` in sorted order, each with its best near predecessor."""
     held: list[np.ndarray] | None = None
-    most = forest.near if best_only else forest.far - 1
     for batch in batches:
         if not batch.num_rows:
             continue
         tree = batch.column(0).to_numpy(zero_copy_only=False)[:, None].astype(">u4").view(np.uint8)
         rows = [
             np.concatenate([tree, _fixed(batch.column(1), 4 * forest.depth)[:, : 4 * forest.least_depth]], axis=1),
-            _fixed(batch.column(2), forest.sketch), _fixed(batch.column(3), 16), _fixed(batch.column(4), 16),
+            _fixed(batch.column(2), _SKETCH), batch.column(3).to_numpy(zero_copy_only=False), _fixed(batch.column(4), 16),
         ]
         seen = 0 if held is None else len(held[0])
         if held is not None:
             rows = [np.concatenate(pair) for pair in zip(held, rows)]
-        prefix, sketch, node, component = rows
-        n = len(prefix)
+        prefix, sketches, sizes, node = rows
+        compared, n = _Compared(sketches, sizes, forest), len(prefix)
         found = [(np.zeros(0, np.int64),) * 3]
-        for back in range(1, min(most, n - 1) + 1):
+        for back in range(1, min(forest.near, n - 1) + 1):
             later = np.arange(max(back, seen), n)
             later = later[(prefix[later] == prefix[later - back]).all(axis=1)]
-            if not best_only:
-                later = later[(component[later] != component[later - back]).any(axis=1)]
-            agree = (sketch[later] == sketch[later - back]).sum(axis=1)
-            enough = agree >= forest.least_agreement
-            later, agree = later[enough], agree[enough]
-            found.append((later, later - back, agree))
-        held = [r[-most:] for r in rows]
-        row, other, agree = map(np.concatenate, zip(*found))
-        if best_only:
-            order = np.lexsort((-agree, row))
-            row, other, agree = row[order], other[order], agree[order]
-            best = np.arange(len(row)) == np.searchsorted(row, row)
-            row, other, agree = row[best], other[best], agree[best]
+            possible, score = compared.test(later, later - back)
+            found.append((later[possible], later[possible] - back, score[possible]))
+        held = [r[-forest.near :] for r in rows]
+        row, other, score = map(np.concatenate, zip(*found))
+        order = np.lexsort((-score, row))
+        row, other, score = row[order], other[order], score[order]
+        best = np.arange(len(row)) == np.searchsorted(row, row)
+        row, other, score = row[best], other[best], score[best]
         if len(row):
-            ends = [pa.array(list(map(bytes, node[i])), pa.binary()) for i in (row, other)]
-            yield pa.RecordBatch.from_arrays([*ends, pa.array(agree, pa.int64())], names=["a", "b", "agree"])
+            yield pa.RecordBatch.from_arrays([_ends(node, row), _ends(node, other), pa.array(score)], names=["a", "b", "score"])
 
 
 def _paths(classes: DataFrame, forest: Forest, *columns: str) -> DataFrame:
@@ -187,27 +239,94 @@ def _paths(classes: DataFrame, forest: Forest, *columns: str) -> DataFrame:
     )
 
 
-def _pairs(ordered: DataFrame, forest: Forest, best_only: bool) -> DataFrame:
-    """Distinct candidate pairs `(u, v, agree)` of rows in order."""
-    columns = ordered.select("tree", "path", "sketch", "node", "component")
-    pairs = columns.mapInArrow(lambda b: _neighbours(b, forest, best_only), "a binary, b binary, agree long")
-    return pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"), "agree").groupBy("u", "v").agg(
-        F.max("agree").alias("agree")
+def _near_pairs(classes: DataFrame, forest: Forest) -> DataFrame:
+    """Distinct candidate pairs `(u, v, score)` of near rows in each sorted order."""
+    rows = _paths(classes, forest, "sketch", "n", "node")
+    ordered = rows.repartitionByRange("tree", "path", "node").sortWithinPartitions("tree", "path", "node")
+    pairs = ordered.mapInArrow(lambda b: _neighbours(b, forest), "a binary, b binary, score long")
+    return pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"), "score").groupBy("u", "v").agg(
+        F.max("score").alias("score")
     )
 
 
-def _near_pairs(classes: DataFrame, forest: Forest) -> DataFrame:
-    rows = _paths(classes, forest, "sketch", "node", "component")
-    ordered = rows.repartitionByRange("tree", "path", "node").sortWithinPartitions("tree", "path", "node")
-    return _pairs(ordered, forest, best_only=True)
+def _group_pairs(
+    sketches: np.ndarray, sizes: np.ndarray, node: np.ndarray, component: np.ndarray, side: np.ndarray, forest: Forest
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of different components that may be linked; `side` 0 and 1 meet each other only, 2 meet all.
 
+    Nothing is compared within the largest component.
+    """
+    order = np.argsort(sizes, kind="stable")
+    sizes, side = sizes[order], side[order]
+    _, of, counts = np.unique(component[order], axis=0, return_inverse=True, return_counts=True)
+    of = of.ravel()
+    probing = of != counts.argmax()
+    compared = _Compared(sketches[order], sizes, forest)
+    p, found = forest.percent, [(np.zeros(0, np.int64),) * 2]
+    for i in np.flatnonzero(probing).tolist():
+        # Smaller probes have met this one already.
+        first = int(np.searchsorted(sizes, -(-p * sizes[i] // 100)))
+        last = int(np.searchsorted(sizes, 100 * sizes[i] // p, "right"))
+        others = np.arange(first, last)
+        others = others[(of[others] != of[i]) & ((others > i) | ~probing[others]) & ((side[others] != side[i]) | (side[i] == 2))]
+        if len(others):
+            possible, _ = compared.test(i, others)
+            others = others[possible]
+            found.append((np.full(len(others), i), others))
+    a, b = map(np.concatenate, zip(*found))
+    return order[a], order[b]
+
+
+def _regional(batches: Iterator[pa.RecordBatch], forest: Forest) -> Iterator[pa.RecordBatch]:
+    """Candidate pairs of the groups of `(at, sketch, n, node, component, side)`, whose rows come together."""
+    held: pa.Table | None = None
+
+    def pairs(group: pa.Table) -> pa.RecordBatch:
+        columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in group.columns]
+        node = _fixed(columns[3], 16)
+        a, b = _group_pairs(
+            _fixed(columns[1], _SKETCH), columns[2].to_numpy(zero_copy_only=False), node, _fixed(columns[4], 16),
+            columns[5].to_numpy(zero_copy_only=False), forest,
+        )
+        return pa.RecordBatch.from_arrays([_ends(node, a), _ends(node, b)], names=["a", "b"])
 
-def _region_pairs(rows: DataFrame, regions: DataFrame, classes: DataFrame, forest: Forest) -> DataFrame:
-    """Distinct candidate pairs `(u, v)` of the regions that are not crowded; a region is in one partition."""
-    few = rows.join(regions.filter(F.col("rows") <= forest.far), ["tree", "region"]).drop("rows")
-    whole = few.join(classes.select("node", "sketch"), "node")
-    ordered = whole.repartition("tree", "region").sortWithinPartitions("tree", "region")
-    return _pairs(ordered, forest, best_only=False).select("u", "v")
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = pa.concat_tables([held, table]).combine_chunks() if held is not None else table
+        at = table.column(0).to_numpy()
+        cuts = [0, *(np.flatnonzero(at[1:] != at[:-1]) + 1).tolist()]
+        for start, end in zip(cuts, cuts[1:]):
+            yield pairs(table.slice(start, end - start).combine_chunks())
+        held = table.slice(cuts[-1])
+    if held is not None and held.num_rows:
+        yield pairs(held.combine_chunks())
+
+
+def _region_pairs(classes: DataFrame, forest: Forest) -> DataFrame:
+    """Distinct candidate pairs `(u, v)` of different components that share a region.
+
+    A region is all rows of a tree that share its `least_depth` first values. Its rows are divided into
+    blocks by their node, and every two blocks meet in a group of their own.
+    """
+    prefix = F.substring("path", 1, 4 * forest.least_depth)
+    rows = _paths(classes, forest, "node", "component").select(F.xxhash64("tree", prefix).alias("region"), "node", "component")
+    found = rows.groupBy("region").agg(
+        F.count("*").alias("rows"), F.min("component").alias("a"), F.max("component").alias("b")
+    )
+    blocks = F.ceil(F.col("rows") / forest.block).cast("int").alias("blocks")
+    several = materialize(found.filter("a <> b").select("region", blocks), "regions")
+    own = F.pmod(F.xxhash64("node"), "blocks").cast("int")
+    placed = rows.join(several, "region").withColumn("own", own).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    )
+    side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
+    grouped = placed.select(
+        F.xxhash64("region", F.least("own", "other"), F.greatest("own", "other")).alias("at"), "node", "component", side.alias("side")
+    )
+    whole = grouped.join(classes.select("node", "sketch", "n"), "node").select("at", "sketch", "n", "node", "component", "side")
+    ordered = whole.repartition("at").sortWithinPartitions("at")
+    pairs = ordered.mapInArrow(lambda b: _regional(b, forest), "a binary, b binary")
+    return pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
 
 
 def _linked(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -235,119 +354,24 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, forest: Forest) -> DataFrame:
 
 def _best(pairs: DataFrame, n: int) -> DataFrame:
     """Pairs that are among the `n` best of either end."""
-    ends = pairs.select("u", "v", "agree", F.explode(F.array("u", "v")).alias("end"))
-    rank = F.row_number().over(Window.partitionBy("end").orderBy(F.desc("agree"), "u", "v"))
+    ends = pairs.select("u", "v", "score", F.explode(F.array("u", "v")).alias("end"))
+    rank = F.row_number().over(Window.partitionBy("end").orderBy(F.desc("score"), "u", "v"))
     return ends.withColumn("rank", rank).filter(F.col("rank") <= n).select("u", "v").distinct()
 
 
-def _regions(classes: DataFrame, forest: Forest) -> tuple[DataFrame, DataFrame]:
-    """The rows `(tree, path, region, node, component)` and the stored regions `(tree, region, rows)` of several components.
-
-    A region is all rows of a tree that share its `least_depth` first values.
-    """
-    prefix = F.substring("path", 1, 4 * forest.least_depth).alias("region")
-    rows = _paths(classes, forest, "node", "component").select("tree", "path", prefix, "node", "component")
-    found = rows.groupBy("tree", "region").agg(
-        F.count("*").alias("rows"), F.min("component").alias("a"), F.max("component").alias("b")
-    )
-    return rows, materialize(found.filter("a <> b").select("tree", "region", "rows"), "regions")
-
-
-# Frequencies are counted for so many leading bits of a shingle. They only order the shingles: any
-# order finds the same links, and one that has the rare ones first compares fewer pairs.
-_BUCKET_BITS = 20
-
-
-def _buckets(shingles: np.ndarray) -> np.ndarray:
-    return (shingles >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64)
-
-
-def _bucket_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(1 << _BUCKET_BITS, np.int64)
-    for batch in batches:
-        for data in batch.column(0).to_pylist():
-            np.add.at(counts, _buckets(np.frombuffer(data, np.uint64)), 1)
-    used = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["bucket", "n"])
-
-
-def _prefixes(batches: Iterator[pa.RecordBatch], percent: int, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """`(node, component, shingles)` to the rows `(token, node, component, n, at, short)` of its rarest shingles.
-
-    A linked pair shares at least p/100 of the larger set and 2p/(100+p) of the smaller. So its rarest
-    common shingle is among those of the larger set that leave fewer behind them than that, and among
-    the still rarer ones of the smaller set, which are marked as `short`.
-    """
-    for batch in batches:
-        for at in range(0, batch.num_rows, 500):
-            part = batch.slice(at, 500)
-            tokens, sizes, lengths, shorts = [], [], [], []
-            for data in part.column(2).to_pylist():
-                own = np.frombuffer(data, np.uint64)
-                n = len(own)
-                own = own[np.lexsort((own, counts[_buckets(own)]))]
-                length = n - -(-percent * n // 100) + 1
-                tokens.append(own[:length].view(np.int64))
-                sizes.append(n)
-                lengths.append(length)
-                shorts.append(n - -(-2 * percent * n // (100 + percent)) + 1)
-            of = np.repeat(np.arange(len(sizes)), lengths)
-            places = np.concatenate([np.arange(x) for x in lengths])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate(tokens)), part.column(0).take(pa.array(of)), part.column(1).take(pa.array(of)),
-                    pa.array(np.array(sizes)[of]), pa.array(places), pa.array(places < np.array(shorts)[of]),
-                ],
-                names=["token", "node", "component", "n", "at", "short"],
-            )
-
-
-def _prefix_pairs(crowded: DataFrame, forest: Forest) -> DataFrame:
-    """Distinct pairs `(u, v)` of the `(node, component, shingles)`, with every link between components among them."""
-    spark = crowded.sparkSession
-    counted = crowded.select("shingles").mapInArrow(_bucket_counts, "bucket long, n long").groupBy("bucket").agg(
-        F.sum("n").alias("n")
-    ).toArrow()
-    counts = np.zeros(1 << _BUCKET_BITS, np.int32)
-    counts[counted["bucket"].to_numpy()] = np.minimum(counted["n"].to_numpy(), (1 << 31) - 1)
-    shared = spark.sparkContext.broadcast(counts)
-    percent = forest.percent
-    tokens = materialize(
-        crowded.select("node", "component", "shingles").mapInArrow(
-            lambda b: _prefixes(b, percent, shared.value),
-            "token long, node binary, component binary, n long, at long, short boolean",
-        ),
-        "prefixes",
-    )
-    several = tokens.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b")
-    # Stored, so that the join has a plain shuffle on both sides and can split the rows of a common shingle.
-    tokens = materialize(tokens.join(several.select("token"), "token", "left_semi"), "shared-prefixes")
-    large = tokens.drop("short").alias("l")
-    small = tokens.filter("short").drop("short").alias("s")
-    joined = large.join(small, F.expr(f"""
-        l.token = s.token and l.component <> s.component and (l.n > s.n or l.n = s.n and l.node > s.node)
-        and 100 * s.n >= {percent} * l.n
-        and (least(l.at, s.at) + 1 + least(l.n - l.at, s.n - s.at) - 1) * {100 + percent} >= {percent} * (l.n + s.n)
-    """))
-    ends = F.greatest("l.node", "s.node").alias("u"), F.least("l.node", "s.node").alias("v")
-    return joined.select(*ends).distinct()
-
-
 def duplicate_classes(docs: DataFrame, forest: Forest, key: str = "doc_id", text: str = "text") -> DataFrame:
     """`(key, n_shingles, component_id, kept, text_id)` of each row; the component's smallest key names it."""
     columns = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     kind = columns.schema["key"].dataType.simpleString()
-    ddl = f"key {kind}, n_shingles long, node binary, text_id binary, signature binary"
+    ddl = f"key {kind}, n_shingles long, node binary, text_id binary, signature binary, sketch binary"
     names = [part.split()[0] for part in ddl.split(", ")]
     signed = materialize(columns.mapInArrow(lambda b: _signed(b, forest, names), ddl), "signed")
 
     first: Column = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "text_id"))
-    sketch = F.concat(*[F.substring("signature", 4 * i + 4, 1) for i in range(forest.sketch)])
     classes = materialize(
         signed.filter(F.col("node").isNotNull()).groupBy("node").agg(
-            first.alias("first"), F.first("signature").alias("signature")
-        ).select("node", "first.key", "first.text_id", "signature", sketch.alias("sketch"),
-                 F.col("node").alias("component")),
+            first.alias("first"), *[F.first(c).alias(c) for c in ("signature", "sketch", "n_shingles")]
+        ).select("node", "first.key", "first.text_id", "signature", "sketch", F.col("n_shingles").alias("n")),
         "classes",
     )
     pairs = materialize(_near_pairs(classes, forest), "pairs")
@@ -367,29 +391,16 @@ def duplicate_classes(docs: DataFrame, forest: Forest, key: str = "doc_id", text
             "sets",
         )
 
-    # Only the texts of classes that have a candidate or stand in a crowded region are read for their full sets.
+    # Only the texts of classes that have a candidate are read for their full sets.
     sets = full_sets(near)
     tested = materialize(_best(pairs, forest.best), "tested")
     links = materialize(_confirmed(tested, sets, forest), "confirmed")
     found = materialize(components(links), "components")
 
-    def placed(rows: DataFrame) -> DataFrame:
-        return rows.drop("component").join(found, "node", "left").withColumn(
-            "component", F.coalesce("root", "node")
-        ).drop("root")
-
-    rows, regions = _regions(placed(classes), forest)
-    crowded = materialize(
-        rows.join(regions.filter(F.col("rows") > forest.far), ["tree", "region"], "left_semi")
-        .select("node", "component").distinct(),
-        "crowded",
-    )
-    few = materialize(_region_pairs(rows, regions, classes, forest).join(tested, ["u", "v"], "left_anti"), "few")
-    more_nodes = few.select(F.explode(F.array("u", "v")).alias("node")).unionByName(crowded.select("node"))
-    more_classes = classes.join(more_nodes.distinct().join(near, "node", "left_anti"), "node", "left_semi")
-    sets = sets.unionByName(full_sets(more_classes))
-    exact = _prefix_pairs(crowded.join(sets, "node"), forest).join(tested, ["u", "v"], "left_anti")
-    rest = materialize(exact.unionByName(few).distinct(), "rest")
+    placed = classes.join(found, "node", "left").withColumn("component", F.coalesce("root", "node")).drop("root")
+    rest = materialize(_region_pairs(placed, forest).join(tested, ["u", "v"], "left_anti"), "rest")
+    more_nodes = rest.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(near, "node", "left_anti")
+    sets = sets.unionByName(full_sets(classes.join(more_nodes, "node", "left_semi")))
     more = _confirmed(rest, sets, forest)
     stars = found.select(F.col("node").alias("u"), F.col("root").alias("v"))
     found = materialize(components(stars.unionByName(more)), "components")

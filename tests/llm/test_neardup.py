@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from docquery.llm import neardup
@@ -106,7 +107,7 @@ def test_links_beyond_the_window_of_a_dense_region(spark):
     # Mutual similarity 170/230, in pairs 178/222, and more rows in a region than a window has.
     rows = template_pages(240, 170, 30, 40, 8)
     table = spark.createDataFrame([(*r, "clash", "clash") for r in rows], SCHEMA)
-    got = neardup.duplicate_classes(table, neardup.Forest(words=1, near=1, far=4)).collect()
+    got = neardup.duplicate_classes(table, neardup.Forest(words=1, near=1, block=64)).collect()
     assert {r["doc_id"]: r["component_id"] for r in got} == {i: i - i % 2 if i < 80 else i for i in range(240)}
 
 
@@ -116,3 +117,40 @@ def test_every_candidate_of_a_region_is_tested(spark):
     table = spark.createDataFrame([(*r, "clash", "clash") for r in rows], SCHEMA)
     got = neardup.duplicate_classes(table, neardup.Forest(words=1)).collect()
     assert {r["doc_id"]: r["component_id"] for r in got} == {i: i - i % 2 if i < 80 else i for i in range(120)}
+
+
+def test_parities_lose_no_link():
+    """Sets that are linked always pass the test, whatever their size; most that are far from it do not."""
+    rng = np.random.default_rng(3)
+    forest = neardup.Forest()
+    multipliers = neardup._multipliers(forest.trees * forest.depth)
+    passed = {True: 0, False: 0}
+    seen = {True: 0, False: 0}
+    for _ in range(1500):
+        n = int(rng.choice([1, 5, 30, 150, 500, 590, 700, 760, 900, 3000]))
+        common, most = rng.integers(0, 1 << 63, n, dtype=np.uint64), int(rng.choice([1, 5]))
+        own = [rng.integers(0, 1 << 63, int(rng.integers(0, max(2, n // most))), dtype=np.uint64) for _ in range(2)]
+        sets = [np.unique(np.concatenate([common, x])) for x in own]
+        shared = len(np.intersect1d(*sets))
+        similarity = shared / (len(sets[0]) + len(sets[1]) - shared)
+        sketches = np.stack([
+            np.frombuffer(neardup.sketch(x, neardup.signature(x, multipliers), forest), np.uint8) for x in sets
+        ])
+        compared = neardup._Compared(sketches, np.array([len(x) for x in sets]), forest)
+        possible, _ = compared.test(np.array([0]), np.array([1]))
+        linked = 100 * shared >= 80 * (len(sets[0]) + len(sets[1]) - shared)
+        if linked or similarity < 0.55:
+            seen[linked] += 1
+            passed[linked] += bool(possible[0])
+    assert seen[True] > 300 and passed[True] == seen[True]
+    assert seen[False] > 100 and passed[False] < 0.1 * seen[False]
+
+
+def test_crowded_region_of_thousands(spark):
+    """Template pages, most of them linked with nothing: every planted link is found, in one block and in many."""
+    rows = template_pages(2400, 150, 27, 500, 9)
+    table = spark.createDataFrame([(*r, "clash", "clash") for r in rows], SCHEMA)
+    for block in (4096, 700):
+        got = neardup.duplicate_classes(table, neardup.Forest(words=1, block=block)).collect()
+        wrong = {r["doc_id"]: r["component_id"] for r in got if r["component_id"] != (r["doc_id"] - r["doc_id"] % 2 if r["doc_id"] < 1000 else r["doc_id"])}
+        assert wrong == {}
