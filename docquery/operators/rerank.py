@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from docquery.functions.hits import squash
 from docquery.functions.text import let, words
 from docquery.hooks import Hook
+from docquery.shared import materialize
 
 # Saturation and length weight of the word-statistics scorer (the usual BM25
 # constants), and the spread of its logit around half coverage.
@@ -23,13 +24,18 @@ def word_statistics(chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
     of separate ingest runs may simply be stacked.
     """
     tokens = chunks.select(words(F.col("child")).alias("w"))
-    terms = (
-        tokens.select(F.explode(F.array_distinct("w")).alias("term"))
-        .groupBy("term")
-        .agg(F.count("*").alias("df"))
+    # The size of a chunk travels as the term null, so that each text is cut into words once.
+    counted = F.transform(F.array_distinct("w"), lambda t: F.struct(t.alias("term"), F.lit(0).cast("long").alias("len")))
+    whole = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.size("w").cast("long").alias("len")))
+    sums = materialize(
+        tokens.select(F.explode(F.concat(counted, whole)).alias("t"))
+        .groupBy("t.term")
+        .agg(F.count("*").alias("df"), F.sum("t.len").alias("len")),
+        "word-sums",
     )
-    size = tokens.agg(
-        F.count("*").alias("n"), F.coalesce(F.sum(F.size("w")), F.lit(0)).alias("total_len")
+    terms = sums.filter("term is not null").select("term", "df")
+    size = sums.filter("term is null").agg(
+        F.coalesce(F.sum("df"), F.lit(0)).alias("n"), F.coalesce(F.sum("len"), F.lit(0)).alias("total_len")
     )
     return terms, size
 

@@ -12,8 +12,6 @@ from docquery.settings import DEFAULTS, Settings
 from docquery.shared import spread
 from docquery.sources.tables import table
 
-TURNS_PER_PART = 20
-
 # What the statement log cycles through.
 STATEMENTS = [
     "SELECT count(*) AS n FROM orders",
@@ -52,21 +50,14 @@ def _cycle(number: Column, texts: list[str]) -> Column:
 
 
 def transcripts(spark: SparkSession, folder: str) -> DataFrame:
-    """`(source, text)`: conversations as markdown, in parts of a bounded number of turns."""
-    turns = table(spark, folder, "conversations")
-    part = F.floor(F.col("turn") / TURNS_PER_PART)
+    """`(source, text)`: each conversation as a markdown document."""
     heading = F.concat(F.lit("## "), "role", F.lit(" "), F.col("turn").cast("string"))
     line = F.struct("turn", F.concat(heading, F.lit("\n"), "text").alias("body"))
-    return (
-        turns.groupBy("conv_id", part.alias("part"))
-        .agg(F.array_sort(F.collect_list(line)).alias("lines"))
-        .select(
-            F.concat_ws("-", F.lit("conv"), "conv_id", "part").alias("source"),
-            F.concat(
-                F.lit("# Conversation "), F.col("conv_id").cast("string"), F.lit("\n\n"),
-                F.array_join("lines.body", "\n\n"),
-            ).alias("text"),
-        )
+    lines = table(spark, folder, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(line)).alias("lines"))
+    title = F.concat(F.lit("# Conversation "), F.col("conv_id").cast("string"), F.lit("\n\n"))
+    return lines.select(
+        F.concat(F.lit("conv-"), F.col("conv_id").cast("string")).alias("source"),
+        F.concat(title, F.array_join("lines.body", "\n\n")).alias("text"),
     )
 
 

@@ -12,7 +12,7 @@ from docquery.functions.sqlscreen import (
 from docquery.functions.text import WHITESPACE
 from docquery.operators.rerank import B, K1, SPREAD
 from docquery.operators.telemetry import LATENCY_BOUNDS, SCORE_BOUNDS
-from docquery.plans.inputs import QUESTIONS, STATEMENTS, TURNS_PER_PART
+from docquery.plans.inputs import QUESTIONS, STATEMENTS
 from docquery.settings import DEFAULTS
 
 SQL: dict[str, str] = {}
@@ -64,11 +64,11 @@ resolved as (select l.request_id, l.question, l.sql, l.reasons,
     from appr_n a where a.request_id = l.request_id and a.n > l.lr), 'pending') as status,
   l.created_at from appr_l l)"""
 
-TRANSCRIPTS = f"""
-md as (select 'conv-' || conv_id || '-' || part as source,
+TRANSCRIPTS = """
+md as (select 'conv-' || conv_id as source,
   '# Conversation ' || conv_id || chr(10) || chr(10) || string_agg(
     '## ' || role || ' ' || turn || chr(10) || text, chr(10) || chr(10) order by turn) as text
-  from (select *, turn // {TURNS_PER_PART} as part from conversations) group by conv_id, part)"""
+  from conversations group by conv_id)"""
 
 DOCUMENTS = "docs as (select doc_id::varchar as source, text from documents)"
 CORPUS = f"{DOCUMENTS},{TRANSCRIPTS},\ncorpus as (select * from docs union all select * from md)"
@@ -159,7 +159,9 @@ SQL["index_fingerprint_check"] = (
 # ---- sources -----------------------------------------------------------------
 
 SQL["read_text_documents"] = with_(TRANSCRIPTS) + "\nselect text || chr(10) as text from md"
-SQL["rejected_files"] = "select c_mktsegment as segment, 'Unsupported file type: .json' as reason, 1 as n_files from customer group by 1"
+SQL["rejected_files"] = "select distinct c_mktsegment as segment, 'Unsupported file type: .json' as reason from customer"
+SQL["skipped_files"] = """select distinct c_mktsegment as segment, part, reason from customer,
+  (values ('json', 'Unsupported file type: .json'), ('scans', 'No parser for file type: .pdf'), ('blank', 'No text in file')) t(part, reason)"""
 SQL["rows_to_text"] = """select n_nationkey,
   'Nation | n_nationkey=' || n_nationkey || ' | n_name=' || n_name || ' | n_regionkey=' || n_regionkey as line from nation"""
 SQL["rows_to_text_part"] = """select p_partkey, concat_ws(' | ', 'Part', 'p_partkey=' || p_partkey, 'p_name=' || p_name,

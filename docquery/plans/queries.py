@@ -89,14 +89,41 @@ def read_text_documents(spark: SparkSession, folder: str) -> DataFrame:
     return files.read_text_documents(spark, root).select("text")
 
 
+def _segment() -> Column:
+    return F.regexp_extract("path", "c_mktsegment=([^/]*)/", 1).alias("segment")
+
+
 @query
 def rejected_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Folders of a file type that is not supported; how many files each has is left to the writer."""
+    root = fresh_path(spark, "folder")
+    table(spark, folder, "customer").select("c_mktsegment", "c_name").write.partitionBy("c_mktsegment").json(root)
+    return files.rejected_files(spark, root).select(_segment(), "reason").distinct()
+
+
+@query
+def skipped_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Folders with files of an unsupported type, of a type without a parser, without text, and with text."""
     root = fresh_path(spark, "folder")
     customers = table(spark, folder, "customer").select("c_mktsegment", "c_name")
-    customers.coalesce(1).write.partitionBy("c_mktsegment").json(root)
-    found = files.rejected_files(spark, root)
-    segment = F.regexp_extract("path", "c_mktsegment=([^/]*)/", 1)
-    return found.groupBy(segment.alias("segment"), "reason").agg(F.count("*").alias("n_files"))
+    by_segment = customers.write.partitionBy("c_mktsegment")
+    by_segment.json(f"{root}/json")
+    by_segment.text(f"{root}/full")
+    # A file of separators that stand for bytes that are no text.
+    blank = customers.select("c_mktsegment", F.lit("").alias("value"))
+    blank.write.partitionBy("c_mktsegment").option("lineSep", "\ufffd").text(f"{root}/blank")
+    _renamed(spark, f"{root}/scans", customers.select("c_mktsegment").distinct(), ".pdf")
+    found = files.skipped_files(spark, root)
+    return found.select(_segment(), F.regexp_extract("path", "/(json|full|blank|scans)/", 1).alias("part"), "reason").distinct()
+
+
+def _renamed(spark: SparkSession, root: str, segments: DataFrame, suffix: str) -> None:
+    """One text file per segment, with another suffix; Spark's writers do not let their files be named."""
+    segments.withColumn("value", F.col("c_mktsegment")).write.partitionBy("c_mktsegment").text(root)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    for row in spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path").collect():
+        system.rename(path(row["path"]), path(row["path"].removesuffix(".txt") + suffix))
 
 
 @query

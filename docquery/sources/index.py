@@ -94,6 +94,7 @@ CHUNKS = (
     "chunk_id string, source string, chunk_no int, parent_id string, child string, "
     "title string, embedding array<float>"
 )
+SECTIONS = "parent_id string, parent string"
 FINGERPRINT = "provider string, model string, dim int"
 
 
@@ -135,6 +136,19 @@ def _delete(spark: SparkSession, path: str) -> None:
     jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
 
 
+def _parts(spark: SparkSession, path: str) -> list[str]:
+    """The folders `run=…` of a stored table: at most one per ingest run."""
+    if not _exists(spark, path):
+        return []
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(jvm_path)
+    names = [f.getPath().getName() for f in found]
+    return [n.removeprefix("run=") for n in names if n.startswith("run=")]
+
+
+_RUN_TABLES = ("chunks", "terms", "size")
+
+
 def write_index(
     documents: DataFrame,
     path: str,
@@ -147,29 +161,47 @@ def write_index(
 
     `recreate` replaces everything stored; otherwise the run is added beside the
     others, after the stored fingerprint has been checked, so documents ingested
-    in two runs appear twice. Repeating a run of the same name replaces it.
+    in two runs appear twice. Repeating a run of the same name replaces it. What is
+    replaced goes after the new run is stored: a run that fails leaves the index as it was.
+
+    Sections are kept by their hash and belong to no run, so a section that several runs
+    have is stored once. Only `recreate` removes sections.
     """
     spark = documents.sparkSession
     run = run or uuid.uuid4().hex
-    if recreate:
-        # The stamp goes first: an index without one takes any embedder.
-        for name in ("meta", "chunks", "sections", "terms", "size"):
-            _delete(spark, f"{path}/{name}")
-    else:
+    if not recreate:
         assert_embedder(spark, path, settings.fingerprint())
+    part = f"{run}~{uuid.uuid4().hex[:12]}"
+    before = {name: _parts(spark, f"{path}/{name}") for name in (*_RUN_TABLES, "sections")}
 
     def store(table: DataFrame, name: str) -> None:
-        table.write.mode("overwrite").parquet(f"{path}/{name}/run={run}")
-
-    chunks = embedded_chunks(documents, embedder, settings, run)
-    store(guard_dimensions(chunks, settings.embed_dim), "chunks")
-    store(section_table(documents), "sections")
-    stored = spark.read.schema(CHUNKS).parquet(f"{path}/chunks/run={run}")
-    terms, size = word_statistics(stored)
-    store(terms, "terms")
-    store(size, "size")
+        table.write.parquet(f"{path}/{name}/run={part}")
+
+    try:
+        chunks = embedded_chunks(documents, embedder, settings, run)
+        store(guard_dimensions(chunks, settings.embed_dim), "chunks")
+        stored = spark.read.schema(CHUNKS).parquet(f"{path}/chunks/run={part}")
+        terms, size = word_statistics(stored)
+        store(terms, "terms")
+        store(size, "size")
+        sections = section_table(documents)
+        if before["sections"] and not recreate:
+            known = spark.read.schema(SECTIONS).parquet(f"{path}/sections").select("parent_id")
+            sections = sections.join(known, "parent_id", "left_anti")
+        store(sections, "sections")
+    except BaseException:
+        for name in before:
+            _delete(spark, f"{path}/{name}/run={part}")
+        raise
+    for name, parts in before.items():
+        for old in parts:
+            if recreate or (name in _RUN_TABLES and old.rpartition("~")[0] == run):
+                _delete(spark, f"{path}/{name}/run={old}")
     if stored.head() is not None:
         write_fingerprint(spark, path, settings.fingerprint())
+    elif recreate:
+        # An index without a stamp takes any embedder.
+        _delete(spark, f"{path}/meta")
 
 
 def read_index(spark: SparkSession, path: str, settings: Settings = DEFAULTS) -> Index:
@@ -180,7 +212,7 @@ def read_index(spark: SparkSession, path: str, settings: Settings = DEFAULTS) ->
 
     return Index(
         chunks=table("chunks", CHUNKS),
-        sections=table("sections", "parent_id string, parent string"),
+        sections=table("sections", SECTIONS),
         terms=table("terms", "term string, df bigint"),
         size=table("size", "n bigint, total_len bigint"),
     )

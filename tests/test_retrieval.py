@@ -224,6 +224,41 @@ def test_index_and_retrieve(spark, tmp_path):
     assert index.read_index(spark, path, SMALL).chunks.count() == 3
 
 
+def test_runs_share_sections_and_a_failed_run_changes_nothing(spark, tmp_path):
+    hooks = offline(DIM)
+    docs = spark.createDataFrame(
+        [("a.md", "# Leave\nparental leave is long\n# Travel\nbook early"), ("b.md", "# Leave\nparental leave is long\n# Pay\nmonthly")],
+        "source string, text string")
+    more = spark.createDataFrame([("c.md", "# Travel\nbook early\n# Food\ncanteen")], "source string, text string")
+    path = str(tmp_path / "ix")
+    index.write_index(docs, path, hooks.embedder, SMALL, recreate=True, run="0")
+    index.write_index(more, path, hooks.embedder, SMALL, run="1")
+    stored = index.read_index(spark, path, SMALL)
+    parents = [r.parent_id for r in stored.sections.collect()]
+    assert len(parents) == len(set(parents)) == 4
+    # A section of a replaced run that another run still needs stays.
+    index.write_index(docs.filter("source = 'b.md'"), path, hooks.embedder, SMALL, run="0")
+    stored = index.read_index(spark, path, SMALL)
+    assert stored.chunks.count() == 4
+    assert stored.chunks.join(stored.sections, "parent_id", "left_anti").count() == 0
+    sums = stored.size.groupBy().sum("n", "total_len").head()
+    assert sums[0] == 4 and sums[1] == sum(len(r.child.replace("#", " ").split()) for r in stored.chunks.collect())
+
+    @F.pandas_udf("array<float>")
+    def failing(t: pd.Series) -> pd.Series:
+        raise ValueError("no model today")
+
+    before = sorted(map(str, stored.chunks.drop("embedding").collect()))
+    for recreate in (True, False):
+        with pytest.raises(Exception, match="no model today"):
+            index.write_index(docs, path, Hook(failing), SMALL, recreate=recreate, run="0")
+        kept = index.read_index(spark, path, SMALL)
+        assert sorted(map(str, kept.chunks.drop("embedding").collect())) == before
+        assert kept.sections.count() == 4
+    index.write_index(more, path, hooks.embedder, SMALL, recreate=True)
+    assert index.read_index(spark, path, SMALL).sections.count() == 2
+
+
 def test_fingerprint_and_dimensions(spark, tmp_path):
     hooks = offline(DIM)
     path = str(tmp_path / "ix")

@@ -32,6 +32,18 @@ def test_text_folder(spark, tmp_path):
     assert names(files.skipped_files(spark, str(tmp_path), {".pdf": parser})) == {**rejected, **empty}
 
 
+def test_unreadable_files_are_listed(spark, tmp_path):
+    """A file that no longer matches its checksum is skipped by the reader and listed with its reason."""
+    root = tmp_path / "folder"
+    spark.createDataFrame([("some text",)], "value string").coalesce(1).write.text(str(root))
+    (root / "fine.md").write_text("fine")
+    broken = next(p for p in root.iterdir() if p.name.startswith("part-") and p.suffix == ".txt")
+    broken.write_text("other words")
+    assert [r.source for r in files.read_text_documents(spark, str(root)).collect()] == ["fine.md"]
+    skipped = {r.path.rsplit("/", 1)[1]: r.reason for r in files.skipped_files(spark, str(root)).collect()}
+    assert skipped[broken.name] == "Unreadable file" and "fine.md" not in skipped
+
+
 def test_rows_to_text(spark):
     people = spark.createDataFrame([("alice", 30), ("bob", None), (None, None)], "name string, age int")
     lines = [r.line for r in rows_to_text(people, "People").collect()]

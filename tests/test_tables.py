@@ -29,6 +29,41 @@ def test_median_against_brute_force(spark):
         assert got == {g: statistics.median(v) for g, v in groups.items()}
 
 
+def test_median_narrows_large_groups(spark, monkeypatch):
+    """With a wide bracket and few values to rank, groups take several rounds; none ranks more than allowed."""
+    rng = random.Random(3)
+    rows = [("even", float(i)) for i in range(4000)] + [("odd", float(i * i)) for i in range(3001)]
+    rows += [("ties", float(rng.choice([1, 2, 2, 2, 3, 3.5]))) for _ in range(2000)]
+    rows += [("skew", 10.0 ** rng.uniform(-300, 300)) for _ in range(5000)] + [("gap", 0.0)] * 500 + [("gap", 1e9)] * 500
+    rows += [("small", 4.0), ("small", 5.0)]
+    groups = {}
+    for g, v in rows:
+        groups.setdefault(g, []).append(v)
+    frame = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    monkeypatch.setattr(figures, "_BRACKET", 0.4)
+    monkeypatch.setattr(figures, "_SPLITS", 5)
+    ranked = []
+    real = figures._narrowed
+
+    def watched(*args):
+        few = real(*args)
+        ranked.append(max(r["count"] for r in few.filter("slot is not null").groupBy("g").count().collect()))
+        return few
+
+    monkeypatch.setattr(figures, "_narrowed", watched)
+    for hot_rows in (None, 0):
+        got = {r.g: r.median_value for r in figures.median_per_group(frame, "g", "v", hot_rows, most=10).collect()}
+        assert got == {g: statistics.median(v) for g, v in groups.items()}
+    assert max(ranked) <= 10
+
+
+def test_median_outside_its_bracket_is_an_error(spark, monkeypatch):
+    frame = spark.createDataFrame([("a", float(i)) for i in range(100)], "g string, v double")
+    monkeypatch.setattr(figures, "_narrowed", lambda counted, most, hot: counted.filter("slot is null"))
+    with pytest.raises(Exception, match="outside its bracket"):
+        figures.median_per_group(frame, "g", "v").collect()
+
+
 def test_extremes_break_ties_by_key(spark):
     frame = spark.createDataFrame([("a", 1, 5.0), ("a", 2, 5.0), ("a", 3, None), ("b", 4, -1.0)], "g string, k int, v double")
     top = {r.g: (r.k, r.v) for r in figures.arg_extreme_per_group(frame, "g", "v", "k").collect()}
@@ -260,6 +295,40 @@ def test_rate_windows_and_stream(spark, tmp_path):
             assert {r.window_start: r.p for r in rows_} == {k: v for k, v in batch.items() if k <= closed}
 
 
+def test_streamed_windows_of_other_slides_files_and_zones(spark, tmp_path):
+    """Several files in turn, rows that come too late, a second slide, and a session zone that changes its clocks."""
+    rng = random.Random(6)
+    # Clocks in New York go forward in this night.
+    start = datetime(2024, 3, 10, 1, 30)
+    rows = sorted(
+        (start + timedelta(seconds=rng.randint(0, 7200), microseconds=rng.randint(0, 999_999)), rng.choice(["documents", "structured"]),
+         "executed", rng.random(), 0.5, rng.random() < 0.3) for _ in range(600)
+    )
+    late = [(start + timedelta(seconds=5), "documents", "executed", 0.1, 0.5, False)] * 3
+    source = str(tmp_path / "log")
+    for part in (rows[:200], rows[200:450], rows[450:] + late):
+        spark.createDataFrame(part, LOG).coalesce(1).write.mode("append").parquet(source)
+    log = spark.createDataFrame(rows, LOG)
+    assert dict(log.dtypes)["ts"] == "timestamp_ntz"
+    closed = rows[-1][0] - timedelta(minutes=10)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for n, (window, slide) in enumerate([(300, 60), (120, 30), (600, 600)]):
+            stream = rates.request_rate_stream(
+                spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(source), window, slide
+            )
+            out = str(tmp_path / f"rates{n}")
+            rates.start(stream, out, str(tmp_path / f"rate-progress{n}")).awaitTermination()
+            got = {(r.window_start, r.route): r.rate for r in spark.read.schema(stream.schema).parquet(out).collect()}
+            batch = {(r.window_start, r.route): r.rate for r in telemetry.request_rate(log, window, slide).collect()}
+            assert got == {k: v for k, v in batch.items() if k[0] + timedelta(seconds=window) <= closed} and got
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    with pytest.raises(ValueError):
+        rates.request_rate_stream(log, 300, 70)
+
+
 def test_extremes_of_dates_and_strings(spark):
     from docquery.operators.figures import arg_extreme_per_group
 
