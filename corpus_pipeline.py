@@ -4,6 +4,11 @@ Each stage works on all that the stage before it kept, and its decisions take ef
 documents go, frequent lines are cut out of the texts that stay, and one document of each group of
 near-copies stays, the one with the smallest id. Documents without an id cannot be the smallest of a
 group, but stay where no document of their group has one.
+
+Defined cases: a null or empty text has no words, so it fails the line rules; a text of any length is
+worked on whole and packed in pieces; equal rows get equal verdicts, and one of them stays after
+near-dedup; a null source is the empty host; extra columns, whatever their names, are carried
+through all stages but the last; a table without rows passes every stage empty.
 """
 from __future__ import annotations
 
