@@ -88,8 +88,10 @@ def execute_distinct(statements: DataFrame, settings: Settings = DEFAULTS) -> Da
     distinct texts are streamed to it one partition at a time and `sql_at_once` of
     them run side by side. Their capped results go to the shared folder, never through
     the driver. All statements are run; one that fails, or takes longer than
-    `sql_seconds`, yields its error and does not hold up the others. What is cancelled are
-    the jobs of a statement; the time to plan it is not cut short.
+    `sql_seconds`, yields its error and does not hold up the others. A statement may be
+    late because another one has taken all cores, so late ones get their time once more,
+    alone. What is cancelled are the jobs of a statement; the time to plan it is not cut
+    short. Where Spark schedules by pools, each statement has a pool of its own.
     """
     spark = statements.sparkSession
     path = fresh_path(spark, "results")
@@ -97,12 +99,18 @@ def execute_distinct(statements: DataFrame, settings: Settings = DEFAULTS) -> Da
     texts = (r["sql"] for r in statements.select("sql").distinct().toLocalIterator())
     taking = threading.Lock()
 
+    late: list[str] = []
+
     def work(_: int) -> None:
         for sql in _taken(texts, taking):
-            _run_one(spark, sql, path, settings)
+            if not _run_one(spark, sql, path, settings):
+                late.append(sql)
 
     with ThreadPoolExecutor(settings.sql_at_once) as pool:
         list(pool.map(work, range(settings.sql_at_once)))
+    for sql in late:
+        if not _run_one(spark, sql, path, settings):
+            _failed(spark, sql, TimeoutError(TOO_SLOW)).write.parquet(_part_of(path))
     return spark.read.schema(RESULT).parquet(f"{path}/*")
 
 
@@ -116,30 +124,44 @@ def _taken(texts: Iterator[str], taking: threading.Lock) -> Iterator[str]:
         yield sql
 
 
-def _run_one(spark: SparkSession, sql: str, path: str, settings: Settings) -> None:
-    """Store the result of a statement; its jobs carry a tag of their own, by which they are cancelled."""
-    name, over = uuid.uuid4().hex, threading.Event()
+def _part_of(path: str) -> str:
+    return f"{path}/{uuid.uuid4().hex}"
+
+
+def _run_one(spark: SparkSession, sql: str, path: str, settings: Settings) -> bool:
+    """Store the result of a statement, or return False if its time is over.
+
+    Its jobs carry a tag of their own, by which they are cancelled.
+    """
+    target, late, over = _part_of(path), threading.Event(), threading.Event()
+    tag = target.rpartition("/")[2]
 
     def stop() -> None:
+        late.set()
+        spark.sparkContext.cancelJobsWithTag(tag)
         # Again and again, as there may be no job just now.
         while not over.wait(1):
-            spark.sparkContext.cancelJobsWithTag(name)
+            spark.sparkContext.cancelJobsWithTag(tag)
 
-    late = threading.Event()
-    watch = threading.Timer(settings.sql_seconds, lambda: (late.set(), spark.sparkContext.cancelJobsWithTag(name), stop()))
+    watch = threading.Timer(settings.sql_seconds, stop)
     watch.daemon = True
-    spark.sparkContext.addJobTag(name)
+    spark.sparkContext.addJobTag(tag)
+    spark.sparkContext.setLocalProperty("spark.scheduler.pool", tag)
     watch.start()
     try:
-        _planned(spark, sql, settings.sql_max_rows).write.mode("overwrite").parquet(f"{path}/{name}")
-        return
+        _planned(spark, sql, settings.sql_max_rows).write.mode("overwrite").parquet(target)
+        return True
     except (PySparkException, Py4JError) as problem:
-        failed = TimeoutError(TOO_SLOW) if late.is_set() else problem
+        failed = problem
     finally:
         over.set()
         watch.cancel()
-        spark.sparkContext.removeJobTag(name)
-    _failed(spark, sql, failed).write.mode("overwrite").parquet(f"{path}/{name}")
+        spark.sparkContext.removeJobTag(tag)
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+    if late.is_set():
+        return False
+    _failed(spark, sql, failed).write.mode("overwrite").parquet(target)
+    return True
 
 
 def _planned(spark: SparkSession, sql: str, max_rows: int) -> DataFrame:
