@@ -2,6 +2,9 @@
 
 Every step is an aggregate, a join and a distinct over the links, so no component is ever
 gathered; the number of rounds grows with the logarithm of the largest component.
+
+Defined cases: links with a null end join nothing; a link from a node to itself and repeated links
+change nothing; a table without links gives no nodes.
 """
 from __future__ import annotations
 
@@ -14,7 +17,8 @@ from docquery.shared import materialize
 def _large(links: DataFrame) -> DataFrame:
     """Join each larger neighbour of a node to the smallest node around it."""
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    # Stored, so that the join has a plain shuffle on both sides and can split the neighbours of a star's centre.
+    least = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
     return both.filter(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 

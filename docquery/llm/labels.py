@@ -1,4 +1,8 @@
-"""A bounded sample of labelled documents, the only rows a classifier is fitted on."""
+"""A bounded sample of labelled documents, the only rows a classifier is fitted on.
+
+Defined cases: rows without a key or with a label that is none of the classes are left out; a key
+labelled twice keeps the larger label; a class without rows is absent from the sizes; an empty table gives none.
+"""
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame

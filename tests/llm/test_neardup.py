@@ -89,6 +89,8 @@ def test_components_of_chains_and_stars(spark):
     got = {r["node"]: r["root"] for r in components(table).collect()}
     assert got == {i: 0 for i in range(201)} | {i: 500 for i in range(500, 600)} | {899: 899, 900: 899}
     assert components(table.limit(0)).count() == 0
+    nulls = table.unionByName(spark.createDataFrame([(None, 3), (4, None), (None, None)], "u long, v long"))
+    assert {r["node"]: r["root"] for r in components(nulls).collect()} == got
 
 
 def template_pages(n, shared, own, pairs, more):
