@@ -1,11 +1,13 @@
 """What is sent to Python workers, and what they keep from one task to the next."""
 from __future__ import annotations
 
+import ctypes
 import pickle
 import sys
 from collections.abc import Callable
 from types import ModuleType
 
+import pyarrow as pa
 from pyspark import Broadcast, cloudpickle
 from pyspark.sql import SparkSession
 
@@ -33,6 +35,14 @@ def received(sent: Broadcast):
     return pickle.loads(sent.value)
 
 
+def give_back() -> None:
+    """Return what a batch no longer needs to the system; a worker keeps it otherwise, also when it is idle."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 class Recent(dict):
     """Results of `make` by key. When full, it forgets what nobody asked for since it was last full."""
 

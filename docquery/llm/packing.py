@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from docquery.llm.memory import give_back
 from docquery.llm.wordids import word_ids
 from docquery.llm.words import slices
 from docquery.shared import materialize
@@ -62,6 +63,7 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str, names: list[str]) -> Iter
                 ],
                 names=names,
             )
+        give_back()
 
 
 def token_pieces(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from docquery.llm.memory import give_back
 from docquery.llm.wordids import word_ids
 from docquery.llm.words import slices
 
@@ -48,6 +49,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str, end_id: int, names: l
                 names=names,
             )
             before += int(bounds[-1])
+        give_back()
 
 
 def write_token_files(

@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 
 # Bytes of text that are worked on at a time; a longer text is worked on alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def bytes_table(chars: str) -> np.ndarray:
