@@ -26,8 +26,9 @@ from docquery.shared import materialize
 WINDOW = 8
 LEAST_WORDS = 20
 MOST_REPEATED_PERCENT = 30
-# A line is frequent in a host above both of these numbers of distinct documents.
-LEAST_DOCUMENTS = 20
+# A line is frequent in a host above a share of its distinct documents, which counts as no fewer than
+# the least and no more than the most of these numbers.
+LEAST_DOCUMENTS, MOST_DOCUMENTS = 20, 1000
 SHARE_OF_HOST = 0.002
 # A document is depleted when more than this share of its words is in frequent lines.
 MOST_REMOVED = 0.7
@@ -130,7 +131,8 @@ def frequent_lines(measured: DataFrame) -> DataFrame:
     per_host = texts.groupBy("host").agg(F.count("*").alias("documents"))
     # `texts` has a row per distinct document, and a document has a line's hash once.
     per_line = lines.groupBy("host", "hash").agg(F.count("*").alias("n")).filter(F.col("n") > LEAST_DOCUMENTS)
-    frequent = per_line.join(per_host, "host").filter(F.col("n") > SHARE_OF_HOST * F.col("documents"))
+    limit = F.least(SHARE_OF_HOST * F.col("documents"), F.lit(float(MOST_DOCUMENTS)))
+    frequent = per_line.join(per_host, "host").filter(F.col("n") > limit)
     return lines.join(frequent.select("host", "hash"), ["host", "hash"]).groupBy("host", "digest").agg(
         F.sum("words").alias("removed_words"), F.collect_list("hash").alias("frequent")
     )

@@ -1,10 +1,13 @@
 import random
 import re
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from docquery.llm import linerules
+from docquery.llm.oracles import SQL
+from docquery.plans.check import duckdb_rows, spark_rows
 
 SCHEMA = "doc_id long, text string, source string, n_words string, frequent string"
 
@@ -82,3 +85,32 @@ def test_shared_line_that_is_the_longest_of_each_document(spark):
     assert all(got[100 + i] == (101, False) for i in range(30))
     assert all(got[i + j] == (0, True) for i in range(30) for j in (200, 300))
     assert {r["doc_id"] for r in linerules.clean_documents(table).collect()} == {i + j for i in range(30) for j in (200, 300)}
+
+
+def test_sql_states_the_same_rule(spark, tmp_path):
+    """On documents whose longest line is the shared one, and in a host where the share of the host counts."""
+    rng = random.Random(5)
+    line = lambda n: " ".join("w" + str(rng.randrange(10**6)) for _ in range(n))
+    notice, rare = line(60), line(40)
+    texts = [f"{notice}\n{line(12)}" for _ in range(30)] + [f"{line(30)}\n{rare}" for _ in range(20)] + [None, ""]
+    rows = [(i, t, "h1") for i, t in enumerate(texts)]
+    # 23 of 12,000 documents are above the least number, and below the share.
+    rows += [(1000 + i, f"{line(20)}\n{rare}" if i < 23 else line(21), "h2") for i in range(12_000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    got = spark_rows(linerules.rule_verdicts(table))
+    assert got == duckdb_rows(con, SQL["op4_line_rules"])
+    at = got[0].index("removed_words")
+    assert sum(r[at] == "60" for r in got[1]) == 30 and sum(r[at] == "40" for r in got[1]) == 0
+
+
+def test_limit_of_a_large_host(spark, monkeypatch):
+    """The share of a host never asks for more than the most documents."""
+    rows = [(i, f"own words {i} " * 10 + "\na notice of a few words", "h") for i in range(60)]
+    table = spark.createDataFrame([(*r, None, None) for r in rows], SCHEMA)
+    monkeypatch.setattr(linerules, "SHARE_OF_HOST", 1.0)
+    assert linerules.rule_verdicts(table).filter("removed_words > 0").count() == 0
+    monkeypatch.setattr(linerules, "MOST_DOCUMENTS", 50)
+    assert linerules.rule_verdicts(table).filter("removed_words = 6").count() == 60
