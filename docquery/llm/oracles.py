@@ -1,51 +1,64 @@
 """DuckDB SQL for the queries that SQL can express."""
 
 from docquery.llm import linerules
-from docquery.llm.licences import TEMPLATES, THRESHOLD
+from docquery.llm.licences import COMMENT, LINES_TOGETHER, SPDX, TEMPLATES, THRESHOLD
 
 # A word, as the contract of the line rules says.
 _WORD = r"[^\x20\x09-\x0D]+"
-_TEMPLATE_ROWS = ", ".join("('{}', '{}')".format(*t) for t in TEMPLATES)
+_TEMPLATE_ROWS = ", ".join(f"({i}, '{name}', '{body}')" for i, (name, body) in enumerate(TEMPLATES))
 
 SQL = {
-    "op3_licence_scan": f"""
+    "op3_licence_scan": rf"""
 with files as (
     select doc_id, coalesce(text, '') as text,
         case when doc_id % 97 = 0 then source || '/LICENSE-' || doc_id || '.txt'
              when doc_id % 40 = 0 then source || '/' || lang || '/' || (doc_id % 50) || '/LICENSE-' || doc_id || '.txt'
              else source || '/' || lang || '/' || (doc_id % 50) || '/' || doc_id || '.txt' end as path
     from documents
-), templates(licence, body) as (values {_TEMPLATE_ROWS}),
+), templates(t, licence, body) as (values {_TEMPLATE_ROWS}),
 template_tf as (
-    select licence, term, count(*) as tf
-    from (select licence, unnest(string_split_regex(lower(body), '[^a-z0-9]+')) as term from templates)
+    select t, licence, term, count(*) as tf
+    from (select t, licence, unnest(string_split_regex(lower(body), '[^a-z0-9]+')) as term from templates)
     where term <> '' group by all
-), lines as (
-    select path, n, line from (
-        select path, unnest(string_split(text, chr(10))) as line,
-            unnest(range(len(string_split(text, chr(10))))) as n from files
-    )
-), line_terms as (
+), cut as (
+    select path, text, string_split(text, chr(10)) as lines,
+        regexp_matches(lower(regexp_extract(path, '([^/]*)$', 1)), '^(licen[cs]e|copying|notice)([^a-z].*)?$') as whole
+    from files
+), headed as (
+    select *, list_position(list_transform(lines, lambda x: regexp_matches(x, '{COMMENT}')), false) as code from cut
+), parts as (
+    select path, pos * 8 + width as n, array_to_string(lines[pos:pos + width - 1], chr(10)) as part
+    from (select path, lines, width, unnest(range(1, len(lines) - width + 2)) as pos
+        from cut, range(1, {LINES_TOGETHER + 1}) w(width) where len(lines) >= width)
+    union all select path, 1, array_to_string(lines[:coalesce(code - 1, len(lines))], chr(10)) from headed
+        where coalesce(code - 1, len(lines)) > {LINES_TOGETHER}
+    union all select path, 2, text from cut where whole
+), part_terms as (
     select path, n, term, count(*) as tf
-    from (select path, n, unnest(string_split_regex(lower(line), '[^a-z0-9]+')) as term from lines)
+    from (select path, n, unnest(string_split_regex(lower(part), '[^a-z0-9]+')) as term from parts)
     where term <> '' group by all
 ), seen as (
-    select term, count(distinct path) as n from line_terms where term in (select term from template_tf) group by term
+    select term, count(distinct path) as n
+    from (select path, unnest(string_split_regex(lower(text), '[^a-z0-9]+')) as term from files) where term <> '' group by term
 ), idf as (
-    select distinct t.term, ln(((select count(*) from files) + 1) / (coalesce(s.n, 0) + 1)) + 1 as idf
-    from template_tf t left join seen s on s.term = t.term
+    select term, ln(((select count(*) from files) + 1) / (coalesce(s.n, 0) + 1)) + 1 as idf
+    from seen s full join (select distinct term from template_tf) using (term)
 ), template_size as (
-    select licence, sqrt(sum(tf * idf * tf * idf)) as size from template_tf join idf using (term) group by licence
-), weighted as (
-    select path, n, l.term, tf * coalesce(idf, 1.0) as w from line_terms l left join idf on idf.term = l.term
-), line_size as (select path, n, sqrt(sum(w * w)) as size from weighted group by all),
+    select t, sqrt(sum(tf * idf * tf * idf)) as size from template_tf join idf using (term) group by t
+), weighted as (select path, n, term, tf * idf as w from part_terms join idf using (term)),
+part_size as (select path, n, sqrt(sum(w * w)) as size from weighted group by all),
 scored as (
-    select w.path, t.licence, round(sum(w.w * t.tf * i.idf) / any_value(s.size) / any_value(l.size), 6) as score
-    from weighted w join template_tf t on t.term = w.term join idf i on i.term = w.term
-    join template_size s on s.licence = t.licence join line_size l on l.path = w.path and l.n = w.n
-    group by w.path, w.n, t.licence
+    select w.path, m.licence, round(sum(w.w * m.tf * i.idf) / any_value(s.size) / any_value(l.size), 6) as score
+    from weighted w join template_tf m on m.term = w.term join idf i on i.term = w.term
+    join template_size s on s.t = m.t join part_size l on l.path = w.path and l.n = w.n
+    group by w.path, w.n, m.t, m.licence
+), tagged as (
+    select path, licence, 1.0 as score
+    from (select path, unnest(regexp_extract_all(text, '{SPDX}', 1)) as tag from files)
+    join (select distinct licence from templates) on lower(licence) = lower(tag)
 ), own as (
-    select path, licence as own_licence, score as own_score from scored where score >= {THRESHOLD}
+    select path, licence as own_licence, score as own_score
+    from (select * from scored where score >= {THRESHOLD} union all select * from tagged)
     qualify row_number() over (partition by path order by score desc, licence) = 1
 ), given as (
     select regexp_extract(path, '^(.*)/[^/]*$', 1) as above, min_by(own_licence, path) as given
@@ -79,21 +92,19 @@ with docs as (
 ), repeated as (
     select rid, count(distinct pos + i) as n_repeat_words from twice, range(8) t(i) group by rid
 ), lines as (
-    select rid, host, text, line, pos, strlen(line) as bytes, len(regexp_extract_all(line, '{_WORD}')) as n,
+    select rid, host, text, line, pos, len(regexp_extract_all(line, '{_WORD}')) as n,
         array_to_string(regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}'), ' ') as norm
     from (select rid, host, text, unnest(list) as line, generate_subscripts(list, 1) as pos
         from (select rid, host, text, string_split(text, chr(10)) as list from docs))
     where regexp_matches(line, '{_WORD}')
 ), duplicates as (
     select rid, count(*) - count(distinct line) as n_dup_lines from lines group by rid
-), longest as (
-    select rid, norm as longest from lines qualify row_number() over (partition by rid order by bytes desc, pos) = 1
 ), hosts as (select host, count(distinct text) as documents from docs group by host),
 frequent as (
-    select l.host, l.norm from lines l join longest g using (rid) join hosts h on h.host = l.host
+    select l.host, l.norm from lines l join hosts h on h.host = l.host
     group by l.host, l.norm, h.documents
-    having count(distinct g.longest) > {linerules.LEAST_DOCUMENTS}
-        and count(distinct g.longest) > {linerules.SHARE_OF_HOST} * h.documents
+    having count(distinct l.text) > {linerules.LEAST_DOCUMENTS}
+        and count(distinct l.text) > least({linerules.SHARE_OF_HOST} * h.documents, {linerules.MOST_DOCUMENTS})
 ), removed as (
     select rid, sum(n) as removed_words from lines l join frequent f on f.host = l.host and f.norm = l.norm group by rid
 ), measured as (

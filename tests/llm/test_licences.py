@@ -1,6 +1,13 @@
 import math
+import random
+import re
+import textwrap
 
-from docquery.llm import licences
+import duckdb
+
+from docquery.llm import licences, queries
+from docquery.llm.oracles import SQL
+from docquery.plans.check import duckdb_rows, spark_rows
 
 SCHEMA = "path string, text string, licence int, extra int"
 
@@ -44,10 +51,58 @@ def test_nulls_repeats_long_and_empty(spark):
     assert scanned(spark, []) == []
 
 
-def test_lines_without_heavy_terms_stay_below(spark):
-    table = spark.createDataFrame([("a", "released under the license"), ("b", MIT)], "path string, text string")
-    weights, vectors = licences.template_weights(table, "text", licences.TEMPLATES)
-    heavy = set(licences.heavy_terms(vectors, licences.THRESHOLD))
-    for vector in vectors.values():
-        rest = math.sqrt(sum(w * w for t, w in vector.items() if t not in heavy))
+def test_parts_without_heavy_terms_stay_below(spark):
+    vectors = licences.template_vectors({"the": 50, "license": 7, "mit": 1}, 60, licences.TEMPLATES)
+    heavy = licences.heavy_terms(vectors, licences.THRESHOLD)
+    for _, vector in vectors:
+        rest = math.sqrt(sum(w * w for t, w in vector.items() if t not in set(heavy)))
         assert rest < licences.THRESHOLD
+    pattern = re.compile(licences._any_of(heavy))
+    for term in heavy:
+        assert pattern.search(f"x {term}.") and pattern.search(term.upper()) and not pattern.search(f"x{term}9")
+
+
+def bodies(name):
+    return [" ".join(body.split()) for n, body in licences.TEMPLATES if n == name]
+
+
+def test_headers_wrapped_notices_licence_files_and_tags(spark):
+    wrapped = textwrap.wrap(max(bodies("MIT"), key=len), 70)
+    header = "\n".join(["// Copyright 2020 Some Body", *(f"// {x}" for x in wrapped), "int main() {", "// words of no interest"])
+    whole = f"MIT License\n\nCopyright (c) 2021 A. Person\n\n" + "\n".join(wrapped)  # noqa: F541
+    bsd = "Copyright 2001 X\n\n" + "\n".join(textwrap.wrap(max(bodies("BSD-3-Clause"), key=len), 60))
+    gpl = "\n".join("# " + x for x in ["tool.py does things", *textwrap.wrap(max(bodies("GPL-3.0"), key=len), 75)])
+    rows = [
+        ("h/a.c", header), ("g/b.txt", "words before\nThis work is licensed under the GNU General\nPublic License, version 3.\nwords after"),
+        ("t/LICENSE", "Apache License\nVersion 2.0, January 2004\nhttp://www.apache.org/licenses/\n\nTERMS AND CONDITIONS FOR USE"),
+        ("s/x.py", "# SPDX-License-Identifier: MIT\ncode"), ("s/y.py", "# SPDX-License-Identifier: Unknown-1.0\ncode"),
+        ("w/LICENSE", whole), ("w/deep/file.py", "code"), ("b/COPYING", bsd), ("p/c.py", gpl + "\n\nimport os"),
+        ("n/prose.txt", "The license of the software was a matter of public debate.\nPermission to speak was granted to the committee."),
+    ] + [(f"z/{i}.txt", f"the of and to in is a this work under public or any use {i} " * 5) for i in range(40)]
+    got = {r[0]: r[1:] for r in scanned(spark, rows)}
+    own = {path: got[path][0] for path, _ in rows[:10]}
+    assert own == {
+        "h/a.c": "MIT", "g/b.txt": "GPL-3.0", "t/LICENSE": "Apache-2.0", "s/x.py": "MIT", "s/y.py": None, "w/LICENSE": "MIT",
+        "w/deep/file.py": None, "b/COPYING": "BSD-3-Clause", "p/c.py": "GPL-3.0", "n/prose.txt": None,
+    }
+    assert got["w/deep/file.py"] == (None, "MIT", "w")
+    assert all(got[f"z/{i}.txt"][0] is None for i in range(40))
+
+
+def test_sql_states_the_same_rule(spark, tmp_path):
+    """On documents with headers, wrapped notices, tags and licence files, which the tables do not hold."""
+    wrapped = textwrap.wrap(max(bodies("MIT"), key=len), 70)
+    texts = {
+        40: "MIT License\n\n" + "\n".join(wrapped), 1: "\n".join(f"# {x}" for x in wrapped) + "\ncode", 2: "# SPDX-License-Identifier: mpl-2.0",
+        3: "a\nThis work is licensed under the GNU General\nPublic License, version 3.", 80: "Apache License\nVersion 2.0, January 2004\nhttp://www.apache.org/licenses/",
+        97: "Mozilla Public License Version 2.0", 90: None, 4: "",
+    }
+    rng = random.Random(2)
+    rows = [(i, texts.get(i, " ".join(rng.choice("the of and work public code license in".split()) for _ in range(30))), "en", "src") for i in range(120)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    got = spark_rows(queries.op3_licence_scan(spark, str(tmp_path)))
+    assert got == duckdb_rows(con, SQL["op3_licence_scan"])
+    assert sum(r[got[0].index("own_licence")] != "None" for r in got[1]) == 6
