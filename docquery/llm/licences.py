@@ -7,9 +7,8 @@ are weighted by how many files have them, all terms alike. A line with an SPDX t
 licence itself. A file whose name says that it holds a licence speaks for its directory, and a file
 without a licence of its own inherits from the nearest directory above it that has one.
 
-Only parts that can reach the threshold are compared: with some template they must share terms that
-make up the square of the threshold of its vector, whatever else they say. A search for the heaviest terms,
-of which one is among these, comes first.
+Only parts that can reach the threshold are compared: a search for the heaviest terms, of which each must
+have one, and a bound on the cosine from a part's template terms and length, lose none of them.
 
 Defined cases: null texts are empty, null paths are the empty path; rows that share a path share a
 verdict; of equal scores the first licence name wins; a text of any length is looked at whole; an empty
@@ -111,12 +110,16 @@ def term_counts(files: DataFrame, text: str) -> DataFrame:
     )
 
 
+def term_weight(files: int, total: int) -> float:
+    return math.log((total + 1) / (files + 1)) + 1
+
+
 def template_vectors(seen: dict[str, int], total: int, templates) -> list[tuple[str, dict[str, float]]]:
     """The unit vector of each template, for term counts among `total` files."""
     vectors = []
     for name, body in templates:
         terms = template_terms(body)
-        vector = {t: terms.count(t) * (math.log((total + 1) / (seen.get(t, 0) + 1)) + 1) for t in set(terms)}
+        vector = {t: terms.count(t) * term_weight(seen.get(t, 0), total) for t in set(terms)}
         size = math.sqrt(sum(w * w for w in vector.values()))
         vectors.append((name, {t: w / size for t, w in vector.items()}))
     return vectors
@@ -141,21 +144,40 @@ def _any_of(terms: list[str]) -> str:
     return "(?i)(?<![a-z0-9])(?:" + "|".join(f"{first}(?:{'|'.join(rest)})" for first, rest in groups) + ")(?![a-z0-9])"
 
 
-def reach(part: Column, vectors: list[tuple[str, dict[str, float]]]) -> Column:
-    """The square of a bound on the cosine of a part with any template, from the template terms it has."""
-    known = sorted({t for _, vector in vectors for t in vector})
+def reach(part: Column, vectors: list[tuple[str, dict[str, float]]], weights: dict[str, float]) -> Column:
+    """The square of a bound on the cosine of a part with any template.
 
-    def shared(present: Column, vector: dict[str, float]) -> Column:
-        shares = F.create_map(*[F.lit(x) for t, w in sorted(vector.items()) for x in (t, w * w)])
-        return F.aggregate(present, F.lit(0.0), lambda total, t: total + F.coalesce(F.try_element_at(shares, t), F.lit(0.0)))
+    The template terms of the part count exactly; of all its other words it is only used that none weighs
+    less than 1, so a long text with a few of these terms is far below a template.
+    """
+    known = F.array(*map(F.lit, sorted(weights)))
 
-    return let(
-        F.array_intersect(_terms(part), F.array(*map(F.lit, known))),
-        lambda present: F.greatest(*[shared(present, vector) for _, vector in vectors]),
-    )
+    def by_term(values: dict[str, float], term: Column) -> Column:
+        return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in sorted(values.items()) for x in pair]), term), F.lit(0.0))
+
+    def bound(terms: Column) -> Column:
+        def counted(term: Column) -> Column:
+            n = F.size(F.filter(terms, lambda other: other == term))
+            return F.struct(term.alias("term"), n.alias("n"), (n * by_term(weights, term)).alias("w"))
+
+        def largest(found: Column) -> Column:
+            # A split text may begin and end with an empty term.
+            others = F.size(terms) - F.aggregate(found, F.lit(0), lambda total, f: total + f["n"]) - 2
+            size = F.aggregate(found, F.lit(0.0), lambda total, f: total + f["w"] * f["w"]) + F.greatest(others, F.lit(0))
 
+            def dot(vector: dict[str, float]) -> Column:
+                return F.aggregate(found, F.lit(0.0), lambda total, f: total + f["w"] * by_term(vector, f["term"]))
 
-def licence_parts(files: DataFrame, vectors: list[tuple[str, dict[str, float]]], threshold: float) -> DataFrame:
+            return let(F.greatest(*[dot(vector) for _, vector in vectors]), lambda x: x * x / F.nullif(size, F.lit(0.0)))
+
+        return let(F.transform(F.array_intersect(terms, known), counted), largest)
+
+    return F.coalesce(let(_terms(part), bound), F.lit(0.0))
+
+
+def licence_parts(
+    files: DataFrame, vectors: list[tuple[str, dict[str, float]]], weights: dict[str, float], threshold: float
+) -> DataFrame:
     """`(path, of, n, part)`: the lines, adjacent lines, headers and licence files that may reach the threshold."""
     heavy = _any_of(heavy_terms(vectors, threshold))
     least = threshold**2 - 1e-9
@@ -163,7 +185,7 @@ def licence_parts(files: DataFrame, vectors: list[tuple[str, dict[str, float]]],
     is_licence = F.regexp_extract("path", "([^/]*)$", 1).rlike(LICENCE_FILE)
     # Few files say anything of the kind; stored, so that the others are looked through once.
     said = materialize(
-        files.filter(F.col("text").rlike(heavy)).filter(reach(F.col("text"), vectors) >= least).select(
+        files.filter(F.col("text").rlike(heavy)).select(
             "path", F.xxhash64("text").alias("of"), lines.alias("lines"), is_licence.alias("whole"),
             F.transform(lines, lambda line: line.rlike(heavy)).alias("flags"),
             F.array_position(F.transform(lines, lambda line: line.rlike(COMMENT)), False).alias("first_code"),
@@ -190,7 +212,7 @@ def licence_parts(files: DataFrame, vectors: list[tuple[str, dict[str, float]]],
     parts = rows[0]
     for more in rows[1:]:
         parts = parts.unionByName(more)
-    return parts.filter(reach(F.col("part"), vectors) >= least)
+    return parts.filter(reach(F.col("part"), vectors, weights) >= least)
 
 
 def _notices(files: DataFrame, templates, threshold: float) -> DataFrame:
@@ -201,7 +223,8 @@ def _notices(files: DataFrame, templates, threshold: float) -> DataFrame:
     # At most a row per template term.
     seen = {r["term"]: r["n"] for r in counts.filter(F.col("term").isin(known)).collect()}
     vectors = template_vectors(seen, total, templates)
-    parts = licence_parts(files, vectors, threshold)
+    weights = {t: term_weight(seen.get(t, 0), total) for t in known}
+    parts = licence_parts(files, vectors, weights, threshold)
     terms = parts.select("path", "of", "n", F.explode(_terms(F.col("part"))).alias("term")).filter(F.col("term") != "")
     counted = materialize(terms.groupBy("path", "of", "n", "term").agg(F.count("*").alias("tf")), "part-terms")
     idf = F.log((F.lit(total) + 1) / (F.col("files") + 1)) + 1
