@@ -66,3 +66,20 @@ def test_report(spark, tmp_path):
     assert files.read_report(spark, str(tmp_path / "bad.json")).count() == 0
     (tmp_path / "plain.json").write_text('{"scores": {"x": 0.25}, "n": 1, "items": []}')
     assert [tuple(r) for r in files.read_report(spark, str(tmp_path / "plain.json")).collect()] == [("x", 0.25)]
+
+
+def test_rejected_files_are_counted(spark, tmp_path):
+    """One file per segment and range of customer keys, and one for customers without a key, as the SQL says."""
+    import duckdb
+
+    from docquery.plans.oracles import SQL
+    from docquery.plans.queries import QUERIES
+
+    rows = [(1, "A", "x"), (999_999, "A", None), (1_000_000, "A", "y"), (None, "A", "z"), (5, "B", "x"), (5, "B", "x")]
+    customers = spark.createDataFrame(rows, "c_custkey long, c_mktsegment string, c_name string").repartition(3)
+    customers.write.parquet(str(tmp_path / "customer.parquet"))
+    got = {(r.segment, r.reason, r.n_files) for r in QUERIES["rejected_files"](spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    con.execute(f"create view customer as select * from '{tmp_path}/customer.parquet/*.parquet'")
+    assert got == set(con.execute(SQL["rejected_files"]).fetchall())
+    assert {(s, n) for s, _, n in got} == {("A", 3), ("B", 1)}
