@@ -2,10 +2,12 @@ from dataclasses import replace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docquery.functions import vectors as stored_vectors
 from docquery.functions.hits import HIT, context, prompt, top_score
 from docquery.hooks import Hook, offline
 from docquery.operators import search
@@ -278,3 +280,40 @@ def test_fingerprint_and_dimensions(spark, tmp_path):
         index.assert_dimensions(frame, 3)
     with pytest.raises(Exception, match="16-dim"):
         index.write_index(docs, str(tmp_path / "bad"), hooks.embedder, replace(SMALL, embed_dim=8), recreate=True)
+
+
+@pytest.mark.parametrize("dim", [1, 8, 300])
+def test_stored_vectors(spark, dim):
+    """Stored vectors come back as they were, sparse, full, empty and odd ones; another length is refused."""
+    rng = np.random.default_rng(dim)
+    full = rng.normal(size=(40, dim)).astype(np.float32)
+    rows = np.where(rng.random((40, dim)) < rng.choice([0.02, 0.5, 0.7, 1.0], (40, 1)), full, np.float32(0))
+    rows[0], rows[1, 0], rows[2, 0] = 0, np.inf, 1e-45
+    given = pa.array(rows.tolist(), pa.list_(pa.float32()))
+    stored = stored_vectors.pack(given, dim)
+    assert np.array_equal(stored_vectors.unpack(stored, dim), rows.astype(float))
+    assert np.array_equal(stored_vectors.unpack(stored.slice(3, 9), dim), rows[3:12].astype(float))
+    assert max(len(v) for v in stored.to_pylist()) <= 4 * dim + 6
+    for bad in (pa.array([rows[0].tolist() + [1.0]], given.type), pa.array([None], given.type)):
+        with pytest.raises(ValueError, match="are configured"):
+            stored_vectors.pack(pa.concat_arrays([given, bad]), dim)
+    with pytest.raises(ValueError, match="dimensions"):
+        stored_vectors.unpack(stored, dim + 1)
+    frame = spark.createDataFrame([(rows[5].tolist(),)], "v array<float>")
+    back = frame.select(stored_vectors.packed(F.col("v"), dim).alias("v")).select(stored_vectors.unpacked(F.col("v")).alias("v"))
+    assert back.head().v == rows[5].tolist()
+
+
+def test_index_stores_small_vectors(spark, tmp_path):
+    """A chunk's vector takes less room than its plain numbers, and search reads it as it lies."""
+    hooks = offline(DEFAULTS.embed_dim)
+    docs = spark.range(50).selectExpr("concat('d', id) as source", "concat('cats and dogs ', id) as text")
+    path = str(tmp_path / "ix")
+    index.write_index(docs, path, hooks.embedder, DEFAULTS, recreate=True, run="0")
+    chunks = index.read_index(spark, path, DEFAULTS).chunks
+    assert chunks.select(F.max(F.octet_length("embedding"))).head()[0] <= 30
+    plain = chunks.select("chunk_id", stored_vectors.unpacked(F.col("embedding")).alias("embedding"))
+    asked = spark.createDataFrame([(1, "dogs 7"), (2, "cats")], "question_id int, query string")
+    asked = asked.select("question_id", hooks.embedder(F.col("query")).alias("embedding"))
+    found = [sorted(map(tuple, vector_top_k(c, asked, 20).collect())) for c in (chunks, plain)]
+    assert found[0] == found[1] and len(found[0]) == 40
