@@ -12,7 +12,7 @@ from docquery.functions.hits import HIT, context, prompt, top_score
 from docquery.hooks import Hook, offline
 from docquery.operators import search
 from docquery.operators.correct import correction_loop, grade
-from docquery.operators.rerank import rerank_top_n, with_rerank_score
+from docquery.operators.rerank import _batch_sums, rerank_top_n, with_rerank_score, word_statistics
 from docquery.operators.retrieve import retrieve
 from docquery.operators.search import vector_top_k
 from docquery.settings import DEFAULTS
@@ -317,3 +317,17 @@ def test_index_stores_small_vectors(spark, tmp_path):
     asked = asked.select("question_id", hooks.embedder(F.col("query")).alias("embedding"))
     found = [sorted(map(tuple, vector_top_k(c, asked, 20).collect())) for c in (chunks, plain)]
     assert found[0] == found[1] and len(found[0]) == 40
+
+
+def test_word_statistics_leave_as_one_row_per_batch_and_word(spark):
+    """What is added up are rows of distinct words, not a row for every word of every text."""
+    texts = [("a b a",), ("A c",), ("",), (None,), ("  .",)] + [("x y",)] * 500
+    chunks = spark.createDataFrame(texts, "child string").coalesce(1)
+    terms, size = word_statistics(chunks)
+    assert {tuple(r) for r in terms.collect()} == {("a", 2), ("b", 1), ("c", 1), ("x", 500), ("y", 500)}
+    assert tuple(size.head()) == (504, 1005)
+    lists = pa.array([["a", "b", "a"], [], None, ["c", "a"]], pa.list_(pa.string()))
+    (out,) = _batch_sums(iter([pa.RecordBatch.from_arrays([lists], ["w"])]))
+    assert sorted(map(str, zip(*out.to_pydict().values()))) == sorted(
+        map(str, [("a", 2, 0), ("b", 1, 0), ("c", 1, 0), (None, 3, 5)]))
+    assert word_statistics(chunks.limit(0))[1].head().n == 0
