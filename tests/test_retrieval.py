@@ -331,3 +331,14 @@ def test_word_statistics_leave_as_one_row_per_batch_and_word(spark):
     assert sorted(map(str, zip(*out.to_pydict().values()))) == sorted(
         map(str, [("a", 2, 0), ("b", 1, 0), ("c", 1, 0), (None, 3, 5)]))
     assert word_statistics(chunks.limit(0))[1].head().n == 0
+
+
+def test_only_chosen_sections_are_looked_up(spark, tmp_path):
+    """The join with the sections sees the chosen ones; a section nobody asks for is not shuffled."""
+    hooks = offline(DIM)
+    docs = spark.createDataFrame([(f"{i}.md", f"# A{i}\nword{i}\n# B{i}\nother{i}") for i in range(30)], "source string, text string")
+    index.write_index(docs, str(tmp_path / "ix"), hooks.embedder, SMALL, recreate=True, run="0")
+    asked = spark.createDataFrame([(1, "word7")], "question_id int, query string")
+    found = retrieve(asked, index.read_index(spark, str(tmp_path / "ix"), SMALL), hooks, replace(SMALL, top_k=1))
+    assert found.head().hits[0].parent.startswith("# A7")
+    assert "LeftSemi" in found._jdf.queryExecution().optimizedPlan().toString()
