@@ -3,7 +3,7 @@ from __future__ import annotations
 
 import threading
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
 from py4j.protocol import Py4JError
@@ -197,7 +197,8 @@ def refusal(error: Column) -> Column:
 
 
 def structured_branch(
-    log: DataFrame, settings: Settings = DEFAULTS, risk: Hook | None = None, answer: Hook | None = None
+    log: DataFrame, settings: Settings = DEFAULTS, risk: Hook | None = None, answer: Hook | None = None,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Answer rows for a log `(request_id, question, raw_sql)`.
 
@@ -207,8 +208,11 @@ def structured_branch(
     stored table, so its true size decides how it is joined back.
 
     `risk` replaces the rules of `risk_rules`. `answer` makes the text of a question, its
-    statement and the rows found, which otherwise are the text as they are.
+    statement and the rows found, which otherwise are the text as they are. `finish` adds to the
+    rows what follows from their text alone, such as its masking: once for each distinct
+    statement, unless `answer` makes the text of each row.
     """
+    finish = finish or (lambda rows: rows)
     log = log.withColumn("raw_sql", F.coalesce("raw_sql", F.lit("")))
     valid = validate(log.select("raw_sql").distinct())
     if settings.approval_enabled:
@@ -221,7 +225,10 @@ def structured_branch(
     audited = materialize(assessed, "audited")
     results = execute_distinct(audited.filter(F.col("valid") & ~F.col("frozen")), settings)
     outcomes = _outcomes(audited, results)
-    return _said(log.join(outcomes, "raw_sql").drop("raw_sql"), answer)
+    if answer is None:
+        told = materialize(finish(_said(outcomes, None)), "outcomes")
+        return log.join(told, "raw_sql").drop("raw_sql")
+    return finish(_said(log.join(outcomes, "raw_sql").drop("raw_sql"), answer))
 
 
 def _assessed(valid: DataFrame, settings: Settings, risk: Hook | None) -> DataFrame:

@@ -14,6 +14,7 @@ from docquery.operators import search
 from docquery.operators.correct import correction_loop, grade
 from docquery.operators.rerank import _batch_sums, rerank_top_n, with_rerank_score, word_statistics
 from docquery.operators.retrieve import retrieve
+from docquery.plans.answering import answer_batch
 from docquery.operators.search import vector_top_k
 from docquery.settings import DEFAULTS
 from docquery.shared import materialize
@@ -342,3 +343,23 @@ def test_only_chosen_sections_are_looked_up(spark, tmp_path):
     found = retrieve(asked, index.read_index(spark, str(tmp_path / "ix"), SMALL), hooks, replace(SMALL, top_k=1))
     assert found.head().hits[0].parent.startswith("# A7")
     assert "LeftSemi" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_an_answer_is_masked_once(spark, tmp_path):
+    """The output screen sees each distinct answer, not a copy for each question that got it."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def judge(text):
+        seen.add(int("pets" in (text or "")))
+        return False
+
+    hooks = replace(offline(DIM), toxicity_judge=Hook(judge))
+    docs = spark.createDataFrame([("a.md", "cats are pets, write to me@example.com")], "source string, text string")
+    index.write_index(docs, str(tmp_path / "ix"), hooks.embedder, SMALL, recreate=True, run="0")
+    asked = spark.range(200).selectExpr("id as question_id", "if(id = 0, null, 'cats') as question", "cast(null as string) as raw_sql")
+    answered = answer_batch(asked, index.read_index(spark, str(tmp_path / "ix"), SMALL), hooks, SMALL)
+    got = {r.question_id: r for r in materialize(answered, "answered").collect()}
+    assert len(got) == 200 and got[7].pii_masked and "@" not in got[7].text
+    assert got[7].guard_findings == ["masked EMAIL"] and got[7].hits[0].text.endswith("example.com")
+    assert 0 < seen.value < 20
