@@ -13,7 +13,7 @@ from docquery.hooks import Hook, offline
 from docquery.operators import search
 from docquery.operators.correct import correction_loop, grade
 from docquery.operators.rerank import _batch_sums, rerank_top_n, with_rerank_score, word_statistics
-from docquery.operators.retrieve import retrieve
+from docquery.operators.retrieve import candidates, retrieve
 from docquery.plans.answering import answer_batch
 from docquery.operators.search import vector_top_k
 from docquery.settings import DEFAULTS
@@ -363,3 +363,22 @@ def test_an_answer_is_masked_once(spark, tmp_path):
     assert len(got) == 200 and got[7].pii_masked and "@" not in got[7].text
     assert got[7].guard_findings == ["masked EMAIL"] and got[7].hits[0].text.endswith("example.com")
     assert 0 < seen.value < 20
+
+
+def test_chunks_stay_where_they_lie(spark, tmp_path):
+    """The few ids found go to the chunks whatever the session's broadcast limit; too many are left to the planner."""
+    hooks = offline(DIM)
+    docs = spark.range(40).selectExpr("concat('d', id) as source", "concat('cats and dogs ', id) as text")
+    index.write_index(docs, str(tmp_path / "ix"), hooks.embedder, SMALL, recreate=True, run="0")
+    ix = index.read_index(spark, str(tmp_path / "ix"), SMALL)
+    asked = spark.createDataFrame([(1, "dogs 7"), (2, "cats")], "question_id int, query string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans, rows = [], []
+        for settings in (SMALL, replace(SMALL, broadcast_bytes=8 * DIM * 2)):
+            found = candidates(asked, ix, hooks, settings)
+            plans.append("BroadcastHashJoin" in found._jdf.queryExecution().sparkPlan().toString())
+            rows.append(sorted(map(str, found.collect())))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plans == [True, False] and rows[0] == rows[1] and len(rows[0]) == 40
