@@ -8,7 +8,8 @@ sparse regions are compared at shallow depth, dense ones at greater depth.
 Classes are compared by the parity of their shingles in a table of bits. The bits in which two
 classes differ are never more than the shingles in which they do, so no link is lost by this test, and
 few pairs far below the limit pass it. Only sets too large for the table are compared by minhash values,
-with a margin of 4.5 standard deviations.
+with a margin of 4.5 standard deviations. The rows of the trees carry a brief form of half the size, the
+table folded once, for which the same holds.
 
 Links are confirmed twice. The first time confirms each class's best neighbours and joins them to
 components. The second looks at all classes that share a prefix of the least depth in a tree, a
@@ -16,6 +17,10 @@ region: every pair of different components that passes the test is confirmed. A
 `block` rows is compared in pairs of blocks. A link inside a component changes nothing and need not
 be confirmed.
 
+Texts and sketches are what weighs, so neither is shuffled where a key will do: of the texts only those of
+classes that have a candidate pass a table of bits, where they lie, and sketches join a region's rows only
+where it has rows of several components.
+
 Defined cases: null or empty texts have empty sets and are linked with nothing; a text of fewer
 words than a shingle is one shingle; repeated rows share a class; a null key counts as larger
 than any other; very long texts are worked on whole, one at a time; columns other than key and text
@@ -30,12 +35,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from docquery.llm.components import components
-from docquery.shared import materialize
+from docquery.shared import discard, materialize
 
 
 @dataclass(frozen=True)
@@ -58,11 +64,10 @@ class Forest:
     block: int = 4096
     best: int = 3
 
-    @property
-    def least_agreement(self) -> int:
-        """Equal bytes of the minhash values that a linked pair of large sets has but for 4.5 standard deviations."""
+    def least_agreement(self, values: int) -> int:
+        """Equal bytes of so many minhash values that a linked pair of large sets has but for 4.5 standard deviations."""
         s = self.percent / 100
-        return max(1, int(MINHASHES * s - 4.5 * (MINHASHES * s * (1 - s)) ** 0.5))
+        return max(1, int(values * s - 4.5 * (values * s * (1 - s)) ** 0.5))
 
     @property
     def least_large(self) -> int:
@@ -73,6 +78,10 @@ class Forest:
 # Bits of the table, the size of a set up to which it is used, and minhash values that are compared beyond.
 PARITY_BITS, PARITY_MOST, MINHASHES = 1024, 750, 128
 _SKETCH = PARITY_BITS // 8 + MINHASHES
+# The first half of a sketch is its brief form: the table folded once, and half of the minhash values.
+_BRIEF, _FOLDED = _SKETCH // 2, PARITY_BITS // 16
+# The table of bits of the texts that are wanted: so many for each, and never more than 16 MB.
+_BITS_EACH, _BITS_MOST = 64, 27
 
 
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
@@ -107,23 +116,33 @@ def signature(shingles: np.ndarray, multipliers: np.ndarray) -> np.ndarray:
 
 
 def sketch(shingles: np.ndarray, minhashes: np.ndarray, forest: Forest) -> bytes:
-    """What two sets are compared by: parities of a small set, minhash bytes of a large one, zeros for the rest."""
+    """What two sets are compared by: parities of a small set, minhash bytes of a large one, zeros for the rest.
+
+    Its first half, the brief form, has the parities of a table of half the size, which is the exclusive or of the
+    table's halves. The second half has what is left.
+    """
     n = len(shingles)
-    parities, low = bytes(PARITY_BITS // 8), bytes(MINHASHES)
+    parities, low = np.zeros(PARITY_BITS // 8, np.uint8), np.zeros(MINHASHES, np.uint8)
     if n <= PARITY_MOST:
         place = (shingles * _MIX[2]) >> np.uint64(64 - (PARITY_BITS - 1).bit_length())
-        parities = np.packbits(np.bincount(place.astype(np.int64), minlength=PARITY_BITS) & 1).tobytes()
+        parities = np.packbits(np.bincount(place.astype(np.int64), minlength=PARITY_BITS) & 1)
     if n >= forest.least_large:
-        low = minhashes[:MINHASHES].astype(np.uint8).tobytes()
-    return parities + low
+        low = minhashes[:MINHASHES].astype(np.uint8)
+    first, second = parities[:_FOLDED], parities[_FOLDED:]
+    return np.concatenate([first ^ second, low[: MINHASHES // 2], second, low[MINHASHES // 2 :]]).tobytes()
 
 
 class _Compared:
-    """Rows with sketches and sizes, and the test of pairs of them."""
+    """Rows with sketches, whole or brief, and sizes, and the test of pairs of them."""
 
     def __init__(self, sketches: np.ndarray, sizes: np.ndarray, forest: Forest):
-        self.parities = np.ascontiguousarray(sketches[:, : PARITY_BITS // 8]).view(np.uint64)
-        self.low, self.sizes, self.forest = sketches[:, PARITY_BITS // 8 :], sizes, forest
+        parities, self.low = sketches[:, :_FOLDED], sketches[:, _FOLDED:_BRIEF]
+        if sketches.shape[1] == _SKETCH:
+            second = sketches[:, _BRIEF : _BRIEF + _FOLDED]
+            parities = np.concatenate([parities ^ second, second], axis=1)
+            self.low = np.concatenate([self.low, sketches[:, _BRIEF + _FOLDED :]], axis=1)
+        self.parities = np.ascontiguousarray(parities).view(np.uint64)
+        self.sizes, self.forest = sizes, forest
 
     def test(self, a, b) -> tuple[np.ndarray, np.ndarray]:
         """Whether rows `a` and `b` may be linked, and about how similar they are, in thousandths.
@@ -139,8 +158,9 @@ class _Compared:
         large = np.flatnonzero(larger > PARITY_MOST)
         if len(large):
             agree = (_picked(self.low, a, large) == _picked(self.low, b, large)).sum(axis=-1, dtype=np.int64)
-            possible[large] = agree >= self.forest.least_agreement
-            score[large] = 1000 * agree // MINHASHES
+            values = self.low.shape[1]
+            possible[large] = agree >= self.forest.least_agreement(values)
+            score[large] = 1000 * agree // values
         return possible & (100 * np.minimum(x, y) >= p * larger), score
 
 
@@ -166,25 +186,52 @@ def _signed(batches: Iterator[pa.RecordBatch], forest: Forest, names: list[str])
             texts = [t or "" for t in part.column(1).to_pylist()]
             sets = [shingle_set(t, forest.words) for t in texts]
             signatures = [signature(s, multipliers) for s in sets]
+            values = [x.reshape(forest.trees, forest.depth) for x in signatures]
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(0), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                     pa.array([_digest(t.encode()) for t in texts], pa.binary()),
-                    pa.array([x.astype(">u4").tobytes() for x in signatures], pa.binary()),
+                    pa.array([x[:, : forest.least_depth].astype(">u4").tobytes() for x in values], pa.binary()),
+                    pa.array([x[:, forest.least_depth :].astype(np.uint8).tobytes() for x in values], pa.binary()),
                     pa.array([sketch(s, x, forest) for s, x in zip(sets, signatures)], pa.binary()),
                 ],
                 names=names,
             )
 
 
-def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    """`(node, text)` to `(node, shingles)`."""
+def _places(batches: Iterator[pa.RecordBatch], mask: int) -> Iterator[pa.RecordBatch]:
+    """Hashes `at` as the words and bits of the table that they set."""
     for batch in batches:
-        for at in range(0, batch.num_rows, 500):
-            part = batch.slice(at, 500)
-            sets = [shingle_set(t, width).tobytes() for t in part.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], names=["node", "shingles"])
+        at = batch.column(0).to_numpy() & mask
+        bits = np.uint64(1) << (at & 63).astype(np.uint64)
+        yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array(bits.view(np.int64))], names=["word", "bits"])
+
+
+def _wanted_bits(wanted: DataFrame) -> tuple[Broadcast, int]:
+    """The table of bits of the hashes `at`, and its mask. Where it fills up, more pass it, never fewer."""
+    spark = wanted.sparkSession
+    size = 1 << min(_BITS_MOST, max(16, (_BITS_EACH * wanted.count()).bit_length()))
+    found = wanted.mapInArrow(lambda b: _places(b, size - 1), "word long, bits long").groupBy("word").agg(
+        F.bit_or("bits").alias("bits")
+    ).toArrow()
+    table = np.zeros(size // 64, np.uint64)
+    table[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return spark.sparkContext.broadcast(table), size - 1
+
+
+def _sets(batches: Iterator[pa.RecordBatch], width: int, bits: Broadcast, mask: int) -> Iterator[pa.RecordBatch]:
+    """`(at, text)` to the `(node, shingles)` of the texts whose hash `at` is in the table of bits."""
+    for batch in batches:
+        at = batch.column(0).to_numpy() & mask
+        passed = (bits.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
+        batch = batch.filter(pa.array(passed.astype(bool)))
+        for start in range(0, batch.num_rows, 500):
+            texts = batch.column(1).slice(start, 500).to_pylist()
+            sets = [s.tobytes() for s in (shingle_set(t or "", width) for t in texts) if len(s)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(map(_digest, sets)), pa.binary()), pa.array(sets, pa.binary())], names=["node", "shingles"]
+            )
 
 
 def _fixed(column: pa.Array, width: int) -> np.ndarray:
@@ -199,15 +246,15 @@ def _ends(nodes: np.ndarray, rows: np.ndarray) -> pa.Array:
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch], forest: Forest) -> Iterator[pa.RecordBatch]:
-    """Of rows `(tree, path, sketch, n, node)` in sorted order, each with its best near predecessor."""
+    """Of rows `(tree, path, brief, n, node)` in sorted order, each with its best near predecessor."""
     held: list[np.ndarray] | None = None
     for batch in batches:
         if not batch.num_rows:
             continue
         tree = batch.column(0).to_numpy(zero_copy_only=False)[:, None].astype(">u4").view(np.uint8)
         rows = [
-            np.concatenate([tree, _fixed(batch.column(1), 4 * forest.depth)[:, : 4 * forest.least_depth]], axis=1),
-            _fixed(batch.column(2), _SKETCH), batch.column(3).to_numpy(zero_copy_only=False), _fixed(batch.column(4), 16),
+            np.concatenate([tree, _fixed(batch.column(1), _path_width(forest))[:, : 4 * forest.least_depth]], axis=1),
+            _fixed(batch.column(2), _BRIEF), batch.column(3).to_numpy(zero_copy_only=False), _fixed(batch.column(4), 16),
         ]
         seen = 0 if held is None else len(held[0])
         if held is not None:
@@ -230,18 +277,32 @@ def _neighbours(batches: Iterator[pa.RecordBatch], forest: Forest) -> Iterator[p
             yield pa.RecordBatch.from_arrays([_ends(node, row), _ends(node, other), pa.array(score)], names=["a", "b", "score"])
 
 
-def _paths(classes: DataFrame, forest: Forest, *columns: str) -> DataFrame:
-    """A row for each tree, with its `tree, path` and the `columns` of the class."""
-    width = 4 * forest.depth
-    trees = F.explode(F.sequence(F.lit(0), F.lit(forest.trees - 1))).alias("tree")
-    return classes.select("signature", *columns, trees).select(
-        "tree", F.substring("signature", F.col("tree") * width + 1, F.lit(width)).alias("path"), *columns
+def _path_width(forest: Forest) -> int:
+    """Bytes of a row's place in a tree: its first values whole, the last byte of each deeper one."""
+    return 3 * forest.least_depth + forest.depth
+
+
+def _part(values: str, width: int) -> Column:
+    """What `values`, a column of `width` bytes for each tree, has for the row's `tree`."""
+    return F.substring(values, F.col("tree") * width + 1, F.lit(width))
+
+
+def _trees(forest: Forest) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.lit(forest.trees - 1))).alias("tree")
+
+
+def _paths(classes: DataFrame, forest: Forest) -> DataFrame:
+    """A row for each tree, with its `tree, path` and the brief sketch, size and node of the class."""
+    path = F.concat(_part("heads", 4 * forest.least_depth), _part("tails", forest.depth - forest.least_depth))
+    brief = F.substring("sketch", 1, _BRIEF).alias("brief")
+    return classes.select("heads", "tails", brief, "n", "node", _trees(forest)).select(
+        "tree", path.alias("path"), "brief", "n", "node"
     )
 
 
 def _near_pairs(classes: DataFrame, forest: Forest) -> DataFrame:
     """Distinct candidate pairs `(u, v, score)` of near rows in each sorted order."""
-    rows = _paths(classes, forest, "sketch", "n", "node")
+    rows = _paths(classes, forest)
     ordered = rows.repartitionByRange("tree", "path", "node").sortWithinPartitions("tree", "path", "node")
     pairs = ordered.mapInArrow(lambda b: _neighbours(b, forest), "a binary, b binary, score long")
     return pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"), "score").groupBy("u", "v").agg(
@@ -302,28 +363,36 @@ def _regional(batches: Iterator[pa.RecordBatch], forest: Forest) -> Iterator[pa.
         yield pairs(held.combine_chunks())
 
 
-def _region_pairs(classes: DataFrame, forest: Forest) -> DataFrame:
+def _regions(classes: DataFrame, forest: Forest, *columns: str) -> DataFrame:
+    """A row for each tree, with its `region` and the `columns` of the class."""
+    prefix = _part("heads", 4 * forest.least_depth)
+    return classes.select("heads", *columns, _trees(forest)).select(F.xxhash64("tree", prefix).alias("region"), *columns)
+
+
+def _region_pairs(classes: DataFrame, components_of: DataFrame, forest: Forest) -> DataFrame:
     """Distinct candidate pairs `(u, v)` of different components that share a region.
 
+    `components_of` are the `classes` with their `component`.
+
     A region is all rows of a tree that share its `least_depth` first values. Its rows are divided into
     blocks by their node, and every two blocks meet in a group of their own.
     """
-    prefix = F.substring("path", 1, 4 * forest.least_depth)
-    rows = _paths(classes, forest, "node", "component").select(F.xxhash64("tree", prefix).alias("region"), "node", "component")
-    found = rows.groupBy("region").agg(
+    found = _regions(components_of, forest, "component").groupBy("region").agg(
         F.count("*").alias("rows"), F.min("component").alias("a"), F.max("component").alias("b")
     )
     blocks = F.ceil(F.col("rows") / forest.block).cast("int").alias("blocks")
     several = materialize(found.filter("a <> b").select("region", blocks), "regions")
     own = F.pmod(F.xxhash64("node"), "blocks").cast("int")
-    placed = rows.join(several, "region").withColumn("own", own).withColumn(
+    placed = _regions(classes, forest, "node").join(several, "region").withColumn("own", own).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     )
     side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
     grouped = placed.select(
-        F.xxhash64("region", F.least("own", "other"), F.greatest("own", "other")).alias("at"), "node", "component", side.alias("side")
+        F.xxhash64("region", F.least("own", "other"), F.greatest("own", "other")).alias("at"), "node", side.alias("side")
+    )
+    whole = grouped.join(components_of.select("node", "sketch", "n", "component"), "node").select(
+        "at", "sketch", "n", "node", "component", "side"
     )
-    whole = grouped.join(classes.select("node", "sketch", "n"), "node").select("at", "sketch", "n", "node", "component", "side")
     ordered = whole.repartition("at").sortWithinPartitions("at")
     pairs = ordered.mapInArrow(lambda b: _regional(b, forest), "a binary, b binary")
     return pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
@@ -345,6 +414,19 @@ def _linked(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_arrays([chosen.column(0), chosen.column(1)], names=["u", "v"])
 
 
+def _full_sets(texts: DataFrame, wanted: DataFrame, forest: Forest) -> DataFrame:
+    """The full sets `(node, shingles)` of the `wanted(node, key, text_id)` classes, from `texts(key, text)`.
+
+    Texts that are not wanted are left where they lie; the few that a full table of bits lets pass go by their node.
+    """
+    at = F.xxhash64("key", "text_id").alias("at")
+    bits, mask = _wanted_bits(wanted.select(at))
+    rows = texts.withColumn("text_id", text_digest(F.col("text"))).select(at, "text")
+    sets = rows.mapInArrow(lambda b: _sets(b, forest.words, bits, mask), "node binary, shingles binary")
+    once = sets.groupBy("node").agg(F.first("shingles").alias("shingles"))
+    return materialize(once.join(wanted.select("node"), "node", "left_semi"), "sets")
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, forest: Forest) -> DataFrame:
     left = sets.select(F.col("node").alias("u"), F.col("shingles").alias("a"))
     right = sets.select(F.col("node").alias("v"), F.col("shingles").alias("b"))
@@ -363,47 +445,39 @@ def duplicate_classes(docs: DataFrame, forest: Forest, key: str = "doc_id", text
     """`(key, n_shingles, component_id, kept, text_id)` of each row; the component's smallest key names it."""
     columns = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     kind = columns.schema["key"].dataType.simpleString()
-    ddl = f"key {kind}, n_shingles long, node binary, text_id binary, signature binary, sketch binary"
+    ddl = f"key {kind}, n_shingles long, node binary, text_id binary, heads binary, tails binary, sketch binary"
     names = [part.split()[0] for part in ddl.split(", ")]
     signed = materialize(columns.mapInArrow(lambda b: _signed(b, forest, names), ddl), "signed")
 
     first: Column = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "text_id"))
     classes = materialize(
         signed.filter(F.col("node").isNotNull()).groupBy("node").agg(
-            first.alias("first"), *[F.first(c).alias(c) for c in ("signature", "sketch", "n_shingles")]
-        ).select("node", "first.key", "first.text_id", "signature", "sketch", F.col("n_shingles").alias("n")),
+            first.alias("first"), *[F.first(c).alias(c) for c in ("heads", "tails", "sketch", "n_shingles")]
+        ).select("node", "first.key", "first.text_id", "heads", "tails", "sketch", F.col("n_shingles").alias("n")),
         "classes",
     )
     pairs = materialize(_near_pairs(classes, forest), "pairs")
+    named_by = classes.select("node", "key", "text_id")
     near = materialize(
-        pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(classes, "node"), "near"
+        pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(named_by, "node"), "near"
     )
-    texts = columns.withColumn("text_id", text_digest(F.col("text")))
-
-    def full_sets(wanted: DataFrame) -> DataFrame:
-        wanted = wanted.select("node", F.col("key").alias("near_key"), "text_id")
-        rows = texts.join(
-            wanted, (texts["text_id"] == wanted["text_id"]) & texts["key"].eqNullSafe(wanted["near_key"])
-        ).select("node", "text")
-        return materialize(
-            rows.mapInArrow(lambda b: _sets(b, forest.words), "node binary, shingles binary")
-            .groupBy("node").agg(F.first("shingles").alias("shingles")),
-            "sets",
-        )
-
-    # Only the texts of classes that have a candidate are read for their full sets.
-    sets = full_sets(near)
+    # Only the texts of classes that have a candidate are worked on again for their full sets.
+    sets = _full_sets(columns, near, forest)
     tested = materialize(_best(pairs, forest.best), "tested")
+    discard(pairs)
     links = materialize(_confirmed(tested, sets, forest), "confirmed")
     found = materialize(components(links), "components")
 
     placed = classes.join(found, "node", "left").withColumn("component", F.coalesce("root", "node")).drop("root")
-    rest = materialize(_region_pairs(placed, forest).join(tested, ["u", "v"], "left_anti"), "rest")
+    rest = materialize(_region_pairs(classes, placed, forest).join(tested, ["u", "v"], "left_anti"), "rest")
     more_nodes = rest.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(near, "node", "left_anti")
-    sets = sets.unionByName(full_sets(classes.join(more_nodes, "node", "left_semi")))
-    more = _confirmed(rest, sets, forest)
+    more_near = materialize(named_by.join(more_nodes, "node", "left_semi"), "near")
+    more_sets = _full_sets(columns, more_near, forest)
+    more = _confirmed(rest, sets.unionByName(more_sets), forest)
     stars = found.select(F.col("node").alias("u"), F.col("root").alias("v"))
     found = materialize(components(stars.unionByName(more)), "components")
+    for stored in (sets, more_sets, near, more_near, tested, rest):
+        discard(stored)
 
     by_root = found.join(classes.select("node", "key"), "node")
     least = by_root.groupBy("root").agg(F.min("key").alias("least"))
@@ -415,6 +489,7 @@ def duplicate_classes(docs: DataFrame, forest: Forest, key: str = "doc_id", text
         ),
         "names",
     )
+    discard(classes)
     result = signed.select("key", "n_shingles", "node", "text_id").join(named, "node", "left").withColumn(
         "component_id", F.when(F.col("node").isNull(), F.col("key")).otherwise(F.col("component_id"))
     )

@@ -156,3 +156,72 @@ def test_crowded_region_of_thousands(spark):
         got = neardup.duplicate_classes(table, neardup.Forest(words=1, block=block)).collect()
         wrong = {r["doc_id"]: r["component_id"] for r in got if r["component_id"] != (r["doc_id"] - r["doc_id"] % 2 if r["doc_id"] < 1000 else r["doc_id"])}
         assert wrong == {}
+
+
+def plan_nodes(plan):
+    if plan.nodeName().startswith("AdaptiveSparkPlan"):
+        plan = plan.initialPlan()
+    yield plan
+    children = plan.children()
+    for i in range(children.size()):
+        yield from plan_nodes(children.apply(i))
+
+
+def test_texts_and_whole_sketches_are_not_shuffled_for_trees(spark, monkeypatch):
+    """Only sets that are wanted leave their place, and a row of a tree stays small."""
+    stored, written = neardup.materialize, {}
+
+    def keep(df, label):
+        exchanges = [x for x in plan_nodes(df._jdf.queryExecution().executedPlan()) if x.nodeName() == "Exchange"]
+        outputs = [[x.output().apply(i).name() for i in range(x.output().size())] for x in exchanges]
+        written.setdefault(label, []).extend(outputs)
+        return stored(df, label)
+
+    monkeypatch.setattr(neardup, "materialize", keep)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    rows = corpus(4, 20)
+    try:
+        assert neardup.duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string"), neardup.Forest(words=2)).count() == len(rows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert written["sets"] and written["pairs"] and written["near"]
+    assert not any("text" in columns for columns in written["sets"])
+    assert not any("sketch" in columns for label in ("pairs", "near", "regions") for columns in written[label])
+
+
+def test_texts_that_are_not_wanted_give_no_sets(spark):
+    texts = spark.createDataFrame([(i, f"text number {i} of many") for i in range(300)] + [(7, "text number 7 of many"), (None, "no key"), (300, None)], "key long, text string")
+    wanted = texts.filter("key = 7 or key is null").distinct().withColumn("text_id", neardup.text_digest(texts["text"]))
+    node = {k: neardup._digest(neardup.shingle_set(t, 2).tobytes()) for k, t in ((7, "text number 7 of many"), (None, "no key"))}
+    by_node = spark.createDataFrame([(bytearray(n), k) for k, n in node.items()], "node binary, k long")
+    wanted = wanted.join(by_node, wanted["key"].eqNullSafe(by_node["k"])).select("node", "key", "text_id")
+    got = neardup._full_sets(texts, wanted, neardup.Forest(words=2)).collect()
+    assert {bytes(r["node"]): bytes(r["shingles"]) for r in got} == {
+        node[7]: neardup.shingle_set("text number 7 of many", 2).tobytes(), node[None]: neardup.shingle_set("no key", 2).tobytes()
+    }
+    assert len(got) == 2
+
+
+def test_brief_sketches_lose_no_link_of_small_sets():
+    rng = np.random.default_rng(5)
+    forest = neardup.Forest()
+    multipliers = neardup._multipliers(forest.trees * forest.depth)
+    passed = {True: 0, False: 0}
+    seen = {True: 0, False: 0}
+    for _ in range(600):
+        n = int(rng.choice([1, 5, 30, 150, 400, 600]))
+        common = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        own = [rng.integers(0, 1 << 63, int(rng.integers(0, max(2, n // rng.choice([1, 5])))), dtype=np.uint64) for _ in range(2)]
+        sets = [np.unique(np.concatenate([common, x]))[: neardup.PARITY_MOST] for x in own]
+        shared = len(np.intersect1d(*sets))
+        similarity = shared / (len(sets[0]) + len(sets[1]) - shared)
+        sketches = np.stack([np.frombuffer(neardup.sketch(x, neardup.signature(x, multipliers), forest), np.uint8) for x in sets])
+        compared = neardup._Compared(sketches[:, : neardup._BRIEF], np.array([len(x) for x in sets]), forest)
+        possible, _ = compared.test(np.array([0]), np.array([1]))
+        linked = 100 * shared >= 80 * (len(sets[0]) + len(sets[1]) - shared)
+        if linked or similarity < 0.5:
+            seen[linked] += 1
+            passed[linked] += bool(possible[0])
+    assert seen[True] > 100 and passed[True] == seen[True]
+    assert seen[False] > 40 and passed[False] < 0.2 * seen[False]
